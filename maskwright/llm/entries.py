@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from .mixing import OP2_SQL, op2_mixing_sources
 from .simhash import op10_simhash_near_dedup
 
 QUERIES = {
+    "op2_mixing_sources": op2_mixing_sources,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_mixing_sources": OP2_SQL,
+}
