@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,3 +55,19 @@ def row_key(*cols: str) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def per_text(df: DataFrame, keep: list[str], columns: dict[str, tuple[str, pa.DataType]], work: Callable[[list], list]) -> DataFrame:
+    """Columns `keep` of df untouched, and what work(texts) returns: one list for each of `columns` (Spark and Arrow types).
+
+    Texts come as str or None. Values cross as Arrow, so long keys beside nulls keep all their digits."""
+    fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    schema = ", ".join([f"`{k}` {fields[k]}" for k in keep] + [f"`{k}` {t}" for k, (t, _) in columns.items()])
+    kinds = [t for _, t in columns.values()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = work(b.column(len(keep)).to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column(i) for i in range(len(keep))] + [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, kinds)], names=[*keep, *columns])
+
+    return df.select(*keep, F.col("text").cast("string").alias("_text")).mapInArrow(run, schema)

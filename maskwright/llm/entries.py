@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from .gif import op7_media_gif
 from .mixing import OP2_SQL, op2_mixing_sources
 from .simhash import op10_simhash_near_dedup
 
 QUERIES = {
     "op2_mixing_sources": op2_mixing_sources,
+    "op7_media_gif": op7_media_gif,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 ORACLES: dict[str, str] = {

@@ -17,11 +17,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import per_text, stored
 from .components import components
 
 BITS, SEGMENTS, RADIUS = 64, 9, 4
@@ -52,12 +53,10 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """(doc_id, fp long) of every row; a null text counts as empty, with fingerprint zero."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            fp = np.fromiter((fingerprint(t, shingle) for t in f["text"]), dtype=np.uint64, count=len(f))
-            yield pd.DataFrame({"doc_id": f["doc_id"], "fp": fp.view(np.int64)})
+    def work(texts: list) -> list:
+        return [np.fromiter((fingerprint(t, shingle) for t in texts), dtype=np.uint64, count=len(texts)).view(np.int64)]
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, "doc_id long, fp long")
+    return per_text(docs.withColumn("doc_id", F.col("doc_id").cast("long")), ["doc_id"], {"fp": ("long", pa.int64())}, work)
 
 
 def _keys(fp: str) -> Column:
