@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .gif import op7_media_gif
 from .mixing import OP2_SQL, op2_mixing_sources
+from .secrets import OP6_SQL, op6_secret_scans
 from .simhash import op10_simhash_near_dedup
 from .substrings import OP4_SQL, op4_substring_dedup
 from .topk import OP8_SQL, op8_exact_top_k
@@ -11,6 +12,7 @@ from .topk import OP8_SQL, op8_exact_top_k
 QUERIES = {
     "op2_mixing_sources": op2_mixing_sources,
     "op4_substring_dedup": op4_substring_dedup,
+    "op6_secret_scans": op6_secret_scans,
     "op7_media_gif": op7_media_gif,
     "op8_exact_top_k": op8_exact_top_k,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
@@ -18,5 +20,6 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op2_mixing_sources": OP2_SQL,
     "op4_substring_dedup": OP4_SQL,
+    "op6_secret_scans": OP6_SQL,
     "op8_exact_top_k": OP8_SQL,
 }
