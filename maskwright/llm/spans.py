@@ -40,5 +40,8 @@ def counted(found: Column, kind: str) -> Column:
     return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("long")
 
 
-def tagged(found: Column, kind: str, rank: int) -> Column:
-    return F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind")))
+def tagged(found: Column, kind: str, rank: int, val: bool = False) -> Column:
+    """Spans with their kind and its rank; with the matched value if val is set."""
+    return F.transform(
+        found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), *([s["val"].alias("val")] if val else []))
+    )
