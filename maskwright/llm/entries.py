@@ -8,11 +8,13 @@ from .pii import op1_pii
 from .secrets import OP6_SQL, op6_secret_scans
 from .simhash import op10_simhash_near_dedup
 from .substrings import OP4_SQL, op4_substring_dedup
+from .tokencount import op3_token_counts
 from .topk import OP8_SQL, op8_exact_top_k
 
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_mixing_sources": op2_mixing_sources,
+    "op3_token_counts": op3_token_counts,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_secret_scans": op6_secret_scans,
     "op7_media_gif": op7_media_gif,
