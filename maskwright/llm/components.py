@@ -9,15 +9,20 @@ from .common import dropped, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Point every neighbour of a node (larger ones, or itself and the smaller ones) at its least neighbour."""
+    """Point every neighbour of a node (larger ones, or itself and the smaller ones) at its least neighbour.
+
+    The least neighbours are stored, so that the join has plain exchanges on both sides and a hub can be split."""
     if large:
         around = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = stored(low, "least")
         out = around.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
-        low = edges.groupBy("u").agg(F.min("v").alias("m"))
+        low = stored(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
         out = edges.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low)
-    return out.filter("u > v").distinct()
+    out = stored(out.filter("u > v").distinct(), "edges")
+    dropped(low)
+    return out
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -34,7 +39,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     if not seen[0]:
         return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     for _ in range(rounds):
-        new = stored(_star(_star(now, True), False), "edges")
+        half = _star(now, True)
+        new = _star(half, False)
+        dropped(half)
         dropped(now)
         now, was, seen = new, seen, mark(new)
         if was == seen:
