@@ -231,13 +231,15 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     rows = docs.select("rid", "d", "_text").mapInArrow(_edge_rows, "h long, rid long, d long, at int, goes long")
     kmers = rows.groupBy("h").agg(F.min("d").alias("low"), F.max("d").alias("high"), F.bit_and("goes").alias("a"), F.bit_or("goes").alias("o")).filter("low < high")
     differs = F.col("a").bitwiseXOR(F.col("o"))
+    # stored, so that the join below has plain exchanges on both sides and a hot k-mer can be split
     kmers = kmers.select("h", "low", (F.shiftrightunsigned(differs, 32) == 0).alias("right"), (differs.bitwiseAND(F.lit(0xFFFFFFFF)) == 0).alias("left"))
+    kmers = stored(kmers, "kmers")
     known = rows.select("h", "rid", "at").join(kmers, "h")
     known = known.groupBy("rid").agg(F.collect_list(F.struct("at", "low", "right", "left")).alias("known"))
     texts = _pack(docs, ["rid", "d"])
     found = stored(texts.join(known, "rid").select("rid", "d", "packed", "known").mapInArrow(_window_rows, "rid long, d long, h long, at int, until int"), "windows")
     open_ = found.filter("h is not null")
-    first = open_.groupBy("h").agg(F.min("d").alias("low"), F.max("d").alias("high")).filter("low < high").select("h", "low")
+    first = stored(open_.groupBy("h").agg(F.min("d").alias("low"), F.max("d").alias("high")).filter("low < high").select("h", "low"), "first")
     looked = open_.join(first, "h").filter("low < d").select("rid", "at", "until")
     marked = found.filter("h is null").select("rid", "at", "until").union(looked)
     return marked.groupBy("rid").agg(F.collect_set(F.struct("at", "until")).alias("ranges"))
