@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .gif import op7_media_gif
 from .mixing import OP2_SQL, op2_mixing_sources
+from .pieces import op5_sentencepiece
 from .pii import op1_pii
 from .secrets import OP6_SQL, op6_secret_scans
 from .simhash import op10_simhash_near_dedup
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_mixing_sources": op2_mixing_sources,
     "op3_token_counts": op3_token_counts,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_secret_scans": op6_secret_scans,
     "op7_media_gif": op7_media_gif,
     "op8_exact_top_k": op8_exact_top_k,
