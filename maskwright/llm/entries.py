@@ -6,6 +6,7 @@ from .gif import op7_media_gif
 from .mixing import OP2_SQL, op2_mixing_sources
 from .pieces import op5_sentencepiece
 from .pii import op1_pii
+from .quality import op9_quality_classifier
 from .secrets import OP6_SQL, op6_secret_scans
 from .simhash import op10_simhash_near_dedup
 from .substrings import OP4_SQL, op4_substring_dedup
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_secret_scans": op6_secret_scans,
     "op7_media_gif": op7_media_gif,
     "op8_exact_top_k": op8_exact_top_k,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 ORACLES: dict[str, str] = {
