@@ -31,7 +31,7 @@ from .common import table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-LONG, KEPT = 40, 150_000
+LONG, KEPT = 40, 400_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Scores are whole millionths, so that sums are exact and equal paths tie; NONE is below any sum.
 UNIT, NONE = 1_000_000, -(1 << 60)
@@ -147,8 +147,6 @@ class Pieces:
     # ------------------------------------------------------------ many chunks at once
 
     def _learn(self, chunks: list[str]) -> None:
-        if len(self._place) + len(chunks) > KEPT:
-            self.forget()
         by_size: dict[int, list[str]] = {}
         for c in chunks:
             by_size.setdefault(len(c) if len(c) <= LONG else 0, []).append(c)
@@ -156,18 +154,18 @@ class Pieces:
             if not size:
                 for c in own:
                     two = self.n_best_chunk(c, 2)
-                    self._add(c, np.array(two[0][1], dtype="<i4").tobytes(), two[0][0], two[0][0] - two[1][0] if len(two) > 1 else -NONE)
+                    self._add([c], [np.array(two[0][1], dtype="<i4").tobytes()], two[0][0], two[0][0] - two[1][0] if len(two) > 1 else -NONE, len(two[0][1]))
                 continue
             for k in range(0, len(own), 8192):
                 self._learn_equal(own[k : k + 8192], size)
 
-    def _add(self, chunk: str, ids: bytes, best: int, loss: int) -> None:
-        n = len(self._encoded)
-        if n == len(self._best):
-            self._best, self._loss, self._count = (np.concatenate((x, np.zeros(n, dtype=np.int64))) for x in (self._best, self._loss, self._count))
-        self._place[chunk] = n
-        self._encoded.append(ids)
-        self._best[n], self._loss[n], self._count[n] = best, loss, len(ids) // 4
+    def _add(self, chunks: list[str], coded: list[bytes], best, loss, counts) -> None:
+        n, m = len(self._encoded), len(chunks)
+        if n + m > len(self._best):
+            self._best, self._loss, self._count = (np.concatenate((x, np.zeros(n + m, dtype=np.int64))) for x in (self._best, self._loss, self._count))
+        self._place.update(zip(chunks, range(n, n + m)))
+        self._encoded += coded
+        self._best[n : n + m], self._loss[n : n + m], self._count[n : n + m] = best, loss, counts
 
     def _learn_equal(self, chunks: list[str], size: int) -> None:
         m = len(chunks)
@@ -224,27 +222,30 @@ class Pieces:
         lengths = (taken > -2).sum(axis=1)
         ends = np.cumsum(lengths) * 4
         data = flat.astype("<i4").tobytes()
-        for k, (chunk, stop, length, ok, b, x) in enumerate(zip(chunks, ends.tolist(), lengths.tolist(), plain.tolist(), best.tolist(), loss.tolist())):
-            if ok:
-                self._add(chunk, data[stop - 4 * length : stop], b, x)
-            else:
-                spelled = []
-                for p, i in enumerate(taken[k].tolist()):
-                    if i >= 0:
-                        spelled.append(i)
-                    elif i == -1:
-                        spelled.extend(self.bytes[v] for v in chunk[p].encode("utf-8", "surrogatepass"))
-                self._add(chunk, np.array(spelled, dtype="<i4").tobytes(), b, x)
+        stops = ends.tolist()
+        coded = [data[a:z] for a, z in zip([0, *stops[:-1]], stops)]
+        for k in np.flatnonzero(~plain).tolist():
+            spelled = []
+            for p, i in enumerate(taken[k].tolist()):
+                if i >= 0:
+                    spelled.append(i)
+                elif i == -1:
+                    spelled.extend(self.bytes[v] for v in chunks[k][p].encode("utf-8", "surrogatepass"))
+            coded[k] = np.array(spelled, dtype="<i4").tobytes()
+            lengths[k] = len(spelled)
+        self._add(chunks, coded, best, loss, lengths)
 
     # ------------------------------------------------------------ texts
 
     def encode(self, texts: list[str], n: int = 3) -> list[tuple[bytes, list[tuple[float, int]]]]:
         """Of each text: its best ids (int32, little-endian), and (score, pieces) of its n best segmentations."""
         parts = [self.chunks(t) for t in texts]
-        missing = {c for p in parts for c in p if c not in self._place}
+        missing = set().union(*parts).difference(self._place)
         if missing:
-            before = len(self._place) + len(missing) > KEPT
-            self._learn([*{c for p in parts for c in p}] if before else [*missing])
+            if len(self._place) + len(missing) > KEPT:
+                self.forget()
+                missing = set().union(*parts)
+            self._learn([*missing])
         out = []
         for chunks in parts:
             place = np.fromiter(map(self._place.__getitem__, chunks), dtype=np.int64, count=len(chunks))
@@ -271,6 +272,15 @@ class Pieces:
         return b"".join([raw[i] for i in np.frombuffer(ids, dtype="<i4").tolist()])[1:].decode("utf-8", "surrogatepass")
 
 
+_coder: list = []  # the last vocabulary of this worker with what it has learnt, for the next task
+
+
+def _coder_of(model: list) -> Pieces:
+    if not _coder or _coder[0] is not model:
+        _coder[:] = [model, Pieces(model)]
+    return _coder[1]
+
+
 def segmented(docs: DataFrame, model: str = MODEL, n: int = 3, scores: str = "auto") -> DataFrame:
     """doc_id, ids (array<int>), n_best (array of score and pieces, best first) and decoded text of every row of docs.
 
@@ -281,7 +291,7 @@ def segmented(docs: DataFrame, model: str = MODEL, n: int = 3, scores: str = "au
     list_type = pa.list_(pa.struct([("score", pa.float64()), ("pieces", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Pieces(held.value)
+        coder = _coder_of(held.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 b = batch.slice(at, 512)
