@@ -48,6 +48,21 @@ def dropped(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Texts cross to Python in batches of about this many bytes, whatever their number.
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 2000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, with the session's Arrow batches bounded for long texts; smaller settings of the session stay."""
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = conf.get(key, None)
+        digits = "".join(c for c in now or "" if c.isdigit())
+        if not digits or not now.isdigit() or not 0 < int(now) <= most:
+            conf.set(key, str(most))
+    return df
+
+
 def row_key(*cols: str) -> Column:
     """64-bit key of a row's content; equal rows share it. Nulls differ from empty texts."""
     return F.xxhash64(*[x for c in cols for x in (F.col(c), F.col(c).isNull())])
@@ -70,4 +85,4 @@ def per_text(df: DataFrame, keep: list[str], columns: dict[str, tuple[str, pa.Da
             made = work(b.column(len(keep)).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(i) for i in range(len(keep))] + [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, kinds)], names=[*keep, *columns])
 
-    return df.select(*keep, F.col("text").cast("string").alias("_text")).mapInArrow(run, schema)
+    return small_batches(df).select(*keep, F.col("text").cast("string").alias("_text")).mapInArrow(run, schema)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_text, table
+from .common import per_text, small_batches, table
 
 UNIT, FRAME_ROWS, DELAY = 192, 4096, 4
 RUN = 254  # literal 9-bit codes that fit before the width would grow, clear code not counted
@@ -277,7 +277,7 @@ def read_back(media: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *made], names=["doc_id", "n_bytes", *FEATURES])
 
     kind = media.schema["doc_id"].dataType.simpleString()
-    return media.mapInArrow(run, f"doc_id {kind}, n_bytes long, " + ", ".join(f"{k} {t}" for k, (t, _) in FEATURES.items()))
+    return small_batches(media).mapInArrow(run, f"doc_id {kind}, n_bytes long, " + ", ".join(f"{k} {t}" for k, (t, _) in FEATURES.items()))
 
 
 def op7_media_gif(spark, sf_dir: str) -> DataFrame:

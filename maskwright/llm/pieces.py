@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import small_batches, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -301,7 +301,7 @@ def segmented(docs: DataFrame, model: str = MODEL, n: int = 3, scores: str = "au
                 lists = pa.array([[{"score": s, "pieces": c} for s, c in best] for _, best in coded], list_type)
                 yield pa.RecordBatch.from_arrays([b.column(0), ids, lists, pa.array([coder.decode(i) for i, _ in coded], pa.string())], names=["doc_id", "ids", "n_best", "decoded"])
 
-    rows = docs.select("doc_id", F.col("text").cast("string"))
+    rows = small_batches(docs).select("doc_id", F.col("text").cast("string"))
     return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, n_best array<struct<score:double,pieces:int>>, decoded string")
 
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import small_batches, table
 
 MAX_LABELLED, MAX_POOL = 8000, 8000
 ROUNDS, SURE, GIVEN = 3, 0.97, 400  # co-training rounds; least confidence and most pseudo-labels of a round
@@ -200,7 +200,7 @@ def _features(rows: DataFrame) -> pa.Table:
                 names=["h", "words", "dense", "meta", "quality", "toxic"],
             )
 
-    ordered = rows.select(F.xxhash64("doc_id", "text").alias("h"), "text", "lang", "source", "n_chars", "quality", "toxic")
+    ordered = small_batches(rows).select(F.xxhash64("doc_id", "text").alias("h"), "text", "lang", "source", "n_chars", "quality", "toxic")
     return ordered.mapInArrow(run, "h long, words array<int>, dense array<double>, meta array<int>, quality int, toxic int").toArrow().sort_by("h")
 
 
@@ -244,7 +244,7 @@ def scored(docs: DataFrame, models: dict) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(flat)
     keep = [c for c in docs.columns if c not in ("p_quality", "p_toxic", "keep")]
     fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    rows = docs.select(*keep, F.struct(*[c for c in _columns(docs).columns[1:] if c in docs.columns]).alias("_view"))
+    rows = small_batches(docs).select(*keep, F.struct(*[c for c in _columns(docs).columns[1:] if c in docs.columns]).alias("_view"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = held.value

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_text, stored
+from .common import per_text, small_batches, stored
 from .components import components
 
 BITS, SEGMENTS, RADIUS = 64, 9, 4
@@ -153,7 +153,7 @@ def links(distinct: DataFrame, part: int = 384) -> DataFrame:
     rows = grouped.filter(F.size("m") > 1).select(
         F.col("m.fp").alias("fps"), F.col("m.rep").alias("reps"), F.when(F.col("i") != F.col("j"), F.transform("m", lambda x: x["own"] == F.col("i"))).alias("left")
     )
-    return rows.mapInPandas(_within, "u long, v long")
+    return small_batches(rows).mapInPandas(_within, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, part: int = 384) -> DataFrame:

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, stored, table
+from .common import row_key, small_batches, stored, table
 
 WINDOW, K = 50, 12
 SPAN = WINDOW - K + 1  # k-mers in a window
@@ -260,7 +260,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     Null texts have no words. A row with a null doc_id may lose words but is nobody's smaller document. Rows with the
     same doc_id do not cut each other; equal rows are all returned. Other columns are ignored. Empty in, empty out."""
-    doc = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("_text"))
+    doc = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("_text"))
     doc = doc.withColumn("rid", row_key("doc_id", "_text")).withColumn("d", F.coalesce("doc_id", F.lit(LAST)))
     ranges = repeated_ranges(doc)
 

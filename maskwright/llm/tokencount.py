@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import new_path, stored, table
+from .common import new_path, small_batches, stored, table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the public word pattern of this byte-level vocabulary.
@@ -59,7 +59,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY
         if out is not None:
             out.close()
 
-    return stored(docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {kind}, file string, place long"), "token-list")
+    return stored(small_batches(docs).select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {kind}, file string, place long"), "token-list")
 
 
 def token_files(spark: SparkSession, folder: str) -> DataFrame:
