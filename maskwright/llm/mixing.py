@@ -50,8 +50,8 @@ def targets(sizes: DataFrame, cap: int = 3, classes: int = 3) -> DataFrame:
     return levels.withColumn("target", F.least(F.col("source_size") * F.lit(float(cap)), top * F.col("weight"))).drop("level")
 
 
-def mix(docs: DataFrame, cap: int = 3, classes: int = 3, curriculum: dict = CURRICULUM) -> DataFrame:
-    """Columns of docs plus `mix`: size, source_size, target, taken, weight and passes (pass, words, position).
+def mix(docs: DataFrame, cap: int = 3, classes: int = 3, curriculum: dict = CURRICULUM, keep: list[str] | None = None) -> DataFrame:
+    """Columns of docs (or only those of `keep`, the rest is not shuffled) plus `mix`: size, source_size, target, taken, weight and passes (pass, words, position).
 
     A pass is one use of the document; passes that take no word have a null position. Documents are ordered within
     their source by the MD5 of doc_id, ties by size and text; the words at the end of the last pass may be part of a
@@ -59,15 +59,15 @@ def mix(docs: DataFrame, cap: int = 3, classes: int = 3, curriculum: dict = CURR
     Repeated rows are taken one after the other. An input column named mix is replaced. Empty in, empty out."""
     spark = docs.sparkSession
     text = F.col("text").cast("string")
-    keyed = docs.withColumn(
-        "mix",
-        F.struct(
-            F.coalesce(F.concat(F.lit("0"), F.col("source").cast("string")), F.lit("1")).alias("key"),
-            F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("h"),
-            F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            F.xxhash64(text).alias("tie"),
-        ),
+    kept = [c for c in (docs.columns if keep is None else keep) if c != "mix"]
+    own = F.struct(
+        F.coalesce(F.concat(F.lit("0"), F.col("source").cast("string")), F.lit("1")).alias("key"),
+        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("h"),
+        F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.xxhash64(text).alias("tie"),
     )
+    # input columns travel in one struct, so that their names cannot clash
+    keyed = docs.select(F.struct(*kept).alias("_row"), own.alias("mix"))
     slices = max(LEAST_SLICES, docs.count() // SLICE_ROWS)
     head = F.conv(F.substring(F.col("mix.h"), 1, 8), 16, 10).cast("long")
     sliced = keyed.withColumn("_slice", F.floor(head * F.lit(slices) / F.lit(2**32)).cast("long")).withColumn("_key", F.col("mix.key"))
@@ -90,7 +90,7 @@ def mix(docs: DataFrame, cap: int = 3, classes: int = 3, curriculum: dict = CURR
     passes = F.array(*[F.struct(F.lit(p + 1).alias("pass"), words(F.lit(p)).alias("words"), F.when(start(F.lit(p)) < demand, position(F.lit(p))).alias("position")) for p in range(cap)])
     taken = sum((words(F.lit(p)) for p in range(1, cap)), words(F.lit(0)))
     done = F.struct(F.col("mix.size").alias("size"), "source_size", "target", taken.alias("taken"), F.col("weight").cast("int").alias("weight"), F.col("mix.h").alias("order_key"), passes.alias("passes"))
-    return placed.withColumn("mix", done).select(*docs.columns, *([] if "mix" in docs.columns else ["mix"]))
+    return placed.select(*[F.col("_row")[c].alias(c) for c in kept], done.alias("mix"))
 
 
 def by_first_position(mixed: DataFrame) -> DataFrame:
@@ -105,8 +105,7 @@ def schedule(mixed: DataFrame) -> DataFrame:
 
 
 def op2_mixing_sources(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    mixed = mix(docs).select("doc_id", "mix")
+    mixed = mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return by_first_position(mixed).select(
         "doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken", F.round(F.col("mix.passes")[0]["position"], 9).alias("position")
     )

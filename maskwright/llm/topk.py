@@ -28,6 +28,7 @@ from .common import stored, table
 LISTS, SCALE = 2, 1024
 BLOCK_BYTES, ROW_BLOCK = 8 << 20, 2048
 EXACT = 2.0**53
+MOST = 2**63 - 1
 
 
 def quantised(df: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -117,7 +118,7 @@ def _pass(rows: DataFrame, ids: np.ndarray, q: np.ndarray, k: int, cutoff: np.nd
                 best.add(c, own[r], total[r, c])
         which, found, scores = best.cut()
         if len(which):
-            yield pa.RecordBatch.from_arrays([pa.array(ids[which]), pa.array(found), pa.array([int(s) for s in scores], pa.int64())], names=["query_id", "vec_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[which]), pa.array(found), pa.array([max(-MOST, min(MOST, int(s))) for s in scores], pa.int64())], names=["query_id", "vec_id", "score"])
 
     return rows.mapInArrow(run, "query_id long, vec_id long, score long")
 
@@ -131,7 +132,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """query_id, rank, vec_id, score of each query's k best rows; both inputs as made by quantised().
 
     A row with the query's own vec_id is no candidate. Queries with the same vec_id and vector count once. Vectors of
-    other lengths are padded with zeros. Fewer candidates than k: all of them. No query or no row: an empty result."""
+    other lengths are padded with zeros. A score beyond a long counts as the greatest (or least) long. Fewer candidates than k: all of them. No query or no row: an empty result."""
     spark = rows.sparkSession
     none = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     seen = queries.agg(F.count("*"), F.max(F.size("v"))).first()
