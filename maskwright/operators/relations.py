@@ -25,13 +25,13 @@ def maximal_spans(df: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def not_listed(df: DataFrame, column: str, words: frozenset[str]) -> DataFrame:
     """Rows whose word, in lower case and without closing signs, is not in a list of at most a few hundred words."""
-    table = df.sparkSession.createDataFrame([(w,) for w in sorted(words)], "w string")
-    return df.join(F.broadcast(table), F.rtrim(F.lower(F.trim(column)), F.lit(",.:;")) == F.col("w"), "left_anti")
+    table = df.sparkSession.createDataFrame([(w,) for w in sorted(words)], "_listed string")
+    return df.join(F.broadcast(table), F.rtrim(F.lower(F.trim(column)), F.lit(",.:;")) == F.col("_listed"), "left_anti")
 
 
 def listed(df: DataFrame, column: str, words: frozenset[str]) -> DataFrame:
-    table = df.sparkSession.createDataFrame([(w,) for w in sorted(words)], "w string")
-    return df.join(F.broadcast(table), F.rtrim(F.lower(F.trim(column)), F.lit(",.:;")) == F.col("w"), "left_semi")
+    table = df.sparkSession.createDataFrame([(w,) for w in sorted(words)], "_listed string")
+    return df.join(F.broadcast(table), F.rtrim(F.lower(F.trim(column)), F.lit(",.:;")) == F.col("_listed"), "left_semi")
 
 
 def is_slash_list(text: Column) -> Column:

@@ -13,6 +13,7 @@ from .operators import detect, mask, parsers, relations
 from .plans import catalog, fixtures, lists
 from .plans.audit_rules import at_least
 from .plans.fixtures import frame, values
+from .sources.io import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,7 +73,7 @@ def clean_text(spark, sf_dir):
 )
 def normalize_documents(spark, sf_dir):
     c = texts.normalized(F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", c["zw_stripped"].alias("zw_stripped"), c["bidi_stripped"].alias("bidi_stripped"), c["nfc_changed"].alias("nfc_changed"), F.sha2(c["text"], 256).alias("text_sha256"))
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", c["zw_stripped"].alias("zw_stripped"), c["bidi_stripped"].alias("bidi_stripped"), c["nfc_changed"].alias("nfc_changed"), F.sha2(c["text"], 256).alias("text_sha256"))
 
 
 DIGITS = [(1, "١٢٣ and ４５"), (2, "Room ०९"), (3, "plain 42")]
@@ -162,7 +163,7 @@ def placeholder_map(spark, sf_dir):
 @query()
 def rule_hits(spark, sf_dir):
     """Every rule of the catalogue on its own over all documents."""
-    return detect.detect(table(spark, sf_dir, "documents")).groupBy("prefix", "label").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("n_docs"))
+    return detect.detect(spread(table(spark, sf_dir, "documents"))).groupBy("prefix", "label").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("n_docs"))
 
 
 # ---------------------------------------------------------------- masking
@@ -172,14 +173,14 @@ def rule_hits(spark, sf_dir):
 def mask_numbered(spark, sf_dir):
     """The flagship: validated, normalized, masked by the whole catalogue, audited."""
     c = texts.validated(F.col("text"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", c["clean"].alias("text"))
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", c["clean"].alias("text"))
     done = audits.audit(mask.mask(docs))
     return done.select("doc_id", "anonymized", F.size("replacements").alias("n_replacements"), F.size("leaks").alias("n_leaks"))
 
 
 @query()
 def mask_sources(spark, sf_dir):
-    done = mask.counted(mask.mask(table(spark, sf_dir, "documents")))
+    done = mask.counted(mask.mask(spread(table(spark, sf_dir, "documents"))))
     return done.select("doc_id", "count", *[F.element_at("sources", s).alias(s.replace("-", "_")) for s in mask.SOURCES], F.element_at("sources", "idempotence-skip").alias("skipped"))
 
 
@@ -208,7 +209,7 @@ def leaks_sql() -> str:
 
 
 def _leaks(spark, sf_dir) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     own = [r.label for r in AUDITED]
     return audits.exploded(audits.audit(docs.select("doc_id", "text"), "high", "text", None)).filter(F.col("pattern").isin(*own))
 
@@ -225,7 +226,7 @@ def audit_summary(spark, sf_dir):
 
 @query()
 def audit_lines(spark, sf_dir):
-    docs = audits.audit(table(spark, sf_dir, "documents").select("doc_id", "text"), "medium", "text", None)
+    docs = audits.audit(spread(table(spark, sf_dir, "documents")).select("doc_id", "text"), "medium", "text", None)
     return docs.filter(F.size("leaks") > 0).select("doc_id", audits.summary(F.col("leaks")).alias("summary"))
 
 
@@ -285,13 +286,13 @@ def language_fixtures(spark, sf_dir):
 
 @query()
 def lang_detect(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "lang", language.detect_language(F.col("text")).alias("language"))
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", "lang", language.detect_language(F.col("text")).alias("language"))
 
 
 @query()
 def lang_scores(spark, sf_dir):
     scores = language.language_scores(F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", *[c.alias(n) for n, c in scores.items()])
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", *[c.alias(n) for n, c in scores.items()])
 
 
 LETTERS = {**language.LETTERS, "czech": language.CZECH_LETTERS, "slovak": language.SLOVAK_LETTERS}
@@ -299,7 +300,7 @@ LETTERS = {**language.LETTERS, "czech": language.CZECH_LETTERS, "slovak": langua
 
 @query("SELECT doc_id, " + ", ".join(f"CAST(len(regexp_extract_all(text, {q(p)})) AS INTEGER) AS {n}" for n, p in LETTERS.items()) + " FROM documents")
 def lang_letters(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", *[language.count(F.col("text"), p, False).alias(n) for n, p in LETTERS.items()])
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", *[language.count(F.col("text"), p, False).alias(n) for n, p in LETTERS.items()])
 
 
 # ---------------------------------------------------------------- parsers
