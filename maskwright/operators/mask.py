@@ -9,7 +9,7 @@ that n - 1 rules have changed; everything before and after it is plain columns.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass, field
 from functools import lru_cache
 
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import normalized
+from ..functions.text import BY_CONTEXT, BY_SHAPE, normalized
 from ..plans import catalog, lists, prefilter
 from . import postprocess
 
@@ -212,9 +212,57 @@ def apply_entities(text: str, entities: list[dict], registry: Registry, rows: li
     return text
 
 
-def mask_document(text: str | None, options: Options = Options(), entities: list[dict] | None = None) -> dict:
+ANNOTATION = re.compile(r"(\[[\w#]+\]|\w+)_\[([^\]]+)\]")
+
+
+def apply_annotations(raw: str, registry: Registry, rows: list[dict], said: list[str], stop: frozenset[str] = lists.STOP_WORDS) -> str:
+    """Text of a masking provider, PLACEHOLDER_[original], under the document's own numbers.
+
+    Originals on the stop list, or that hold a mark, come back as they were; the kind of the others is told from the
+    provider's placeholder and the words before it."""
+    by_text: dict[str, str] = {}
+    for r in rows:
+        by_text.setdefault(re.sub(r"\s+", " ", r["original"]).strip().lower(), r["placeholder"])
+
+    def take(m: re.Match) -> str:
+        original = m[2]
+        if original.strip().lower() in stop:
+            said.append(f"common word {original!r} was masked as {m[1]!r} by the provider; it stays")
+            return original
+        if any(FIRST_MARK <= ord(c) <= LAST_MARK for c in original):
+            return original
+        key = re.sub(r"\s+", " ", original).strip().lower()
+        kind = kind_of(m[1], original, raw[max(0, m.start() - 50) : m.start()])
+        if key not in by_text:
+            by_text[key] = registry.next(lists.LABEL_PREFIX.get(kind, "ENTITA"))
+        _record(rows, original, by_text[key], kind, ANNOTATED)
+        return by_text[key]
+
+    return ANNOTATION.sub(take, raw)
+
+
+def kind_of(placeholder: str, original: str, before: str) -> str:
+    """Kind of a replacement by the placeholder's shape, the words before it or the original, as functions.text.infer_type."""
+    for pattern, kind in BY_SHAPE:
+        if re.search(pattern, placeholder):
+            return kind
+    for pattern, kind in BY_CONTEXT:
+        if re.search(pattern, before, re.IGNORECASE):
+            return kind
+    s = original.strip()
+    if s.isdigit():
+        return {8: "IČO (předpoklad)", 5: "PSČ (předpoklad)", 10: "rodné číslo (předpoklad)"}.get(len(s), "číslo")
+    if re.fullmatch(r"\d+\.\d+(\.\d+)?", s):
+        return "datum"
+    return "zkratka/krátký token" if re.fullmatch("[A-Za-zÁ-ž]{1,4}", s) else "neznámé"
+
+
+def mask_document(text: str | None, options: Options = Options(), entities: list[dict] | None = None, masker: Callable[[str], str] | None = None) -> dict:
     """Mask one normalized text: anonymized, replacements, occurrences, warnings, skipped.
 
+    `masker` is a provider of masking: it gets the text with marks and returns it annotated. If it fails, the rest of
+    the masking still counts and a warning says so.
+
     Null stays null; a blank text comes back as it is."""
     rows: list[dict] = []
     said: list[str] = []
@@ -250,6 +298,11 @@ def mask_document(text: str | None, options: Options = Options(), entities: list
         text = apply_rules(text, registry, marks, rows, options.keep_keyword)
     if options.strict and entities:
         text = apply_organisations(text, entities, registry, marks, rows)
+    if masker:
+        try:
+            text = apply_annotations(masker(text), registry, rows, said)
+        except (OSError, TimeoutError) as e:
+            said.append(f"the masking provider failed ({type(e).__name__}); only rules and entities were applied")
     text = "".join(marks.content.get(ch, ch) for ch in text)
     if options.fallback and entities:
         text = apply_entities(text, entities, registry, rows)
@@ -280,7 +333,7 @@ MASKED = (
 KINDS = [pa.string(), pa.list_(REPLACEMENT), pa.list_(OCCURRENCE), pa.list_(pa.string()), pa.bool_()]
 
 
-def mask(df: DataFrame, key: str = "doc_id", text: str = "text", options: Options = Options(), entities: str | None = None) -> DataFrame:
+def mask(df: DataFrame, key: str = "doc_id", text: str = "text", options: Options = Options(), entities: str | None = None, masker: Callable[[str], str] | None = None) -> DataFrame:
     """key, anonymized, replacements, occurrences, warnings, skipped of every row; works on streams too.
 
     `entities` names a column array<struct<type,label,text>> that a provider has made. With keep_mapping off, the
@@ -293,7 +346,7 @@ def mask(df: DataFrame, key: str = "doc_id", text: str = "text", options: Option
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Options(**given)
         for b in batches:
-            done = [mask_document(t.as_py(), own, e.as_py()) for t, e in zip(b.column(1), b.column(2))]
+            done = [mask_document(t.as_py(), own, e.as_py(), masker) for t, e in zip(b.column(1), b.column(2))]
             columns = [[d[k] for d in done] for k in ("anonymized", "replacements", "occurrences", "warnings", "skipped")]
             if not own.keep_mapping:
                 columns[1] = columns[2] = [None] * len(done)

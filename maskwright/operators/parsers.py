@@ -51,6 +51,18 @@ def conll_entities(df: DataFrame, key: str = "doc_id", text: str = "conll") -> D
     return found.select(key, F.col("session").alias("entity"), "type", type_label(F.col("type")).alias("label"), smart_join(F.col("t.token")).alias("text"), F.col("t.token").alias("tokens"), "nested")
 
 
+def to_conll(tokens: DataFrame, spans: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Tokens (key, sentence, n from 0, form) and disjoint spans (key, sentence, start, length, type) to key, conll: one
+    line a token with B- or I- and the type, or O, and a blank line after each sentence."""
+    begins = spans.select(key, "sentence", F.explode(F.sequence(F.lit(0), F.col("length") - 1)).alias("i"), "start", "type")
+    tags = begins.select(key, "sentence", (F.col("start") + F.col("i")).alias("n"), F.concat(F.when(F.col("i") == 0, "B-").otherwise("I-"), "type").alias("tag"))
+    lines = tokens.join(tags, [key, "sentence", "n"], "left").groupBy(key, "sentence").agg(
+        F.array_sort(F.collect_list(F.struct("n", F.concat("form", F.lit("\t"), F.coalesce("tag", F.lit("O"))).alias("line")))).alias("t")
+    )
+    whole = lines.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("sentence", F.concat(F.array_join("t.line", "\n"), F.lit("\n\n")).alias("s")))).alias("s"))
+    return whole.select(key, F.array_join("s.s", "").alias("conll"))
+
+
 # ---------------------------------------------------------------- ten-column tokens
 
 
@@ -107,6 +119,18 @@ def fragmentation(raw: Column, source: Column) -> dict[str, Column]:
     return {"glued": pairs, "leftover": F.sort_array(F.array_intersect(ends(source), ends(F.regexp_replace(raw, r"_\[[^\]]+\]", ""))))}
 
 
+def restore_stopped(text: Column, replacements: Column, stop: frozenset[str] = lists.STOP_WORDS) -> dict[str, Column]:
+    """Masked text and its replacements (array of structs with placeholder and original): those whose original is on the
+    stop list go, and the first place of their placeholder becomes the original again."""
+    common = lambda r: F.lower(F.trim(r["original"])).isin(*sorted(stop))
+
+    def back(t: Column, r: Column) -> Column:
+        at = F.instr(t, r["placeholder"])
+        return F.when(at > 0, F.concat(F.substring(t, F.lit(1), at - 1), F.trim(r["original"]), F.substring(t, at + F.length(r["placeholder"]), F.length(t)))).otherwise(t)
+
+    return {"anonymized": F.aggregate(F.filter(replacements, common), text, back), "replacements": F.filter(replacements, lambda r: ~common(r)), "n_restored": F.size(F.filter(replacements, common))}
+
+
 # ---------------------------------------------------------------- readability reports
 
 

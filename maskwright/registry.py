@@ -190,6 +190,48 @@ def mask_fixtures(spark, sf_dir):
     return mask.mask(rows).select("doc_id", "anonymized")
 
 
+ENTITY_TEXT = "Ing. Eva Malá, Beta s. r. o., Žádné CZ/SK, 我叫王伟, dnes eva@b.cz a Eva Maláková"
+ENTITY_ROWS = [("P", "osoba", "Eva Malá"), ("if", "firma/společnost", "Beta s . r . o ."), ("ps", "příjmení", "Ing."), ("gu", "město/obec", "Žádné"), ("gc", "stát/země", "CZ/SK"), ("PER", "osoba", "王伟"), ("T", "datum/čas", "dnes")]
+
+
+def _with_entities(spark) -> DataFrame:
+    return frame(spark, [(1, ENTITY_TEXT, ENTITY_ROWS)], "doc_id int, text string, entities array<struct<type:string,label:string,text:string>>")
+
+
+@query("SELECT * FROM " + values([(1, "Ing. OSOBA1, Beta s. r. o., Žádné CZ/SK, 我叫OSOBA2, dnes EMAIL1 a Eva Maláková")], "doc_id, anonymized"))
+def mask_entities(spark, sf_dir):
+    return mask.mask(_with_entities(spark), entities="entities").select("doc_id", "anonymized")
+
+
+@query("SELECT * FROM " + values([(1, "eva@b.cz", "EMAIL1", "wrapper-regex"), (1, "Beta s . r . o .", "FIRMA1", "wrapper-strict"), (1, "Eva Malá", "OSOBA1", "wrapper-nametag-fallback"), (1, "王伟", "OSOBA2", "wrapper-nametag-fallback")], "doc_id, original, placeholder, source"))
+def mask_strict(spark, sf_dir):
+    return mask.mapping(mask.mask(_with_entities(spark), options=mask.Options(strict=True), entities="entities")).select("doc_id", "original", "placeholder", "source")
+
+
+@query("SELECT * FROM " + values([(1, "OSOBA1 podal návrh, státu MESTO1 a EMAIL1.")], "doc_id, anonymized"))
+def mask_annotated(spark, sf_dir):
+    def masker(t: str) -> str:
+        return t.replace("Eva Malá", "Jana_[Eva Malá]").replace("státu", "UniAlfa_[státu]").replace("Brno", "Praha_[Brno]")
+
+    rows = frame(spark, [(1, "pan Eva Malá podal návrh, státu město Brno a e@b.cz.")], "doc_id int, text string")
+    done = mask.mask(rows, masker=masker)
+    return done.select("doc_id", F.replace(F.replace("anonymized", F.lit("pan "), F.lit("")), F.lit("město "), F.lit("")).alias("anonymized"))
+
+
+@query("SELECT * FROM " + values([("Vláda UniAlfa a Jana UniAlfa", "Vláda státu a Jana UniAlfa", 1, 1)], "text, anonymized, n_restored, n_left"))
+def stoplist_rollback(spark, sf_dir):
+    rows = frame(spark, [("Vláda UniAlfa a Jana UniAlfa", [("UniAlfa", "Státu "), ("Jana", "Eva")])], "text string, r array<struct<placeholder:string,original:string>>")
+    c = parsers.restore_stopped(F.col("text"), F.col("r"))
+    return rows.select("text", F.replace(c["anonymized"], F.lit("Státu"), F.lit("státu")).alias("anonymized"), c["n_restored"].alias("n_restored"), F.size(c["replacements"]).alias("n_left"))
+
+
+@query("SELECT * FROM " + values([(1, "Jan\tB-P\nNovák\tI-P\njde\tO\n\nBrno\tB-gu\n\n")], "doc_id, conll"))
+def conll_writer(spark, sf_dir):
+    tokens = frame(spark, [(1, 0, 0, "Jan"), (1, 0, 1, "Novák"), (1, 0, 2, "jde"), (1, 1, 0, "Brno")], "doc_id int, sentence int, n int, form string")
+    spans = frame(spark, [(1, 0, 0, 2, "P"), (1, 1, 0, 1, "gu")], "doc_id int, sentence int, start int, length int, type string")
+    return parsers.to_conll(tokens, spans)
+
+
 # ---------------------------------------------------------------- audit
 
 #: The rules that need no lookaround, with classes that the oracle's engine reads the same way.

@@ -81,6 +81,38 @@ def retried(call: Callable[[], Any], attempts: int = ATTEMPTS, wait: float = FIR
     raise AssertionError
 
 
+def http_json(url: str, fields: dict[str, str], result: str = "result", text_field: str = "data", timeout: float = 120.0) -> Provider:
+    """A provider that posts each text as a form and takes a field of the JSON answer; result None takes the whole body.
+
+    Redirects are not followed. Timeouts, lost connections and the RETRIED answers are tried again."""
+    import json
+    import urllib.error
+    import urllib.parse
+    import urllib.request
+
+    class Straight(urllib.request.HTTPRedirectHandler):
+        def redirect_request(self, *args, **kwargs):
+            return None
+
+    def post(text: str) -> str:
+        data = urllib.parse.urlencode(fields | {text_field: text}).encode()
+        try:
+            with urllib.request.build_opener(Straight).open(urllib.request.Request(url, data), timeout=timeout) as r:
+                return r.read().decode()
+        except urllib.error.HTTPError as e:
+            if e.code in RETRIED:
+                raise Transient(str(e)) from e
+            raise
+        except (urllib.error.URLError, TimeoutError, ConnectionError) as e:
+            raise Transient(str(e)) from e
+
+    def provide(texts: list[str], **options: Any) -> list[Any]:
+        bodies = [retried(lambda t=t: post(t)) for t in texts]
+        return bodies if result is None else [json.loads(b).get(result) for b in bodies]
+
+    return provide
+
+
 def checked_file(paths: list[str], sha256: str | None = None) -> str:
     """The first path that exists, given through the environment or listed; its digest must fit if one is given."""
     for path in filter(None, [os.environ.get("MASKWRIGHT_MODEL"), *paths]):
@@ -134,7 +166,28 @@ def extract_entities(df: DataFrame, provider: Provider, key: str = "doc_id", tex
     return split_romance(found) if fix_romance else found
 
 
-def analyze_morphology(df: DataFrame, provider: Provider, key: str = "doc_id", text: str = "text") -> DataFrame:
+def analyze_morphology(df: DataFrame, provider: Provider, key: str = "doc_id", text: str = "text", include_parse: bool = False, include_ranges: bool = False) -> DataFrame:
+    """Tokens of a provider that returns ten-column sentences; heads and ranges only if asked for."""
     from ..operators.parsers import conllu_tokens
 
-    return conllu_tokens(provided(df, provider, "string", key, text).withColumnRenamed("result", "conllu"), key)
+    tokens = conllu_tokens(provided(df, provider, "string", key, text).withColumnRenamed("result", "conllu"), key)
+    return tokens.drop(*([] if include_parse else ["head", "deprel"]), *([] if include_ranges else ["token_range"]))
+
+
+def morphology_counts(tokens: DataFrame, key: str = "doc_id") -> DataFrame:
+    return tokens.groupBy(key).agg(F.count("*").alias("token_count"), F.countDistinct("sentence").alias("sentence_count"))
+
+
+def check_readability(df: DataFrame, provider: Provider, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Readability of a provider that returns a JSON object with the fields stats, app1_features, app1_rule_info,
+    app2_colours, app3_colours and result: measures, lexical surprise and speech acts as columns. The rules are rows of
+    operators.parsers.activated_rules over the columns features and rule_info."""
+    from ..operators.parsers import lexical_surprise, speech_acts, stats
+
+    names = ("stats", "app1_features", "app1_rule_info", "app2_colours", "app3_colours", "result")
+    got = provided(df, provider, "string", key, text).withColumn("r", F.from_json("result", "struct<" + ",".join(f"{n}:string" for n in names) + ">"))
+    measures, words = stats(F.col("r.stats")), lexical_surprise(F.col("r.app2_colours"))
+    return got.select(
+        key, "error", *[c.alias(n) for n, c in measures.items()], *[c.alias(n) for n, c in words.items()],
+        speech_acts(F.col("r.app3_colours")).alias("speech_acts"), F.col("r.app1_features").alias("features"), F.col("r.app1_rule_info").alias("rule_info"), F.col("r.result").alias("highlighted_html"),
+    )
