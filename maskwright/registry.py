@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .functions import language, text as texts
 from .operators import audit as audits
-from .operators import detect, mask, parsers, relations
+from .operators import detect, languages, mask, parsers, relations
 from .plans import catalog, fixtures, lists
 from .plans.audit_rules import at_least
 from .plans.fixtures import frame, values
@@ -328,7 +328,14 @@ def language_fixtures(spark, sf_dir):
 
 @query()
 def lang_detect(spark, sf_dir):
-    return spread(table(spark, sf_dir, "documents")).select("doc_id", "lang", language.detect_language(F.col("text")).alias("language"))
+    return languages.detect_languages(spread(table(spark, sf_dir, "documents")))
+
+
+@query()
+def lang_agreement(spark, sf_dir):
+    """The tables' own language against the one found, counted, by column expressions only."""
+    found = spread(table(spark, sf_dir, "documents")).select("lang", language.detect_language(F.col("text")).alias("language"))
+    return found.groupBy("lang", "language").agg(F.count("*").alias("n"))
 
 
 @query()

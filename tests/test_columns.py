@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from maskwright.functions import language, text as texts
-from maskwright.operators import audit, detect, mask, parsers, relations
+from maskwright.operators import audit, detect, languages, mask, parsers, relations
 from maskwright.plans import catalog, fixtures, tools
 from maskwright.sources import io, providers
 from maskwright.streaming import mask as stream
@@ -86,6 +86,10 @@ def test_language(spark):
     assert column(spark, values, language.detect_language) == [as_python(t) for t in values]
     assert column(spark, [t for t, _ in fixtures.LANGUAGES], language.detect_language) == [x for _, x in fixtures.LANGUAGES]
     assert column(spark, [None], language.detect_language) == [None]
+    values += ["Mestský súd v Bratislave II rozhodol, človekom bol, máj 1999, rodné číslo nie je", "krajský soud sp.\nzn. 1 a spol. s r.o. korun českých", "a\x00b nie", "", None]
+    rows = spark.createDataFrame(list(enumerate(values)), "doc_id int, text string")
+    found = {r.doc_id: r.language for r in languages.detect_languages(rows).collect()}
+    assert [found[i] for i in range(len(values))] == [None if t is None else as_python(t) for t in values]
 
 
 def test_detectors_read_patterns_like_the_masker(spark):
@@ -197,6 +201,64 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(map(repr, spark.read.parquet(f"{tmp_path}/out").select("doc_id", "anonymized").collect())) == sorted(map(repr, batch.select("doc_id", "anonymized").collect()))
 
 
+def test_masking_provider():
+    def masker(t):
+        return t.replace("Novák", "Jan_[Novák]").replace("státu", "UniAlfa_[státu]")
+
+    out = mask.mask_document("pan Novák, státu, a@b.cz", masker=masker)
+    assert out["anonymized"] == "pan OSOBA1, státu, EMAIL1" and len(out["warnings"]) == 1
+    assert {r["source"] for r in out["replacements"]} == {"wrapper-regex", "wrapper-placeholder"}
+
+    def down(t):
+        raise TimeoutError
+
+    out = mask.mask_document("a@b.cz", masker=down)
+    assert out["anonymized"] == "EMAIL1" and "failed" in out["warnings"][0]
+
+
+def test_form_posts(tmp_path):
+    import http.server
+    import threading
+    import urllib.parse
+
+    seen = []
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):
+            data = urllib.parse.parse_qs(self.rfile.read(int(self.headers["Content-Length"])).decode())
+            seen.append(data)
+            self.send_response(503 if len(seen) == 1 else 404 if data["data"] == ["bad"] else 200)
+            self.end_headers()
+            self.wfile.write(b'{"result": "' + data["data"][0].upper().encode() + b'"}')
+
+        def log_message(self, *args):
+            pass
+
+    server = http.server.HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        call = providers.http_json(f"http://127.0.0.1:{server.server_port}/", {"model": "m"})
+        assert call(["x"]) == ["X"] and len(seen) == 2 and seen[0]["model"] == ["m"]
+        with pytest.raises(OSError):
+            call(["bad"])
+        assert len(seen) == 3
+    finally:
+        server.shutdown()
+
+
+def test_readability_and_morphology(spark):
+    import json
+
+    df = spark.createDataFrame([(1, "x"), (2, None)], "doc_id long, text string")
+    answer = json.dumps({"stats": fixtures.STATS, "app1_features": fixtures.RULE_HTML, "app1_rule_info": fixtures.RULES, "app2_colours": fixtures.SURPRISE, "app3_colours": '{"colours": {"01": "#aaa"}}', "result": "<b>"})
+    rows = providers.check_readability(df, lambda batch, **_: [answer for _ in batch])
+    one = {r.doc_id: r for r in rows.collect()}
+    assert one[1].metrics["ARI"].value == "9.5" and one[1].common == 7 and one[1].speech_acts == {"01": "#aaa"} and one[2].metrics is None
+    assert [(r.id, r["count"]) for r in parsers.activated_rules(rows).orderBy("rank").collect()] == [("b2", 1), ("a1", 2)]
+    tokens = providers.analyze_morphology(df, lambda batch, **_: [fixtures.CONLLU for _ in batch])
+    assert "head" not in tokens.columns and [tuple(r) for r in providers.morphology_counts(tokens).collect()] == [(1, 3, 2)]
+
+
 def test_sources(spark, tmp_path):
     (tmp_path / "t").mkdir()
     (tmp_path / "t" / "a.txt").write_text("a@b.cz\nx")
