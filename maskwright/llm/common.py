@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -24,8 +25,21 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_swept: set[str] = set()
+
+
+def _sweep(conf, jvm, root: str) -> None:
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(conf).delete(path, True)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new name in this application's scratch folder, which goes when the driver's Python ends."""
+    root = f"{shared_dir(spark)}/maskwright-{spark.sparkContext.applicationId}"
+    if root not in _swept:
+        _swept.add(root)
+        atexit.register(_sweep, spark._jsc.hadoopConfiguration(), spark._jvm, root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
