@@ -22,6 +22,7 @@ from ..plans import catalog, lists, prefilter
 from . import postprocess
 
 FIRST_MARK, LAST_MARK = 0xF0000, 0x10FFFD
+MARK = re.compile(f"[{chr(FIRST_MARK)}-{chr(LAST_MARK)}]")
 REGEX, STRICT, FALLBACK, ANNOTATED = "wrapper-regex", "wrapper-strict", "wrapper-nametag-fallback", "wrapper-placeholder"
 SOURCES = ("maskit", REGEX, STRICT, ANNOTATED, FALLBACK)
 SKIP_AT = 3  # placeholders in the input from which it counts as masked already
@@ -70,23 +71,21 @@ class Registry:
 class Marks:
     """Private characters that stand for spans, one for each distinct content."""
 
-    def __init__(self):
+    def __init__(self, first: int = FIRST_MARK):
+        self.first = first
         self.content: dict[str, str] = {}
         self.of: dict[str, str] = {}
 
     def make(self, content: str) -> str:
         mark = self.of.get(content)
         if mark is None:
-            mark = chr(FIRST_MARK + len(self.content))
+            mark = chr(self.first + len(self.content))
             self.content[mark], self.of[content] = content, mark
         return mark
 
     def open(self, text: str) -> str:
-        if not self.content:
-            return text
-        while any(FIRST_MARK <= ord(c) <= LAST_MARK for c in text):
-            text = text.translate({ord(m): c for m, c in self.content.items()})
-        return text
+        """The text with the contents of its marks in their place."""
+        return MARK.sub(lambda m: self.content.get(m[0], m[0]), text) if self.content else text
 
 
 @lru_cache(maxsize=1)
@@ -100,7 +99,6 @@ def compiled() -> dict:
         "item": re.compile(catalog.SECTION_ITEM.pattern, re.MULTILINE),
         "kept": [(re.compile(p), prefilter.needs(p)) for p in catalog.KEPT],
         "placeholder": re.compile(catalog.placeholder_pattern()),
-        "own": re.compile(f"[{chr(FIRST_MARK)}-{chr(LAST_MARK)}]"),
     }
 
 
@@ -212,6 +210,7 @@ def apply_entities(text: str, entities: list[dict], registry: Registry, rows: li
     return text
 
 
+MAY_HOLD = re.compile(r"[A-Z]\d")
 ANNOTATION = re.compile(r"(\[[\w#]+\]|\w+)_\[([^\]]+)\]")
 
 
@@ -269,21 +268,16 @@ def mask_document(text: str | None, options: Options = Options(), entities: list
     if text is None or not text.strip():
         return {"anonymized": text, "replacements": rows, "occurrences": [], "warnings": said, "skipped": False}
     c = compiled()
-    text = c["own"].sub("", text)
-    there = c["placeholder"].findall(text)
+    text = MARK.sub("", text)
+    there = c["placeholder"].findall(text) if MAY_HOLD.search(text) else []
     if len(there) >= SKIP_AT:
         said.append(f"{len(there)} placeholders in the input: taken as masked already, nothing was changed")
         return {"anonymized": text, "replacements": rows, "occurrences": [], "warnings": said, "skipped": True}
-    original, registry, marks, kept = text, Registry(), Marks(), Marks()
-    kept.make("")  # marks of kept text are told apart by their range
-    kept_base = FIRST_MARK + 0x10000
+    # the second private plane is for text that stays, so the two kinds of marks cannot meet
+    original, registry, marks, kept = text, Registry(), Marks(), Marks(FIRST_MARK + 0x10000)
 
     def keep(m: re.Match) -> str:
-        found = kept.of.get(m[0])
-        if found is None:
-            found = chr(kept_base + len(kept.content))
-            kept.content[found], kept.of[m[0]] = m[0], found
-        return found
+        return kept.make(m[0])
 
     if there:
         said.append(f"{len(there)} placeholders in the input are kept as they are")
@@ -303,24 +297,24 @@ def mask_document(text: str | None, options: Options = Options(), entities: list
             text = apply_annotations(masker(text), registry, rows, said)
         except (OSError, TimeoutError) as e:
             said.append(f"the masking provider failed ({type(e).__name__}); only rules and entities were applied")
-    text = "".join(marks.content.get(ch, ch) for ch in text)
+    text = marks.open(text)
     if options.fallback and entities:
         text = apply_entities(text, entities, registry, rows)
     if options.rewrite:
         text, rows = postprocess.rewrite(text, rows, original, options.names)
-    opened = {m: s for m, s in kept.content.items() if s}
     for r in rows:
-        r["original"] = "".join(opened.get(ch, ch) for ch in r["original"])
+        r["original"] = kept.open(r["original"])
     given = {r["placeholder"] for r in rows}
     # places are those of the final text, kept formats included
-    final, spots, at = [], [], 0
-    for m in c["placeholder"].finditer(text):
-        final.append("".join(opened.get(ch, ch) for ch in text[at : m.start()]))
+    final, spots, at, length = [], [], 0, 0
+    for m in c["placeholder"].finditer(text) if MAY_HOLD.search(text) else ():
+        final += [kept.open(text[at : m.start()]), m[0]]
+        length += len(final[-2])
         if m[0] in given:
-            spots.append({"placeholder": m[0], "position": sum(map(len, final))})
-        final.append(m[0])
+            spots.append({"placeholder": m[0], "position": length})
+        length += len(m[0])
         at = m.end()
-    final.append("".join(opened.get(ch, ch) for ch in text[at:]))
+    final.append(kept.open(text[at:]))
     return {"anonymized": "".join(final), "replacements": rows, "occurrences": spots, "warnings": said, "skipped": False}
 
 

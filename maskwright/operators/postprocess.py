@@ -139,7 +139,7 @@ def restore_public_names(s: Sheet) -> None:
         tail = of.get(m[2], "").strip()
         return f"{m[1]} {tail}" if tail in grants else m[0]
 
-    for head in ("GA", "TA", "AZV", "AV"):
+    for head in ("GA", "TA", "AZV", "AV") if re.search(r"(?:STAT|INSTITUCE|ENTITA|OSOBA|FIRMA|MESTO)\d", s.text) else ():
         s.text = re.sub(rf"\b({head})\s+{suffix}", grant, s.text)
     for p, original in of.items():
         original = original.strip()
@@ -221,22 +221,25 @@ def mask_foreign_firms(s: Sheet) -> None:
     s.text = re.sub(rf"\b([{U}][{U}0-9]*(?:[\s-][{U}][{U}0-9]*){{0,3}})\s+({ABROAD})\b", firm, s.text)
 
 
+#: Steps in order, each with the words of which one must be in the text (any case if it says so) for it to do anything.
 STEPS = (
-    join_towns,
-    drop_glued_connectors,
-    restore_institution_persons,
-    restore_public_names,
-    extend_institutions,
-    mask_middle_names,
-    mask_facilities,
-    mask_firm_heads,
-    mask_foreign_firms,
+    (join_towns, ("MESTO", "ENTITA"), False),
+    (drop_glued_connectors, ("mesto", "entita", "osoba", "region", "stat", "instituce"), True),
+    (restore_institution_persons, ("OSOBA",), False),
+    (restore_public_names, (), False),
+    (extend_institutions, ("INSTITUCE",), False),
+    (mask_middle_names, ("OSOBA",), False),
+    (mask_facilities, ("věznic", "nemocnic", "klinik", "úřad", "ministerstv", "ústav", "institut", "školk", "gymnázi"), True),
+    (mask_firm_heads, ("FIRMA",), False),
+    (mask_foreign_firms, (), False),
 )
 
 
 def rewrite(text: str, rows: list[dict], source: str, names: frozenset[str] | None = None) -> tuple[str, list[dict]]:
     """All steps in order."""
     sheet = Sheet(text, rows, source, names)
-    for step in STEPS:
-        step(sheet)
+    for step, words, any_case in STEPS:
+        where = sheet.text.lower() if any_case else sheet.text
+        if not words or any(w in where for w in words):
+            step(sheet)
     return sheet.text, sheet.rows
