@@ -54,3 +54,13 @@ def test_entry_without_the_training_data_operators(tmp_path):
     os.remove(tmp_path / "__spark_entry__.py")
     shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=120, env={**os.environ, "PYTHONPATH": str(tmp_path)})
+
+
+@needs_data
+def test_workers_get_the_package(tmp_path):
+    code = (
+        f"import sys; sys.path.insert(0, {str(ROOT)!r})\nfrom pyspark.sql import SparkSession\nimport __spark_entry__ as e\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\nassert e.entry(s).count() == 200"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=240, env=env)
