@@ -78,17 +78,18 @@ def meta_view(lang, source, chars) -> list[int]:
 
 
 class Logistic:
-    """Logistic regression with a ridge, fitted by Newton steps."""
+    """Logistic regression of weighted rows with a ridge, fitted by Newton steps."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0):
+    def __init__(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 0.3):
+        weight = np.ones(len(x)) if weight is None else weight
         x = np.hstack((x, np.ones((len(x), 1))))
         penalty = np.full(x.shape[1], ridge)
         penalty[-1] = 1e-3
         w = np.zeros(x.shape[1])
         for _ in range(30):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            g = x.T @ (p - y) + penalty * w
-            h = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+            g = x.T @ (weight * (p - y)) + penalty * w
+            h = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(penalty)
             step = np.linalg.solve(h, g)
             w -= step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
             if np.abs(step).max() < 1e-6:
@@ -103,14 +104,40 @@ def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _telling(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """Buckets whose presence differs most between the classes, by the z-score of the difference."""
-    n1, n0 = max(int(y.sum()), 1), max(int((1 - y).sum()), 1)
+def _groups(rows: list[np.ndarray], dense: np.ndarray) -> np.ndarray:
+    """Number of each row's group of near copies: rows that share a band of minimum hashes and most of their buckets, or
+    that agree in everything where there are few buckets.
+
+    Copies carry one label many times over; left alone, their words would look like signs of the class."""
+    bands, width = 6, 4
+    odd = np.arange(1, 2 * bands * width, 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    group = np.arange(len(rows))
+    seen: dict[tuple, int] = {}
+    for k, b in enumerate(rows):
+        if len(b) >= 20:
+            h = np.min(((b.astype(np.uint64) + np.uint64(1))[:, None] * odd[None, :]) >> np.uint64(20), axis=0)
+            keys = [(j, *h[j * width : (j + 1) * width].tolist()) for j in range(bands)]
+        else:
+            keys = [(b.tobytes(), dense[k].tobytes())]
+        for key in keys:
+            first = seen.setdefault(key, k)
+            if first != k and group[first] != group[k]:
+                shared = len(np.intersect1d(rows[first], b, assume_unique=True))
+                if len(b) < 20 or shared >= 0.6 * (len(rows[first]) + len(b) - shared):
+                    group[k] = group[first]
+    return group
+
+
+def _telling(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Buckets whose presence differs most between the classes, by the z-score of the difference, and which enough rows
+    of weight support."""
+    n1, n0 = max(float((weight * y).sum()), 1.0), max(float((weight * (1 - y)).sum()), 1.0)
     here = np.zeros((2, 1 << WORD_BITS))
-    for b, v in zip(rows, y):
-        here[int(v), b] += 1
+    for b, v, w in zip(rows, y, weight):
+        here[int(v), b] += w
     rate = (here.sum(axis=0) + 1) / (n0 + n1 + 2)
     z = np.abs(here[1] / n1 - here[0] / n0) / np.sqrt(rate * (1 - rate) * (1 / n1 + 1 / n0))
+    z[here.sum(axis=0) < 4] = 0
     best = np.argsort(-z, kind="stable")[:CHOSEN]
     return np.sort(best[z[best] > 5])
 
@@ -126,16 +153,18 @@ class CoTrained:
     """Both views of one target after co-training, and the model that joins them."""
 
     def __init__(self, labelled: dict, pool: dict, y: np.ndarray, rounds: int = ROUNDS):
-        held = np.arange(len(y)) % 5 == 4
-        fit = ~held
         y = y.astype(float)
-        self.chosen = _telling([b for b, f in zip(labelled["words"], fit) if f], y[fit])
+        group = labelled["group"]
+        held = np.isin(group, np.unique(group)[4::5])  # whole groups, so that no copy is on both sides
+        fit = ~held
+        weight = 1.0 / np.bincount(group)[group]
+        self.chosen = _telling([b for b, f in zip(labelled["words"], fit) if f], y[fit], weight[fit])
         lt = np.hstack((_marked(labelled["words"], self.chosen), labelled["dense"]))
         pt = np.hstack((_marked(pool["words"], self.chosen), pool["dense"])) if len(pool["words"]) else np.zeros((0, lt.shape[1]))
         views = {"text": (lt, pt), "meta": (labelled["meta"], pool["meta"])}
-        train = {v: (x[fit], y[fit]) for v, (x, _) in views.items()}
+        train = {v: (x[fit], y[fit], weight[fit]) for v, (x, _) in views.items()}
         free = {v: np.ones(len(pool["words"]), dtype=bool) for v in views}
-        prior = y[fit].mean()
+        prior = np.average(y[fit], weights=weight[fit])
         for _ in range(rounds):
             models = {v: Logistic(*train[v]) for v in views}
             gifts = {}
@@ -150,11 +179,13 @@ class CoTrained:
                 gifts[other] = np.concatenate(picked), np.concatenate(labels)
             for v, (rows, labels) in gifts.items():
                 free[v][rows] = False
-                train[v] = np.vstack((train[v][0], views[v][1][rows])), np.concatenate((train[v][1], labels))
+                more = views[v][1][rows], labels, 1.0 / np.bincount(pool["group"])[pool["group"]][rows]
+                train[v] = tuple(np.concatenate(pair) for pair in zip(train[v], more))
         self.text, self.meta = Logistic(*train["text"]), Logistic(*train["meta"])
         zt, zm = self.text.logit(lt[held]), self.meta.logit(labelled["meta"][held])
-        self.cal_text, self.cal_meta = Logistic(zt[:, None], y[held]), Logistic(zm[:, None], y[held])
-        self.join = Logistic(np.stack((self.cal_text.logit(zt[:, None]), self.cal_meta.logit(zm[:, None])), axis=1), y[held])
+        w = weight[held]
+        self.cal_text, self.cal_meta = Logistic(zt[:, None], y[held], w), Logistic(zm[:, None], y[held], w)
+        self.join = Logistic(np.stack((self.cal_text.logit(zt[:, None]), self.cal_meta.logit(zm[:, None])), axis=1), y[held], w)
         self.held_accuracy = float(((self.score(lt[held], labelled["meta"][held]) > 0.5) == (y[held] > 0.5)).mean())
 
     def score(self, text: np.ndarray, meta: np.ndarray) -> np.ndarray:
@@ -210,7 +241,7 @@ def _arrays(t: pa.Table) -> dict:
     meta = np.zeros((t.num_rows, META))
     for k, m in enumerate(t["meta"].to_pylist()):
         np.add.at(meta[k], m, 1)
-    return {"words": words, "dense": dense, "meta": meta}
+    return {"words": words, "dense": dense, "meta": meta, "group": _groups(words, dense)}
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL, rounds: int = ROUNDS) -> dict[str, CoTrained | float]:
@@ -232,7 +263,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
     arrays, free = _arrays(labelled), _arrays(pool)
     for t, default in zip(TARGETS, (1.0, 0.0)):
         y = np.array(labelled[t].to_pylist(), dtype=float)
-        out[t] = CoTrained(arrays, free, y, rounds) if 10 <= len(y) and all(len(np.unique(part)) == 2 for part in (y[np.arange(len(y)) % 5 == 4], y[np.arange(len(y)) % 5 != 4])) else float(round(y.mean())) if len(y) else default
+        groups = np.unique(arrays["group"])
+        sides = [y[np.isin(arrays["group"], part)] for part in (groups[4::5], np.setdiff1d(groups, groups[4::5]))]
+        if len(y) >= 10 and all(len(np.unique(part)) == 2 for part in sides):
+            out[t] = CoTrained(arrays, free, y, rounds)
+        else:
+            out[t] = float(round(y.mean())) if len(y) else default
     return out
 
 
