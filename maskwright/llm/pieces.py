@@ -101,6 +101,7 @@ class Pieces:
 
     def forget(self) -> None:
         self._place: dict[str, int] = {}
+        self._listed: dict[str, list] = {}
         self._encoded: list[bytes] = []
         self._best, self._loss, self._count = (np.zeros(1024, dtype=np.int64) for _ in range(3))
 
@@ -156,8 +157,8 @@ class Pieces:
                     two = self.n_best_chunk(c, 2)
                     self._add([c], [np.array(two[0][1], dtype="<i4").tobytes()], two[0][0], two[0][0] - two[1][0] if len(two) > 1 else -NONE, len(two[0][1]))
                 continue
-            for k in range(0, len(own), 8192):
-                self._learn_equal(own[k : k + 8192], size)
+            for k in range(0, len(own), 4096):
+                self._learn_equal(own[k : k + 4096], size)
 
     def _add(self, chunks: list[str], coded: list[bytes], best, loss, counts) -> None:
         n, m = len(self._encoded), len(chunks)
@@ -171,51 +172,59 @@ class Pieces:
         m = len(chunks)
         codes = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(m, size).astype(np.uint64)
         bytes_of = 1 + (codes > 0x7F).astype(np.int64) + (codes > 0x7FF) + (codes > 0xFFFF)
-        scores, ids = [], []
-        h = np.zeros((m, size + 1), dtype=np.uint64)[:, :size]
+        scores: dict[int, np.ndarray] = {}
+        ids: dict[int, np.ndarray] = {}
+        h = np.zeros((m, size), dtype=np.uint64)
         for n in range(1, min(size, self.longest) + 1):
             h = (h[:, : size - n + 1] + codes[:, n - 1 :] + np.uint64(1)) * BASE
             table_h, table_id, table_s = self._by_length[n - 1]
-            s, i = np.full(h.shape, NONE, dtype=np.int64), np.full(h.shape, -1, dtype=np.int64)
             r, c = np.nonzero(self._sieve[(h >> np.uint64(43)).astype(np.int64)])
             if len(r) and len(table_h):
                 own = h[r, c]
                 at = np.minimum(np.searchsorted(table_h, own), len(table_h) - 1)
                 hit = table_h[at] == own
                 r, c, at = r[hit], c[hit], at[hit]
+            if n > 1 and not (len(r) and len(table_h)):
+                continue  # no chunk has a piece of this length
+            s, i = np.full(h.shape, NONE, dtype=np.int64), np.full(h.shape, -1, dtype=np.int64)
+            if len(r) and len(table_h):
                 s[r, c], i[r, c] = table_s[at], table_id[at]
             if n == 1:
                 s = np.where(i < 0, self.byte_score * bytes_of, s)
-            scores.append(s)
-            ids.append(i)
+            scores[n], ids[n] = s, i
+        lengths_of = sorted(scores)
         ahead, came = np.full((m, size + 1), NONE, dtype=np.int64), np.zeros((m, size + 1), dtype=np.int64)
         ahead[:, 0] = 0
         for end in range(1, size + 1):
-            for n in range(1, min(end, len(scores)) + 1):
-                x = ahead[:, end - n] + scores[n - 1][:, end - n]
+            for n in lengths_of:
+                if n > end:
+                    break
+                x = ahead[:, end - n] + scores[n][:, end - n]
                 better = x > ahead[:, end]
                 ahead[better, end] = x[better]
                 came[better, end] = n
         back = np.full((m, size + 1), NONE, dtype=np.int64)
         back[:, size] = 0
         for start in range(size - 1, -1, -1):
-            for n in range(1, min(size - start, len(scores)) + 1):
-                np.maximum(back[:, start], back[:, start + n] + scores[n - 1][:, start], out=back[:, start])
+            for n in lengths_of:
+                if n > size - start:
+                    break
+                np.maximum(back[:, start], back[:, start + n] + scores[n][:, start], out=back[:, start])
         at = np.full(m, size)
         taken = np.full((m, size), -2, dtype=np.int64)  # id of the best path's piece by where it starts
         rows = np.arange(m)
-        through = [ahead[:, : size - n + 1] + scores[n - 1] + back[:, n:] for n in range(1, len(scores) + 1)]
+        through = {n: ahead[:, : size - n + 1] + scores[n] + back[:, n:] for n in lengths_of}
         while len(rows):
             n = came[rows, at[rows]]
             begin = at[rows] - n
             for k in np.unique(n).tolist():
                 w = n == k
-                taken[rows[w], begin[w]] = ids[k - 1][rows[w], begin[w]]
-                through[k - 1][rows[w], begin[w]] = NONE
+                taken[rows[w], begin[w]] = ids[k][rows[w], begin[w]]
+                through[k][rows[w], begin[w]] = NONE
             at[rows] = begin
             rows = rows[begin > 0]
         best = ahead[:, size]
-        second = np.max([t.max(axis=1) for t in through], axis=0)
+        second = np.max([t.max(axis=1) for t in through.values()], axis=0)
         loss = np.where(second < NONE // 2, -NONE, best - second)
         flat = taken[taken > -2]
         plain = ~(taken == -1).any(axis=1)
@@ -261,11 +270,20 @@ class Pieces:
             for k in sorted(give.tolist()):
                 if loss[k] == -NONE:
                     continue
-                own = self.n_best_chunk(chunks[k], n)
-                steps = [(s - own[0][0], len(ids) - len(own[0][1])) for s, ids in own]
+                steps = self._steps(chunks[k], n)
                 ranked = sorted(((a + b, c + d) for a, c in ranked for b, d in steps), reverse=True)[:n]
         return [(s / UNIT, c) for s, c in ranked]
 
+    def _steps(self, chunk: str, n: int) -> list[tuple[int, int]]:
+        """What the n best of a chunk lose against the best, in score and pieces."""
+        key = f"{n}|{chunk}"
+        if key not in self._listed:
+            if len(self._listed) > KEPT // 8:
+                self._listed.clear()
+            own = self.n_best_chunk(chunk, n)
+            self._listed[key] = [(s - own[0][0], len(ids) - len(own[0][1])) for s, ids in own]
+        return self._listed[key]
+
     def decode(self, ids: bytes) -> str:
         """The exact text of encoded ids."""
         raw = self.raw
@@ -293,8 +311,8 @@ def segmented(docs: DataFrame, model: str = MODEL, n: int = 3, scores: str = "au
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder_of(held.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                b = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 1024):
+                b = batch.slice(at, 1024)
                 coded = coder.encode([t or "" for t in b.column(1).to_pylist()], n)
                 ends = np.cumsum([0, *(len(i) // 4 for i, _ in coded)])
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(i for i, _ in coded), dtype="<i4")))
