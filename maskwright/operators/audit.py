@@ -48,7 +48,8 @@ def audit(masked: DataFrame, threshold: str = "high", text: str = "anonymized",
 
 
 def exploded(audited: DataFrame, key: str = "doc_id") -> DataFrame:
-    return audited.select(key, F.explode("leaks").alias("leak")).select(key, "leak.*")
+    """One row for each leak. The outer form keeps the optimizer from testing the costly array a second time, earlier."""
+    return audited.select(key, F.explode_outer("leaks").alias("leak")).filter(F.col("leak").isNotNull()).select(key, "leak.*")
 
 
 def summary(leaks: Column) -> Column:

@@ -27,7 +27,13 @@ ASCII = {
 def detect_ascii(df: DataFrame, kinds: list[str], key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, kind, n (from 0 within key and kind) and value of every match."""
     parts = [F.transform(F.regexp_extract_all(text, F.lit(ASCII[k]), F.lit(0)), _numbered(k)) for k in kinds]
-    return df.select(key, F.explode(F.concat(*[F.coalesce(p, F.array().cast("array<struct<kind:string,n:int,value:string>>")) for p in parts])).alias("e")).select(key, "e.kind", "e.n", "e.value")
+    found = F.concat(*[F.coalesce(p, F.array().cast("array<struct<kind:string,n:int,value:string>>")) for p in parts])
+    return _rows(df, key, found).select(key, "e.kind", "e.n", "e.value")
+
+
+def _rows(df: DataFrame, key: str, found: Column) -> DataFrame:
+    """One row for each element; the outer form keeps the optimizer from testing the costly array a second time, earlier."""
+    return df.select(key, F.explode_outer(found).alias("e")).filter(F.col("e").isNotNull())
 
 
 def _numbered(kind: str):
@@ -60,7 +66,7 @@ def detect(df: DataFrame, rules: list[catalog.Rule] | None = None, key: str = "d
         guarded = F.when(_guard(F.col(text), rule), found).otherwise(none_found())
         parts.append(F.transform(guarded, _tagged(n, rule)))
     # one projection for each batch of rules keeps the generated code small
-    out = [df.select(key, F.explode(F.concat(*parts[i : i + 24])).alias("e")).select(key, "e.*") for i in range(0, len(parts), 24)]
+    out = [_rows(df, key, F.concat(*parts[i : i + 24])).select(key, "e.*") for i in range(0, len(parts), 24)]
     return reduce(DataFrame.unionByName, out)
 
 
