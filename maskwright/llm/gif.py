@@ -1,8 +1,9 @@
 """GIF media: decode code streams, palettes, disposal and transparency to timed frames with colour histograms.
 
 `decode` follows the GIF89a layout. Between two clear codes the width of the n-th code depends on n alone, so all
-codes of such a run are cut from the bit string at once; a run of literal codes needs no table at all. `encode_bytes`
-stores any bytes as 8-bit indices of a 256-colour picture, in frames of at most FRAME_ROWS rows, with literal codes.
+codes of such a run are cut from the bit string at once, with 12-bit codes for as long as a clear code is deferred; a
+run of literal codes needs no table at all. `encode_bytes` stores any bytes as 8-bit indices of a 256-colour picture, in
+frames of at most FRAME_ROWS rows, with literal codes.
 """
 
 from __future__ import annotations
@@ -57,6 +58,24 @@ def _offsets(size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(([0], np.cumsum(width)[:-1])), width
 
 
+def _deferred(data: np.ndarray, base: int, past: int, total: int, codes: np.ndarray, stop: tuple[int, int], most: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The codes of a run that outlasts _offsets, up to its first clear or end code: the table is full, so 12-bit codes
+    go on. With them, where that code is (or nowhere), and how far from base the run reaches."""
+    parts, n = [codes], len(codes)
+    while n < most:
+        at = base + past + 12 * np.arange(min(n, (total - base - past) // 12))
+        if not len(at):
+            break
+        more = _bits(data, at, np.full(len(at), 12))
+        found = np.nonzero((more == stop[0]) | (more == stop[1]))[0]
+        more = more[: found[0] + 1] if len(found) else more
+        parts.append(more)
+        n, past = n + len(more), past + 12 * len(more)
+        if len(found):
+            return np.concatenate(parts), np.array([n - 1]), past
+    return np.concatenate(parts), np.zeros(0, dtype=np.int64), past
+
+
 def lzw_decode(size: int, stream: bytes, expect: int) -> np.ndarray:
     """Indices of one code stream with root size `size`, at most `expect` of them. A broken stream gives what came before."""
     clear, end = 1 << size, (1 << size) + 1
@@ -71,6 +90,10 @@ def lzw_decode(size: int, stream: bytes, expect: int) -> np.ndarray:
             break
         codes = _bits(data, base + at_in_run[:n], widths[:n])
         stops = np.nonzero((codes == clear) | (codes == end))[0]
+        past = int(at_in_run[n - 1] + widths[n - 1])
+        if n == len(at_in_run) and not len(stops):
+            codes, stops, past = _deferred(data, base, past, total, codes, (clear, end), expect - have)
+            n = len(codes)
         stop = int(stops[0]) if len(stops) else n
         run = codes[:stop]
         if len(run):
@@ -97,14 +120,9 @@ def lzw_decode(size: int, stream: bytes, expect: int) -> np.ndarray:
                     break
             out.append(piece)
             have += len(piece)
-        if stop < n:
-            base += int(at_in_run[stop] + widths[stop])
-            if codes[stop] == end:
-                break
-        elif n == len(at_in_run):
-            break
-        else:
+        if stop == n or codes[stop] == end:
             break
+        base += int(at_in_run[stop] + widths[stop]) if stop < len(at_in_run) else past
     return np.frombuffer(b"".join(out)[:expect], dtype=np.uint8)
 
 

@@ -354,6 +354,30 @@ def test_lzw(size, data):
     assert bytes(gif.lzw_decode(size, lzw_encode(size, data), len(data))) == data
 
 
+@pytest.mark.parametrize("size,data", [(8, random.Random(2).randbytes(30_000)), (2, bytes(x & 3 for x in random.Random(3).randbytes(120_000))), (8, b"abcab" * 2000 + random.Random(4).randbytes(20_000))])
+def test_lzw_deferred_clear(size, data):
+    stream = lzw_encode(size, data, deferred=True)
+    assert len(stream) * 8 > 3 * 4096 * 12
+    assert bytes(gif.lzw_decode(size, stream, len(data))) == data
+    later = lzw_encode(size, data, deferred=True) + lzw_encode(size, data[::-1])  # an end code ends it, whatever follows
+    assert bytes(gif.lzw_decode(size, later, 2 * len(data))) == data
+    assert data.startswith(bytes(gif.lzw_decode(size, stream[: len(stream) // 2], len(data)))[:-1])
+
+
+def test_lzw_clear_after_a_deferred_run():
+    """A full table used for long, then a clear code, then a fresh table."""
+    rng = random.Random(4)
+    first, last = [rng.randrange(256) for _ in range(20_000)], [rng.randrange(256) for _ in range(300)]
+    parts, n = [], 0
+    for c in [256, *first, 256, *last, 257]:
+        w = min(12, max(9, (258 + max(n - 1, 0)).bit_length()))
+        parts.append(f"{c:0{w}b}"[::-1])
+        n = 0 if c == 256 else n + 1
+    s = "".join(parts)
+    stream = bytes(int(s[k : k + 8][::-1], 2) for k in range(0, len(s), 8))
+    assert bytes(gif.lzw_decode(8, stream, 30_000)) == bytes(first + last)
+
+
 def frame_bytes(x, y, w, h, data, disposal=0, clear=None, delay=0, palette=None, interlaced=False, size=2):
     import struct
 
