@@ -7,7 +7,8 @@ No piece of the vocabulary spans the place where a space follows another charact
 of small ones, its chunks. Distinct chunks are scored together, one position at a time over all chunks of a length, and
 remembered. The second-best path of a chunk follows from forward and backward scores: it is the best path through an
 edge that is not on the best path. The n best of a text differ from the best only in the n - 1 chunks that give up least,
-so the search runs over those chunks' lattices, and their lists are merged.
+so the search runs over those chunks' lattices, and their lists are merged: each of the n best is the best ids with those
+of some chunks replaced.
 
 Encoding keeps every character: spaces become piece marks, what the vocabulary lacks becomes byte pieces, and decoding
 returns the exact text.
@@ -248,6 +249,10 @@ class Pieces:
 
     def encode(self, texts: list[str], n: int = 3) -> list[tuple[bytes, list[tuple[float, int]]]]:
         """Of each text: its best ids (int32, little-endian), and (score, pieces) of its n best segmentations."""
+        return [(best[0][1], [(s, len(i) // 4) for s, i in best]) for best in self.n_best(texts, n)]
+
+    def n_best(self, texts: list[str], n: int = 3) -> list[list[tuple[float, bytes]]]:
+        """(score, ids) of the n best segmentations of each text, best first; ids are int32, little-endian."""
         parts = [self.chunks(t) for t in texts]
         missing = set().union(*parts).difference(self._place)
         if missing:
@@ -259,29 +264,43 @@ class Pieces:
         for chunks in parts:
             place = np.fromiter(map(self._place.__getitem__, chunks), dtype=np.int64, count=len(chunks))
             ids = b"".join([self._encoded[i] for i in place.tolist()])
-            out.append((ids, self._merged(chunks, place, n)))
+            out.append(self._merged(chunks, place, ids, n))
         return out
 
-    def _merged(self, chunks: list[str], place: np.ndarray, n: int) -> list[tuple[float, int]]:
+    def _merged(self, chunks: list[str], place: np.ndarray, ids: bytes, n: int) -> list[tuple[float, bytes]]:
+        """The n best, each the best ids with those of some chunks replaced."""
         loss = self._loss[place]
-        ranked = [(int(self._best[place].sum()), int(self._count[place].sum()))]
+        ranked = [(int(self._best[place].sum()), ())]
         if n > 1:
             give = np.argpartition(loss, n - 2)[: n - 1] if len(loss) > n - 1 else np.arange(len(loss))
             for k in sorted(give.tolist()):
                 if loss[k] == -NONE:
                     continue
                 steps = self._steps(chunks[k], n)
-                ranked = sorted(((a + b, c + d) for a, c in ranked for b, d in steps), reverse=True)[:n]
-        return [(s / UNIT, c) for s, c in ranked]
+                # stable, so that among equals the best ids stay first
+                ranked = sorted(((a + b, (*c, (k, d)) if j else c) for a, c in ranked for j, (b, d) in enumerate(steps)), key=lambda x: -x[0])[:n]
+        if len(ranked) == 1:
+            return [(ranked[0][0] / UNIT, ids)]
+        ends = np.cumsum(self._count[place]) * 4
+        out = []
+        for s, changes in ranked:
+            made, at = [], 0
+            for k, own in changes:
+                made += [ids[at : ends[k] - len(self._encoded[place[k]])], own]
+                at = ends[k]
+            out.append((s / UNIT, b"".join([*made, ids[at:]])))
+        return out
 
-    def _steps(self, chunk: str, n: int) -> list[tuple[int, int]]:
-        """What the n best of a chunk lose against the best, in score and pieces."""
+    def _steps(self, chunk: str, n: int) -> list[tuple[int, bytes]]:
+        """What the n best of a chunk lose against the best, and their ids; the first are the ids kept for the chunk."""
         key = f"{n}|{chunk}"
         if key not in self._listed:
             if len(self._listed) > KEPT // 8:
                 self._listed.clear()
-            own = self.n_best_chunk(chunk, n)
-            self._listed[key] = [(s - own[0][0], len(ids) - len(own[0][1])) for s, ids in own]
+            own = [(s, np.array(ids, dtype="<i4").tobytes()) for s, ids in self.n_best_chunk(chunk, n)]
+            first = self._encoded[self._place[chunk]]  # among equals another may lead, or fill the list
+            rest = [(s - own[0][0], ids) for s, ids in own if ids != first]
+            self._listed[key] = [(0, first), *rest[: n - 1]]
         return self._listed[key]
 
     def decode(self, ids: bytes) -> str:
@@ -300,34 +319,38 @@ def _coder_of(model: list) -> Pieces:
 
 
 def segmented(docs: DataFrame, model: str = MODEL, n: int = 3, scores: str = "auto") -> DataFrame:
-    """doc_id, ids (array<int>), n_best (array of score and pieces, best first) and decoded text of every row of docs.
+    """doc_id, ids (array<int>), n_best (array of score, pieces and ids, best first) and decoded text of every row of docs.
 
     A null text is the empty text, whose one piece is the leading space. Repeated rows are all returned. Other columns
     are ignored. Empty in, empty out. The model is read on the driver; its vocabulary, of fixed size, is broadcast."""
     held = docs.sparkSession.sparkContext.broadcast(read_model(model, scores))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    list_type = pa.list_(pa.struct([("score", pa.float64()), ("pieces", pa.int32())]))
+    flat = lambda parts: pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(i) // 4 for i in parts)]), pa.int32()), pa.array(np.frombuffer(b"".join(parts), dtype="<i4")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder_of(held.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 b = batch.slice(at, 1024)
-                coded = coder.encode([t or "" for t in b.column(1).to_pylist()], n)
-                ends = np.cumsum([0, *(len(i) // 4 for i, _ in coded)])
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(i for i, _ in coded), dtype="<i4")))
-                lists = pa.array([[{"score": s, "pieces": c} for s, c in best] for _, best in coded], list_type)
-                yield pa.RecordBatch.from_arrays([b.column(0), ids, lists, pa.array([coder.decode(i) for i, _ in coded], pa.string())], names=["doc_id", "ids", "n_best", "decoded"])
+                found = coder.n_best([t or "" for t in b.column(1).to_pylist()], n)
+                every = [x for best in found for x in best]
+                parts = [i for _, i in every]
+                each = pa.StructArray.from_arrays([pa.array([s for s, _ in every], pa.float64()), pa.array([len(i) // 4 for i in parts], pa.int32()), flat(parts)], names=["score", "pieces", "ids"])
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), each)
+                firsts = [best[0][1] for best in found]
+                yield pa.RecordBatch.from_arrays([b.column(0), flat(firsts), lists, pa.array([coder.decode(i) for i in firsts], pa.string())], names=["doc_id", "ids", "n_best", "decoded"])
 
     rows = small_batches(docs).select("doc_id", F.col("text").cast("string"))
-    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, n_best array<struct<score:double,pieces:int>>, decoded string")
+    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, n_best array<struct<score:double,pieces:int,ids:array<int>>>, decoded string")
 
 
 def digests(rows: DataFrame) -> DataFrame:
-    """doc_id, n_pieces, ids_sha256 (of the ids joined by spaces), scores of the n best, decoded_sha256."""
+    """doc_id, n_pieces, ids_sha256 (of the ids joined by spaces), scores of the n best, decoded_sha256, and the digests
+    of the ids of the n best."""
     scores = F.transform("n_best", lambda b: F.round(b["score"], 4))
+    digest = lambda ids: F.sha2(F.concat_ws(" ", ids.cast("array<string>")), 256)
     return rows.select(
-        "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), scores.alias("n_best_scores"), F.sha2("decoded", 256).alias("decoded_sha256")
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), digest(F.col("ids")).alias("ids_sha256"), scores.alias("n_best_scores"), F.sha2("decoded", 256).alias("decoded_sha256"), F.transform("n_best", lambda b: digest(b["ids"])).alias("n_best_sha256")
     )
 
 

@@ -253,6 +253,51 @@ def test_n_best_is_exact(coder):
         assert coder.decode(ids) == s
 
 
+def score_of(coder, ids):
+    score = {i: coder.score[p] for p, i in coder.ids.items()} | {i: coder.byte_score for i in coder.bytes.values()}
+    return sum(score[i] for i in ids)
+
+
+def test_n_best_segmentations(coder):
+    """Each of the n best is another segmentation of the text, has its score, and none better is left out."""
+    rng = random.Random(5)
+    for n in (1, 2, 3, 7):
+        for _ in range(30):
+            s = "".join(rng.choice(["the", "in", " ", "é", "▁", "\n", "a", "ing", "x", "😀", "  "]) for _ in range(rng.randint(0, 5)))
+            every = {ids: score for score, ids in all_segmentations(coder, " " + s)}
+            best = [(round(b * pieces.UNIT), tuple(np.frombuffer(i, dtype="<i4").tolist())) for b, i in coder.n_best([s], n)[0]]
+            assert [b for b, _ in best] == sorted(every.values(), reverse=True)[:n]
+            assert len({i for _, i in best}) == len(best) and all(every[i] == b for b, i in best)
+
+
+def test_n_best_of_long_texts(coder):
+    s = "An ordinary sentence, unbelievably 😀 long. " * 40 + "x" * 60
+    best = coder.n_best([s], 5)[0]
+    assert len({i for _, i in best}) == 5 and best[0][1] == coder.encode([s], 5)[0][0]
+    for b, i in best:
+        assert coder.decode(i) == s and score_of(coder, np.frombuffer(i, dtype="<i4").tolist()) == round(b * pieces.UNIT)
+
+
+def test_n_best_among_equals():
+    model = [("", 0.0, b) for b in range(256)] + [(p, -2.0 * len(p), -1) for p in (" ", "a", "aa", "aaa", " a", " aa")]
+    own = pieces.Pieces(model)
+    for n in range(1, 9):
+        best = own.n_best(["aaaa"], n)[0]
+        assert len({i for _, i in best}) == n and {b for b, _ in best} == {-10.0} and all(own.decode(i) == "aaaa" for _, i in best)
+        assert best[0][1] == own.n_best(["aaaa"], 1)[0][0][1]
+
+
+def test_n_best_columns(spark, docs, coder):
+    rows = pieces.segmented(docs).collect()
+    for r in rows:
+        assert r.n_best[0]["ids"] == r.ids and all(len(b["ids"]) == b["pieces"] for b in r.n_best)
+        assert all(coder.decode(np.array(b["ids"], dtype="<i4").tobytes()) == r.decoded for b in r.n_best)
+    import hashlib
+
+    want = sorted(repr([hashlib.sha256(" ".join(map(str, b["ids"])).encode()).hexdigest() for b in r.n_best]) for r in rows)
+    assert sorted(repr(r.n_best_sha256) for r in pieces.digests(pieces.segmented(docs)).collect()) == want
+
+
 def test_pieces_come_back(spark, docs, coder, empty):
     rows = pieces.segmented(clash(docs)).collect()
     assert sorted(repr((r.doc_id, r.decoded)) for r in rows) == sorted(repr((r[0], r[1] or "")) for r in ROWS)
