@@ -1,12 +1,13 @@
 """Quality and toxicity classifiers by co-training of a text view and a page-metadata view.
 
-Both views start from the labelled rows. In each round every view is fitted, scores a pool of unlabelled rows, and hands
-those it is sure about, in the labels' proportions, to the other view as pseudo-labels. At the end each view is
-calibrated on held-out labelled rows, a small model over both calibrated views is fitted there, and all documents are
-scored.
-
-Fitting happens on the driver on a bounded sample: at most MAX_LABELLED labelled and MAX_POOL unlabelled documents, taken
-by the hash of their id, which reach the driver as features, not texts. Scoring covers whole texts of all documents.
+Both views start from the labelled rows. In each round every view scores all unlabelled documents on the executors, and
+those it is sure about train the other view: what they weigh there keeps to the labels' proportions and to no more than
+the labelled rows. The words of the text view are chosen anew each round, from labelled and pseudo-labelled documents. At
+the end each view is calibrated on held-out labelled rows, a small model over both calibrated views is fitted there, and
+all documents are scored.
+
+At most MAX_LABELLED labelled documents, taken by the hash of their id, reach the driver, as features, not texts. Of the
+unlabelled ones only sums do: counts by word and by metadata, and the derivatives that a Newton step needs.
 """
 
 from __future__ import annotations
@@ -20,10 +21,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import dropped, row_key, small_batches, stored, table
 
-MAX_LABELLED, MAX_POOL = 8000, 8000
-ROUNDS, SURE, GIVEN = 3, 0.97, 400  # co-training rounds; least confidence and most pseudo-labels of a round
+MAX_LABELLED = 8000
+ROUNDS, SURE, STEPS = 3, 0.97, 6  # co-training rounds; least confidence; most Newton steps over all documents
 WORD_BITS, CHOSEN, META = 18, 256, 128
 FLAGS = 6  # marks of a word: symbols, no letter or digit, capitals, exclamation, digits, address
 DENSE = 2 * FLAGS + 6
@@ -78,21 +79,27 @@ def meta_view(lang, source, chars) -> list[int]:
 
 
 class Logistic:
-    """Logistic regression of weighted rows with a ridge, fitted by Newton steps."""
+    """Logistic regression of weighted rows with a ridge, fitted by Newton steps. `more` gives gradient and curvature of
+    rows held elsewhere."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 0.3):
+    def __init__(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 0.3, more=None):
         weight = np.ones(len(x)) if weight is None else weight
         x = np.hstack((x, np.ones((len(x), 1))))
         penalty = np.full(x.shape[1], ridge)
         penalty[-1] = 1e-3
         w = np.zeros(x.shape[1])
-        for _ in range(30):
+        if more:
+            own = Logistic(x[:, :-1], y, weight, ridge)
+            w = np.append(own.w, own.b)
+        for _ in range(STEPS if more else 30):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
             g = x.T @ (weight * (p - y)) + penalty * w
             h = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+            if more:
+                g, h = (own + far for own, far in zip((g, h), more(w)))
             step = np.linalg.solve(h, g)
             w -= step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
-            if np.abs(step).max() < 1e-6:
+            if np.abs(step).max() < (1e-3 if more else 1e-6):
                 break
         self.w, self.b = w[:-1], w[-1]
 
@@ -128,11 +135,11 @@ def _groups(rows: list[np.ndarray], dense: np.ndarray) -> np.ndarray:
     return group
 
 
-def _telling(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+def _telling(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, given: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Buckets whose presence differs most between the classes, by the z-score of the difference, and which enough rows
-    of weight support."""
-    n1, n0 = max(float((weight * y).sum()), 1.0), max(float((weight * (1 - y)).sum()), 1.0)
-    here = np.zeros((2, 1 << WORD_BITS))
+    of weight support. given: pseudo-labelled documents by class, and those with each bucket."""
+    n1, n0 = max(float((weight * y).sum() + given[0][1]), 1.0), max(float((weight * (1 - y)).sum() + given[0][0]), 1.0)
+    here = given[1].astype(float)
     for b, v, w in zip(rows, y, weight):
         here[int(v), b] += w
     rate = (here.sum(axis=0) + 1) / (n0 + n1 + 2)
@@ -149,44 +156,146 @@ def _marked(rows: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
     return out
 
 
+class _Gifts:
+    """What a round gives to the views of one target: pseudo-labelled documents by class and those with each word, for
+    the text view; documents by class and metadata, for the other."""
+
+    def __init__(self):
+        self.rows, self.words, self.meta = np.zeros(2), np.zeros((2, 1 << WORD_BITS)), {}
+
+
+def _unlabelled(rows: DataFrame) -> DataFrame:
+    """Features of all these documents in a scratch table; copies with the same metadata count once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            views = [text_view(t.as_py()) for t in b.column(0)]
+            meta = [meta_view(*m) for m in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)))]
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in views], pa.list_(pa.int32())), pa.array([d for _, d in views], pa.list_(pa.float64())), pa.array(meta, pa.list_(pa.int32())), b.column(4)], names=["words", "dense", "meta", "key"])
+
+    view = ["text", "lang", "source", "n_chars"]
+    made = small_batches(rows).select(*view, row_key(*view).alias("key")).mapInArrow(run, "words array<int>, dense array<double>, meta array<int>, key long")
+    return stored(made.groupBy("key").agg(F.min(F.struct("dense", "meta", "words")).alias("row")).select("row.*"), "unlabelled")
+
+
+def _unpacked(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All words of a batch, the row of each, and the dense and metadata numbers by row."""
+    words, dense, meta = (b.column(b.schema.get_field_index(c)) for c in ("words", "dense", "meta"))
+    row = np.repeat(np.arange(b.num_rows), words.value_lengths().to_numpy(zero_copy_only=False))
+    return words.flatten().to_numpy(zero_copy_only=False), row, dense.flatten().to_numpy(zero_copy_only=False).reshape(-1, DENSE), meta.flatten().to_numpy(zero_copy_only=False).reshape(-1, 3)
+
+
+def _sure(z: np.ndarray) -> np.ndarray:
+    """Class that a view is sure of by its logits, else -1."""
+    p = _sigmoid(z)
+    return np.where(p >= SURE, 1, np.where(p <= 1 - SURE, 0, -1))
+
+
+def _gifts(pool: DataFrame, models: dict[str, CoTrained]) -> dict[str, _Gifts]:
+    """What both views of each target say about all documents of the pool, in one pass."""
+    held = pool.sparkSession.sparkContext.broadcast({t: m.flat_views() for t, m in models.items()})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = {t: _Gifts() for t in held.value}
+        for b in batches:
+            words, row, dense, meta = _unpacked(b)
+            for t, m in held.value.items():
+                g = found[t]
+                by_text = _sure(np.bincount(row, m["words"][words], minlength=b.num_rows) + dense @ m["dense"] + m["text_b"])
+                by_meta = _sure(m["meta"][meta].sum(axis=1) + m["meta_b"])
+                for c in (0, 1):
+                    g.rows[c] += (by_meta == c).sum()
+                    g.words[c] += np.bincount(words[by_meta[row] == c], minlength=1 << WORD_BITS)
+                    for x, n in zip(*np.unique(meta[by_text == c], axis=0, return_counts=True)):
+                        g.meta[c, *x.tolist()] = g.meta.get((c, *x.tolist()), 0) + int(n)
+        for t, g in found.items():
+            out = [(t, c, *x, n) for (c, *x), n in g.meta.items()]
+            for c in (0, 1):
+                at = np.flatnonzero(g.words[c])
+                out += [(t, c, w, -1, -1, n) for w, n in zip(at.tolist(), g.words[c][at].astype(int).tolist())]
+                out.append((t, c, -1, -1, -1, int(g.rows[c])))
+            kinds = (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), kinds)], names=["t", "c", "a", "b", "d", "n"])
+
+    out = {t: _Gifts() for t in models}
+    counts = pool.mapInArrow(run, "t string, c int, a int, b int, d int, n long").groupBy("t", "c", "a", "b", "d").agg(F.sum("n").alias("n"))
+    for t, c, a, b, d, n in zip(*counts.toArrow().to_pydict().values()):
+        if b >= 0:
+            out[t].meta[c, a, b, d] = n
+        elif a >= 0:
+            out[t].words[c, a] = n
+        else:
+            out[t].rows[c] = n
+    return out
+
+
+def _far(pool: DataFrame, model: dict, chosen: np.ndarray, scale: np.ndarray):
+    """A function of the text view's weights: gradient and curvature over the documents that the metadata view is sure of."""
+    slot = np.full(1 << WORD_BITS, -1)
+    slot[chosen] = np.arange(len(chosen))
+    size = len(chosen) + DENSE + 1
+    context = pool.sparkSession.sparkContext
+    fixed = context.broadcast((model["meta"], model["meta_b"], slot, scale))
+
+    def more(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            meta_w, meta_b, slot, scale = fixed.value
+            g, h = np.zeros(size), np.zeros((size, size))
+            for b in batches:
+                words, row, dense, meta = _unpacked(b)
+                label = _sure(meta_w[meta].sum(axis=1) + meta_b)
+                x = np.hstack((np.zeros((b.num_rows, size - DENSE - 1)), dense, np.ones((b.num_rows, 1))))
+                at = slot[words]
+                x[row[at >= 0], at[at >= 0]] = 1
+                x, label = x[label >= 0], label[label >= 0]
+                p, weight = _sigmoid(x @ w), scale[label]
+                g += x.T @ (weight * (p - label))
+                h += (x * (weight * p * (1 - p))[:, None]).T @ x
+            yield pa.RecordBatch.from_arrays([pa.array([np.vstack((g, h)).tobytes()], pa.binary())], names=["part"])
+
+        total = pool.mapInArrow(run, "part binary").rdd.map(lambda r: np.frombuffer(r[0])).treeReduce(lambda a, b: a + b).reshape(-1, size)
+        return total[0], total[1:]
+
+    return more
+
+
 class CoTrained:
-    """Both views of one target after co-training, and the model that joins them."""
-
-    def __init__(self, labelled: dict, pool: dict, y: np.ndarray, rounds: int = ROUNDS):
-        y = y.astype(float)
-        group = labelled["group"]
-        held = np.isin(group, np.unique(group)[4::5])  # whole groups, so that no copy is on both sides
-        fit = ~held
-        weight = 1.0 / np.bincount(group)[group]
-        self.chosen = _telling([b for b, f in zip(labelled["words"], fit) if f], y[fit], weight[fit])
-        lt = np.hstack((_marked(labelled["words"], self.chosen), labelled["dense"]))
-        pt = np.hstack((_marked(pool["words"], self.chosen), pool["dense"])) if len(pool["words"]) else np.zeros((0, lt.shape[1]))
-        views = {"text": (lt, pt), "meta": (labelled["meta"], pool["meta"])}
-        train = {v: (x[fit], y[fit], weight[fit]) for v, (x, _) in views.items()}
-        free = {v: np.ones(len(pool["words"]), dtype=bool) for v in views}
-        prior = np.average(y[fit], weights=weight[fit])
-        for _ in range(rounds):
-            models = {v: Logistic(*train[v]) for v in views}
-            gifts = {}
-            for v, other in (("text", "meta"), ("meta", "text")):
-                p = _sigmoid(models[v].logit(views[v][1]))
-                picked, labels = [], []
-                for label, score, most in ((1.0, p, int(GIVEN * prior) + 1), (0.0, 1 - p, int(GIVEN * (1 - prior)) + 1)):
-                    order = np.argsort(-score, kind="stable")
-                    order = order[(score[order] >= SURE) & free[other][order]][:most]
-                    picked.append(order)
-                    labels.append(np.full(len(order), label))
-                gifts[other] = np.concatenate(picked), np.concatenate(labels)
-            for v, (rows, labels) in gifts.items():
-                free[v][rows] = False
-                more = views[v][1][rows], labels, 1.0 / np.bincount(pool["group"])[pool["group"]][rows]
-                train[v] = tuple(np.concatenate(pair) for pair in zip(train[v], more))
-        self.text, self.meta = Logistic(*train["text"]), Logistic(*train["meta"])
-        zt, zm = self.text.logit(lt[held]), self.meta.logit(labelled["meta"][held])
-        w = weight[held]
+    """Both views of one target, and the model that joins them."""
+
+    def __init__(self, labelled: dict, y: np.ndarray):
+        self.rows, self.y, group = labelled, y.astype(float), labelled["group"]
+        self.held = np.isin(group, np.unique(group)[4::5])  # whole groups, so that no copy is on both sides
+        self.weight = 1.0 / np.bincount(group)[group]
+        fit = ~self.held
+        self.mass, self.prior = self.weight[fit].sum(), np.average(self.y[fit], weights=self.weight[fit])
+        self.learn(_Gifts(), None)
+
+    def learn(self, gifts: _Gifts, pool: DataFrame | None) -> None:
+        """Fit both views to the labelled rows and to what each is given by the other's judgement of the pool."""
+        fit = ~self.held
+        y, weight = self.y[fit], self.weight[fit]
+        chosen = _telling([b for b, f in zip(self.rows["words"], fit) if f], y, weight, (gifts.rows, gifts.words))
+        more = _far(pool, self.flat_views(), chosen, self._scale(gifts.rows)) if gifts.rows.any() else None
+        self.chosen, self.lt = chosen, np.hstack((_marked(self.rows["words"], chosen), self.rows["dense"]))
+        self.text = Logistic(self.lt[fit], y, weight, more=more)
+        x, label, n = np.zeros((len(gifts.meta), META)), np.zeros(len(gifts.meta)), np.zeros(len(gifts.meta))
+        for k, ((c, *pattern), m) in enumerate(sorted(gifts.meta.items())):
+            np.add.at(x[k], pattern, 1)
+            label[k], n[k] = c, m
+        scale = self._scale(np.bincount(label.astype(int), n, minlength=2))
+        self.meta = Logistic(*(np.concatenate(pair) for pair in ((self.rows["meta"][fit], x), (y, label), (weight, n * scale[label.astype(int)]))))
+
+    def _scale(self, n: np.ndarray) -> np.ndarray:
+        """Weight of one pseudo-labelled document by class, where n are given."""
+        return np.minimum(1.0, self.mass * np.array([1 - self.prior, self.prior]) / np.maximum(n, 1))
+
+    def join_views(self) -> None:
+        held, lt = self.held, self.lt
+        y, w, meta = self.y, self.weight[held], self.rows["meta"]
+        zt, zm = self.text.logit(lt[held]), self.meta.logit(meta[held])
         self.cal_text, self.cal_meta = Logistic(zt[:, None], y[held], w), Logistic(zm[:, None], y[held], w)
         self.join = Logistic(np.stack((self.cal_text.logit(zt[:, None]), self.cal_meta.logit(zm[:, None])), axis=1), y[held], w)
-        self.held_accuracy = float(((self.score(lt[held], labelled["meta"][held]) > 0.5) == (y[held] > 0.5)).mean())
+        self.held_accuracy = float(((self.score(lt[held], meta[held]) > 0.5) == (y[held] > 0.5)).mean())
 
     def score(self, text: np.ndarray, meta: np.ndarray) -> np.ndarray:
         zt, zm = self.cal_text.logit(self.text.logit(text)[:, None]), self.cal_meta.logit(self.meta.logit(meta)[:, None])
@@ -194,6 +303,11 @@ class CoTrained:
 
     def flat(self) -> dict:
         """The model as plain numbers: word weights by bucket, dense and metadata weights, and the joining line."""
+        return self.flat_views() | {"line": (self.cal_text.w[0], self.cal_text.b, self.cal_meta.w[0], self.cal_meta.b, self.join.w[0], self.join.w[1], self.join.b)}
+
+    def flat_views(self) -> dict:
+        if not hasattr(self, "text"):
+            return {}
         words = np.zeros(1 << WORD_BITS, dtype=np.float32)
         words[self.chosen] = self.text.w[: len(self.chosen)]
         return {
@@ -202,7 +316,6 @@ class CoTrained:
             "text_b": self.text.b,
             "meta": self.meta.w,
             "meta_b": self.meta.b,
-            "line": (self.cal_text.w[0], self.cal_text.b, self.cal_meta.w[0], self.cal_meta.b, self.join.w[0], self.join.w[1], self.join.b),
         }
 
 
@@ -244,31 +357,36 @@ def _arrays(t: pa.Table) -> dict:
     return {"words": words, "dense": dense, "meta": meta, "group": _groups(words, dense)}
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL, rounds: int = ROUNDS) -> dict[str, CoTrained | float]:
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS) -> dict[str, CoTrained | float]:
     """A model for each target; a constant rate where the labels have one class only (or none: quality 1, toxic 0).
 
     Labels of one document that differ count by their mean, rounded; labels with nulls are left out."""
     known = labels.filter("doc_id is not null and quality is not null and toxic is not null").groupBy("doc_id").agg(*[F.round(F.avg(t)).cast("int").alias(t) for t in TARGETS])
     taken = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    open_ = docs.select("doc_id").filter("doc_id is not null").join(known, "doc_id", "left_anti").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_pool)
     rows = _columns(docs)
-    chosen = taken.unionByName(open_.withColumns({t: F.lit(None).cast("int") for t in TARGETS}))
-    # at most max_labelled + max_pool rows of three numbers
-    seen = _features(rows.join(F.broadcast(chosen), "doc_id"))
-    mask = np.array([v is not None for v in seen["quality"].to_pylist()], dtype=bool)
-    labelled, pool = seen.filter(pa.array(mask)), seen.filter(pa.array(~mask))
+    # at most max_labelled rows of three numbers
+    labelled = _features(rows.join(F.broadcast(taken), "doc_id"))
     # a document given on many rows must not crowd out the rest
-    labelled, pool = labelled.slice(0, 2 * max_labelled), pool.slice(0, 2 * max_pool)
+    labelled = labelled.slice(0, 2 * max_labelled)
     out: dict[str, CoTrained | float] = {}
-    arrays, free = _arrays(labelled), _arrays(pool)
+    arrays = _arrays(labelled)
     for t, default in zip(TARGETS, (1.0, 0.0)):
         y = np.array(labelled[t].to_pylist(), dtype=float)
         groups = np.unique(arrays["group"])
         sides = [y[np.isin(arrays["group"], part)] for part in (groups[4::5], np.setdiff1d(groups, groups[4::5]))]
         if len(y) >= 10 and all(len(np.unique(part)) == 2 for part in sides):
-            out[t] = CoTrained(arrays, free, y, rounds)
+            out[t] = CoTrained(arrays, y)
         else:
             out[t] = float(round(y.mean())) if len(y) else default
+    models = {t: m for t, m in out.items() if isinstance(m, CoTrained)}
+    if models and rounds:
+        pool = _unlabelled(rows.join(known.select("doc_id"), "doc_id", "left_anti"))
+        for _ in range(rounds):
+            for t, gifts in _gifts(pool, models).items():
+                models[t].learn(gifts, pool)
+        dropped(pool)
+    for m in models.values():
+        m.join_views()
     return out
 
 

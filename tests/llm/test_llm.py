@@ -527,6 +527,23 @@ def test_classifier_on_held_out_rows(spark, docs, empty):
     assert quality.scored(empty, models).count() == 0
 
 
+def test_classifier_learns_words_of_unlabelled_documents(spark):
+    """Metadata tells the class, so words that no labelled document has must come from the unlabelled ones, all of them."""
+    rng = random.Random(8)
+    say = lambda own: " ".join(rng.choice(own) if rng.random() < 0.3 else f"word{rng.randrange(400)}" for _ in range(40))
+    old, new = ["vile", "foul"], ["wretched", "beastly", "rancid"]
+    rows = [(i, say(old if i % 3 == 0 else ["fine"]), "en", "bad" if i % 3 == 0 else "good", 200) for i in range(600)]
+    rows += [(i, say(old + new if i % 3 == 0 else ["fine"]), "en", "bad" if i % 3 == 0 else "good", 200) for i in range(1000, 10_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    labels = spark.createDataFrame([(i, int(i % 3 != 0), int(i % 3 == 0)) for i in range(600)], "doc_id long, quality int, toxic int")
+    model = quality.fit(docs, labels)["toxic"]
+    buckets = quality.text_view(" ".join(new))[0]
+    assert set(buckets.tolist()) <= set(model.chosen.tolist())
+    assert (model.flat()["words"][buckets] > 0).all()
+    gifts = quality._gifts(quality._unlabelled(docs.filter("doc_id >= 1000")), {"toxic": model})["toxic"]
+    assert gifts.rows.tolist() == [6000, 3000]  # every document, not a pool
+
+
 def test_classifier_without_labels(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.fit(docs, none) == {"quality": 1.0, "toxic": 0.0}
