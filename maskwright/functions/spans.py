@@ -1,28 +1,100 @@
-"""Places of a pattern's matches in a text column, in code points, from SQL functions only."""
+"""Places of a pattern's matches in a text column, in code points, from SQL functions only; no step is quadratic in the
+matches. Inner steps are SQL text, as that is planned many times faster than columns put together one by one."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-STATE = "struct<pos:int,out:array<struct<start:int,end:int,val:string>>>"
+FOUND = "array<struct<start:int,end:int,val:string>>"
+CONTEXT = "array<struct<start:int,end:int,val:string,left:string,right:string>>"
+#: Stands between matches and the rest. A text that holds it is handled without it.
+SEP = "\uffff"
 
 
-def none_found() -> Column:
-    return F.array().cast("array<struct<start:int,end:int,val:string>>")
+def let(value: Column, name: str, body: str) -> Column:
+    """SQL `body` with `name` for a value that is computed once, however often it is named."""
+    return F.get(F.call_function("transform", F.array(value), F.expr(f"{name} -> {body}")), F.lit(0))
 
 
-def spans(text: Column, pattern: str) -> Column:
+def let_sql(value: str, name: str, body: str) -> str:
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def running_sql(values: str, combine: str) -> str:
+    """SQL of an int array: for each element, what `combine` of {a} and {b} (associative, with zero) makes of zero and all
+    elements before it.
+
+    An array that grows by one costs its length each time, so the scan runs in blocks of about the root of the length:
+    within each block, and over the blocks' totals."""
+    state = "cast(named_struct('now', 0, 'out', array()) as struct<now:int,out:array<int>>)"
+
+    def scan(x: str) -> str:
+        return f"aggregate({x}, {state}, (acc, el) -> named_struct('now', {combine.format(a='acc.now', b='el')}, 'out', concat(acc.out, array(acc.now))))"
+
+    blocks = f"transform(sequence(0, cast((size(vals) - 1) div width as int)), blk -> {scan('slice(vals, blk * width + 1, width)')})"
+    totals = scan("transform(done, one -> one.now)")
+    whole = let_sql(blocks, "done", f"flatten(zip_with(done, {totals}.out, (one, carry) -> transform(one.out, el -> {combine.format(a='carry', b='el')})))")
+    sized = let_sql("cast(ceil(sqrt(size(vals))) as int)", "width", whole)
+    return let_sql(values, "vals", f"if(size(vals) > 0, {sized}, cast(array() as array<int>))")
+
+
+PAIR = "array<struct<p:string,f:string,q:string>>"
+PAIRED = f"if(size(cut) > 1, transform(sequence(0, cast((size(cut) - 3) div 2 as int)), i -> named_struct('p', cut[2 * i], 'f', cut[2 * i + 1], 'q', cut[2 * i + 2])), cast(array() as {PAIR}))"
+APART = f"if(size(two.f) > 0, transform(sequence(0, size(two.f) - 1), i -> named_struct('p', two.p[i], 'f', two.f[i], 'q', two.p[i + 1])), cast(array() as {PAIR}))"
+LENGTHS = running_sql("transform(pieces, z -> length(z.p) + length(z.f))", "{a} + {b}")
+
+
+def _pieces(text: Column, pattern: str) -> Column:
+    """array<struct<p,f,q>>: each match f with the pieces before and after it. One pass of the pattern over the text, two
+    where the text holds SEP."""
+    both = F.struct(F.split(text, pattern, -1).alias("p"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("f"))
+    return F.when(F.contains(text, F.lit(SEP)), let(both, "two", APART)).otherwise(let(F.split(F.regexp_replace(text, pattern, f"{SEP}$0{SEP}"), SEP, -1), "cut", PAIRED))
+
+
+def spans(text: Column, pattern: str, near: int = 0) -> Column:
     """array<struct<start,end,val>> of the leftmost non-overlapping matches; end is exclusive.
 
-    What lies between the matches and the matches themselves alternate, so running lengths give the places. The pattern
-    must not match the empty string. Null gives null."""
-    both = F.arrays_zip(F.split(text, pattern, -1).alias("p"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("f"))
+    The pieces between matches and the matches themselves alternate, so running lengths give the offsets. The pattern
+    must not match the empty string. Null gives null. With `near`, left and right are added: up to so many characters
+    beside the match, but not beyond the next match."""
+    sides = f", 'left', right(z.p, {near}), 'right', left(z.q, {near})" if near else ""
+    placed = f"zip_with(pieces, {LENGTHS}, (z, at) -> named_struct('start', at + length(z.p), 'end', at + length(z.p) + length(z.f), 'val', z.f{sides}))"
+    return F.when(text.isNotNull(), let(_pieces(text, pattern), "pieces", placed)).cast(CONTEXT if near else FOUND)
+
+
+def none_found(near: int = 0) -> Column:
+    return F.array().cast(CONTEXT if near else FOUND)
+
+
+def apart(found: Column, other: Column) -> Column:
+    """Spans (structs with start and end) that share no character with any span of `other`.
+
+    Both lists become one, in which a span of `found` stands at its end and one of `other` at its start; what is before it
+    and reaches beyond its start overlaps it. So nothing is compared pair by pair."""
+    events = (
+        "array_sort(concat(transform(x.other, o -> named_struct('k', o.start, 'f', 1, 'e', o.end, 'i', -1)), "
+        "transform(x.found, (s, i) -> named_struct('k', s.end, 'f', 0, 'e', 0, 'i', i))))"
+    )
+    reach = running_sql("transform(events, v -> v.e)", "greatest({a}, {b})")
+    free = f"transform(filter(zip_with(events, {reach}, (v, r) -> named_struct('v', v, 'r', r)), z -> z.v.f = 0 and z.r <= x.found[z.v.i].start), z -> x.found[z.v.i])"
+    return F.when(F.size(other) > 0, let(F.struct(found.alias("found"), other.alias("other")), "x", let_sql(events, "events", free))).otherwise(found)
+
 
-    def step(a: Column, z: Column) -> Column:
-        start = a["pos"] + F.length(z["p"])
-        end = start + F.length(z["f"])
-        return F.struct(end.alias("pos"), F.concat(a["out"], F.array(F.struct(start.alias("start"), end.alias("end"), z["f"].alias("val")))).alias("out"))
+def replaced(text: Column, found: Column, mark: str) -> Column:
+    """The text with each span of `found` (structs that begin with start and end) replaced by mark; spans that overlap
+    become one mark.
 
-    first = F.struct(F.lit(0).alias("pos"), F.array().alias("out")).cast(STATE)
-    return F.aggregate(F.filter(both, lambda z: z["f"].isNotNull()), first, step, lambda a: a["out"])
+    substring() walks to its offset, so the text is first cut into a stretch for each block of about the root of the
+    number of spans; single pieces are cut from those."""
+    # spans that begin a mark: no span before them reaches beyond their start
+    reach = running_sql("transform(own, s -> s.end)", "greatest({a}, {b})")
+    heads = f"filter(zip_with(own, {reach}, (s, r) -> named_struct('a', r, 'z', s.start)), h -> h.z >= h.a)"
+    piece = "concat(substring(stretch, h.a - part[0].a + 1, h.z - h.a), x.mark)"
+    block = let_sql("substring(x.text, part[0].a + 1, element_at(part, -1).z - part[0].a)", "stretch", f"concat_ws('', transform(part, h -> {piece}))")
+    blocks = f"transform(sequence(0, cast((size(heads) - 1) div width as int)), i -> {let_sql('slice(heads, i * width + 1, width)', 'part', block)})"
+    body = let_sql(heads, "heads", let_sql("cast(ceil(sqrt(size(heads))) as int)", "width", f"concat_ws('', {blocks})"))
+    rest = "substring(x.text, array_max(transform(own, s -> s.end)) + 1, length(x.text))"
+    whole = let_sql("array_sort(transform(x.found, s -> named_struct('start', s.start, 'end', s.end)))", "own", f"concat({body}, {rest})")
+    given = F.struct(text.alias("text"), found.alias("found"), F.lit(mark).alias("mark"))
+    return F.when(F.size(found) > 0, let(given, "x", whole)).otherwise(text)
