@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -17,12 +18,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that the driver and all executors see: spark.checkpoint.dir, or a local one where it is unset."""
+    """Folder that the driver and all executors see: spark.checkpoint.dir.
+
+    Where it is unset, a temporary folder serves if driver and executors are one process; on a cluster that is an error,
+    since an executor's own disk is not seen by the others and goes with it."""
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + os.path.join(tempfile.gettempdir(), "checkpoints", "maskwright")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+    if path:
+        return path.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir is unset; on {master} it must name a folder that the driver and all executors share")
+    return "file://" + os.path.join(tempfile.gettempdir(), "checkpoints", "maskwright")
 
 
 _swept: set[str] = set()
@@ -78,8 +84,12 @@ def small_batches(df: DataFrame) -> DataFrame:
 
 
 def row_key(*cols: str) -> Column:
-    """64-bit key of a row's content; equal rows share it. Nulls differ from empty texts."""
-    return F.xxhash64(*[x for c in cols for x in (F.col(c), F.col(c).isNull())])
+    """128-bit key (MD5, hexadecimal) of a row's content; equal rows share it. Nulls differ from empty texts."""
+    parts = []
+    for c in cols:
+        value = F.col(c).cast("string")
+        parts.append(F.when(value.isNull(), "n").otherwise(F.concat(F.length(value).cast("string"), F.lit(":"), value)))
+    return F.md5(F.concat(*parts))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

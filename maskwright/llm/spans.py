@@ -1,32 +1,13 @@
-"""Spans of a pattern in a text column, with code-point offsets, from SQL functions only."""
+"""Digest columns of spans."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPANS = "struct<pos:int,out:array<struct<start:int,end:int,val:string>>>"
+from ..functions.spans import none_found, replaced, spans
 
-
-def spans(text: Column, pattern: str) -> Column:
-    """array<struct<start,end,val>> of the leftmost non-overlapping matches; end is exclusive.
-
-    The pieces between matches and the matches themselves alternate, so running lengths give the offsets. The pattern
-    must not match the empty string."""
-    both = F.arrays_zip(F.split(text, pattern, -1).alias("p"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("f"))
-    matched = F.filter(both, lambda z: z["f"].isNotNull())
-
-    def step(a: Column, z: Column) -> Column:
-        start = a["pos"] + F.length(z["p"])
-        end = start + F.length(z["f"])
-        return F.struct(end.alias("pos"), F.concat(a["out"], F.array(F.struct(start.alias("start"), end.alias("end"), z["f"].alias("val")))).alias("out"))
-
-    first = F.struct(F.lit(0).alias("pos"), F.array().alias("out")).cast(SPANS)
-    return F.aggregate(matched, first, step, lambda a: a["out"])
-
-
-def none_found() -> Column:
-    return F.array().cast("array<struct<start:int,end:int,val:string>>")
+__all__ = ["counted", "joined", "none_found", "replaced", "spans", "tagged"]
 
 
 def joined(found: Column, order: str) -> Column:

@@ -116,6 +116,28 @@ def test_pii_learns_from_context(spark, empty):
     assert pii.find_pii(empty).count() == 0
 
 
+def test_pii_learns_labels_and_both_sides(spark, monkeypatch):
+    """Through the registered query: a label with its separator and a shape, and words on both sides, add spans."""
+    rng = random.Random(2)
+    noise = lambda: " ".join(rng.choice("abcdefgh") * rng.randint(2, 6) for _ in range(6))
+    rows = [(i, f"{noise()} karta: 4111 1111 1111 1111 {noise()}" if i % 2 else f"{noise()} kartou: 55{i:02}5555{i:02}55 {noise()}") for i in range(8)]
+    rows += [(100 + i, f"{noise()} node 10.0.{i}.7 replied") for i in range(5)] + [(110, f"{noise()} node 10.0.3.999 replied"), (111, f"{noise()} node 10.0.3.999 slept")]
+    rows += [(120 + i, f"{noise()} kontakt= user{i}@example.org;") for i in range(5)] + [(130, f"{noise()} kontakt= user9@intranet;"), (131, f"{noise()} 123456789012345")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(pii, "table", lambda *_: df)
+    out = {r.doc_id: r for r in pii.op1_pii(spark, "").collect()}
+    at = lambda i, x: next(t for d, t in rows if d == i).index(x)
+    assert out[110].spans == f"ip:{at(110, '10.0')}:{at(110, '10.0') + 10}" and out[110].n_ip == 0
+    assert out[130].spans == f"email:{at(130, 'user9')}:{at(130, 'user9') + 14}" and out[130].n_email == 0
+    assert out[131].spans == "" and all(out[i].spans == base_pii(t) for i, t in rows if i not in (110, 111, 130))
+
+
+def test_pii_of_a_machine_made_text(spark):
+    rows = [(1, "é x@y.zz 1.2.3.4 " * 60_000)]
+    r = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).select(F.size("base").alias("n"), F.element_at("base", -1).alias("last")).first()
+    assert r.n == 120_000 and (r["last"].start, r["last"].end) == (17 * 60_000 - 8, 17 * 60_000 - 1)
+
+
 # ---------------------------------------------------------------- 2 mixing
 
 
@@ -351,6 +373,24 @@ def test_ledger_scans_only_what_is_new(spark, tmp_path):
     assert found.count() == 2
     secrets.scan(df([(5, "clean")]), path, first)
     assert spark.read.parquet(path).count() == 5
+    # a run that overlapped has appended the same pairs again: no finding doubles
+    again = spark.read.parquet(path).withColumn("prefix", F.col("prefix").cast("string")).collect()
+    spark.createDataFrame(again, "blob string, version string, found " + secrets.FOUND + ", prefix string").write.partitionBy("prefix").mode("append").parquet(path)
+    assert secrets.scan(df([(1, "token=abcdef1")]), path, both).first().found == [(0, 13, 0, "assign")]
+    assert spark.read.parquet(path).count() == 10
+
+
+def test_findings_of_every_version(spark, tmp_path):
+    rows = [("a", 1, "clean"), ("a", 2, "token=abcdef1"), ("a", 3, "token=abcdef1 more"), ("b", 1, "token=abcdef1"), ("b", 2, None), (None, 1, "token=abcdef1"), ("c", 1, "x" * 100_000)]
+    history = spark.createDataFrame(rows, "path string, version int, text string").withColumn("found", F.lit(1))
+    out = secrets.findings(history, f"file://{tmp_path}/ledger")
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, [("a", 2, "assign", 0, 13, 2), ("a", 3, "assign", 0, 13, 2), ("b", 1, "assign", 0, 13, 1), (None, 1, "assign", 0, 13, 1)]))
+
+
+def test_op6_counts_every_document(spark, docs, monkeypatch):
+    monkeypatch.setattr(secrets, "table", lambda *_: clash(docs))
+    rows = secrets.op6_secret_scans(spark, "")
+    assert got(rows, "doc_id", "base_sha256") == sorted(repr((r[0], hashlib.sha256(base_secrets(r[1]).encode()).hexdigest())) for r in ROWS)
 
 
 def test_redaction(spark):
