@@ -1,103 +1,147 @@
 """Secret scans with an incremental blob ledger; DataFrame functions only.
 
 A blob is a whole text under the SHA-256 of its bytes. The ledger holds one row for each (blob, rule version) pair ever
-scanned, with the spans found. A run looks up which pairs of its blobs are missing, scans only those, each distinct text
-once, appends them, and joins the findings back to every path that holds the blob. A new rule version thus scans old
-blobs with the new rules only, and an unchanged table scans nothing.
+scanned, with the spans found, in folders by the first digits of the blob. A run joins the keys of its own blobs with the
+ledger, scans only the pairs that are missing, each distinct text once, appends them, and joins the findings back to
+every path that holds the blob. A new rule version thus scans old blobs with the new rules only, texts without any of its
+literals stay where they are, and an unchanged table scans nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from .common import new_path, stored, table
-from .spans import counted, joined, none_found, spans, tagged
+from .common import dropped, new_path, stored, table
+from .spans import counted, joined, none_found, replaced, spans, tagged
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-#: Rule versions in order; a version's rules never change. (kind, pattern, literal that must be there or None)
-RULES: dict[str, list[tuple[str, str, str | None]]] = {
-    "base-1": [("assign", ASSIGN, None), ("access", "AKIA[A-Z0-9]{16,}", "AKIA"), ("hex", "[0-9a-f]{24,}", None)],
+#: Rule versions in order; a version's rules never change. (kind, pattern, literals of which one must be there, or none)
+RULES: dict[str, list[tuple[str, str, tuple[str, ...]]]] = {
+    "base-1": [("assign", ASSIGN, ()), ("access", "AKIA[A-Z0-9]{16,}", ("AKIA",)), ("hex", "[0-9a-f]{24,}", ())],
     "vendor-1": [
-        ("pem", "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", "-----BEGIN"),
-        ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", "eyJ"),
-        ("github", "gh[opsur]_[A-Za-z0-9]{36,}", "gh"),
-        ("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", "xox"),
-        ("google", "AIza[A-Za-z0-9_-]{35}", "AIza"),
-        ("stripe", "[rs]k_live_[A-Za-z0-9]{24,}", "k_live_"),
+        ("pem", "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", ("-----BEGIN",)),
+        ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", (".eyJ",)),
+        ("github", "gh[opsur]_[A-Za-z0-9]{36,}", ("gho_", "ghp_", "ghs_", "ghu_", "ghr_")),
+        ("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", ("xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-")),
+        ("google", "AIza[A-Za-z0-9_-]{35}", ("AIza",)),
+        ("stripe", "[rs]k_live_[A-Za-z0-9]{24,}", ("k_live_",)),
     ],
 }
 RANK = {kind: n for n, kind in enumerate(k for rules in RULES.values() for k, _, _ in rules)}
 BASE = ("assign", "access", "hex")
 FOUND = "array<struct<start:int,end:int,rank:int,kind:string>>"
+LEDGER = f"blob string, version string, found {FOUND}, prefix string"
+
 
+def _may(text: Column, needs: tuple[str, ...]) -> Column:
+    """Cheap test that a rule can match at all."""
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(x)) for x in needs]) if needs else F.lit(True)
 
-def _scan(text: Column, rules: list[tuple[str, str, str | None]]) -> Column:
+
+def _scan(text: Column, rules: list[tuple[str, str, tuple[str, ...]]]) -> Column:
     parts = []
     for kind, pattern, needs in rules:
         found = spans(text, pattern)
         if kind == "assign":
             found = F.filter(found, lambda s: F.length(F.regexp_extract(s["val"], ASSIGN, 2)) >= 6)
-        guard = F.contains(text, F.lit(needs)) if needs else F.regexp_like(text, F.lit(pattern))
-        parts.append(tagged(F.when(guard, found).otherwise(none_found()), kind, RANK[kind]))
+        parts.append(F.when(_may(text, needs), tagged(found, kind, RANK[kind])).otherwise(tagged(none_found(), kind, RANK[kind])))
     return F.concat(*parts).cast(FOUND)
 
 
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
+
+
 def blobs(docs: DataFrame) -> DataFrame:
     """docs with `blob`, the SHA-256 of the text (of the empty text for null)."""
-    return docs.withColumn("blob", F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+    return docs.withColumn("blob", F.sha2(_text(), 256))
+
+
+def _held(spark: SparkSession, ledger: str) -> DataFrame | None:
+    """The ledger's rows, or None where there is no ledger yet."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(ledger)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.schema(LEDGER).parquet(ledger)
 
 
 def scan(docs: DataFrame, ledger: str, rules: dict | None = None) -> DataFrame:
     """Bring the ledger (a Parquet path, made if missing) up to date for docs; return (blob, found) for those of its
-    blobs with findings, over all rule versions.
-
-    Distinct texts are gathered per task before the shuffle, so a text with many copies moves once a task. A null text
-    is the empty text. Columns other than text are ignored. Empty in, empty out."""
-    spark, rules = docs.sparkSession, rules or RULES
-    texts = blobs(docs.select("text")).groupBy("blob").agg(F.first(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"))
-    path = spark._jvm.org.apache.hadoop.fs.Path(ledger)
-    known = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-    kind = f"blob string, version string, found {FOUND}"
-    if known:
-        seen = spark.read.schema(kind).parquet(ledger).groupBy("blob").agg(F.collect_set("version").alias("seen"))
-        texts = texts.join(seen, "blob", "left")
-    else:
-        texts = texts.withColumn("seen", F.lit(None).cast("array<string>"))
-    missing = lambda v: ~F.coalesce(F.array_contains("seen", v), F.lit(False))
-    pairs = F.array(*[F.when(missing(v), F.struct(F.lit(v).alias("version"), _scan(F.col("text"), r).alias("found"))) for v, r in rules.items()])
-    fresh = texts.withColumn("pair", F.explode(F.filter(pairs, lambda p: p.isNotNull()))).select("blob", "pair.version", "pair.found")
-    fresh.write.mode("append").parquet(ledger)
-    held = spark.read.schema(kind).parquet(ledger).filter(F.col("version").isin(*rules) & (F.size("found") > 0))
-    return stored(held.groupBy("blob").agg(F.flatten(F.collect_list("found")).alias("found")), "findings")
-
-
-def find_secrets(docs: DataFrame, ledger: str | None = None) -> DataFrame:
+    blobs with findings, over all rule versions given.
+
+    Only the ledger's rows of this run's blobs are grouped. Texts that some missing rule may match are gathered by blob,
+    per task before the shuffle, so a text with many copies moves once a task; other texts do not move. Runs that overlap
+    may append a pair twice, which counts once. A null text is the empty text. Columns other than text are ignored. Empty
+    in, empty out."""
+    rules = rules or RULES
+    spark = docs.sparkSession
+    keyed = blobs(docs.select("text"))
+    own = stored(keyed.select("blob").distinct(), "blobs")
+    held = _held(spark, ledger)
+    seen = own.withColumn("seen", F.array().cast("array<string>"))
+    if held is not None:
+        known = held.filter(F.col("version").isin(*rules)).join(own, "blob", "left_semi").groupBy("blob").agg(F.collect_set("version").alias("seen"))
+        seen = own.join(known, "blob", "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<string>")))
+    unseen = stored(seen.filter(F.size("seen") < len(rules)), "unseen")
+    # one flag for each rule version: whether some blob lacks it
+    lacks = unseen.agg(*[F.coalesce(F.max(~F.array_contains("seen", v)), F.lit(False)).alias(v) for v in rules]).first()
+    wanted = [v for v in rules if lacks[v]]
+    if wanted:
+        may = reduce(lambda a, b: a | b, [_may(_text(), needs) for v in wanted for _, _, needs in rules[v]])
+        texts = keyed.filter(may).groupBy("blob").agg(F.first(_text()).alias("text"))
+        pair = lambda v: F.when(~F.array_contains("seen", v), F.struct(F.lit(v).alias("version"), F.coalesce(_scan(F.col("text"), rules[v]), F.array().cast(FOUND)).alias("found")))
+        # outer, so that the optimizer does not compute the costly array a second time to test that it is not empty
+        pairs = unseen.join(texts, "blob", "left").select("blob", F.explode_outer(F.array_compact(F.array(*map(pair, wanted)))).alias("pair")).filter("pair is not null")
+        pairs.select("blob", "pair.version", "pair.found", F.left("blob", F.lit(1)).alias("prefix")).repartition("prefix").write.partitionBy("prefix").mode("append").parquet(ledger)
+    dropped(unseen)
+    rows = _held(spark, ledger)
+    if rows is None:  # no document, so no file was written
+        rows = spark.createDataFrame([], LEDGER)
+    rows = rows.filter(F.col("version").isin(*rules) & (F.size("found") > 0)).join(own, "blob", "left_semi")
+    out = stored(rows.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_set("found"))).alias("found")), "findings")
+    dropped(own)
+    return out
+
+
+def find_secrets(docs: DataFrame, ledger: str | None = None, rules: dict | None = None) -> DataFrame:
     """docs' columns plus `found` (array of start, end, rank, kind; empty if none) for every row, repeated rows included.
 
-    The ledger lies in the shared folder unless a path is given. An input column named found or blob is replaced."""
+    Every row is a path: a table of (path, version, text) gives the findings of each historical version of each path. The
+    ledger lies in the shared folder unless a path is given. An input column named found or blob is replaced. Null texts
+    are empty; very long ones are scanned whole."""
     keep = [c for c in docs.columns if c not in ("blob", "found")]
-    found = scan(docs, ledger or new_path(docs.sparkSession, "ledger"))
+    found = scan(docs, ledger or new_path(docs.sparkSession, "ledger"), rules)
     rows = blobs(docs).drop("found").join(found, "blob", "left")
     return rows.select(*keep, F.coalesce("found", F.array().cast(FOUND)).alias("found"))
 
 
-def redact(text: Column, found: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every span replaced; overlapping spans become one mark."""
-    begin = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
+def findings(history: DataFrame, ledger: str, path: str = "path", version: str = "version") -> DataFrame:
+    """(path, version, text) rows of every historical version to one row for each secret: path, version, kind, start, end,
+    first_seen (the least version of the path whose text has the same kind at the same place).
 
-    def step(a: Column, s: Column) -> Column:
-        ahead = F.when(s["start"] >= a["pos"], F.concat(a["out"], F.substring(text, a["pos"] + 1, s["start"] - a["pos"]), F.lit(mark))).otherwise(a["out"])
-        return F.struct(F.greatest(a["pos"], s["end"]).alias("pos"), ahead.alias("out"))
+    Versions with the same text share one blob and one scan. A null text has no secret."""
+    each = find_secrets(history.select(F.col(path), F.col(version), F.col("text")), ledger).select(path, version, F.explode("found").alias("s"))
+    rows = each.select(path, version, "s.kind", "s.start", "s.end")
+    return rows.withColumn("first_seen", F.min(version).over(W.partitionBy(path, "kind", "start", "end")))
 
-    cut = F.aggregate(F.array_sort(found), begin, step, lambda a: F.concat(a["out"], F.substring(text, a["pos"] + 1, F.length(text))))
-    return F.when(F.size(found) > 0, cut).otherwise(text)
+
+def redact(text: Column, found: Column, mark: str = "[SECRET]") -> Column:
+    """The text with every span replaced; overlapping spans become one mark."""
+    return replaced(text, found, mark)
 
 
 def op6_secret_scans(spark, sf_dir: str) -> DataFrame:
+    """Secrets of all documents in two runs over one ledger: first the base rules, then all rules, which scans each blob
+    with the rules that it has not seen yet. Null texts are empty, repeated rows stay, no row is left out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ledger = new_path(spark, "ledger")
+    scan(docs, ledger, {"base-1": RULES["base-1"]})
     base = F.filter("found", lambda s: s["kind"].isin(*BASE))
-    return find_secrets(docs).select(
+    return find_secrets(docs, ledger).select(
         "doc_id", *[counted(F.col("found"), k).alias(f"n_{k}") for k in BASE], F.sha2(joined(base, "start"), 256).alias("base_sha256"), joined(F.col("found"), "start").alias("spans")
     )
 
