@@ -3,16 +3,22 @@
 A window is WINDOW consecutive words of one document; a word goes if a window over it also starts in a document with a
 smaller doc_id. Keeping a row for every window would shuffle several times the text, so:
 
-1. Every window holds 39 k-mers of 12 words. The least hash among them is its minimizer; documents that share a window
+1. Equal rows become one, by a 128-bit key, and are numbered; their packed texts are stored once.
+2. Every window holds 39 k-mers of 12 words. The least hash among them is its minimizer; documents that share a window
    share it. Minimizers (about one word in twenty) are the graph's edges, and the words up to the next and previous
-   minimizer are how an edge goes on. One aggregation per k-mer finds the least and greatest document that hold it and
-   whether all its occurrences go on alike (bitwise and = bitwise or) to the right and to the left.
-2. A join brings this back to the occurrences of k-mers that two documents share. Runs of edges that go on alike are
+   minimizer are how an edge goes on. They are stored once. One aggregation per k-mer finds the least and greatest
+   document that hold it and whether all its occurrences go on alike to the right and to the left.
+3. A join brings this back to the occurrences of k-mers that two documents share. Runs of edges that go on alike are
    nonbranching paths: within one, every occurrence of the k-mer carries the same words, so windows inside need no row
-   of their own: their least document is that of their minimizer.
-3. Only windows over a branch whose minimizer is shared are hashed one by one; their least document comes from a second
+   of their own: their least document is that of their minimizer, at whose place it is looked up.
+4. Windows over a branch whose minimizer is shared go one by one, by a 128-bit digest of their own words, to a second
    aggregation and join, at the windows' source coordinates.
-4. Marked ranges meet the texts once more, which cuts the words out.
+5. What paths claim is verified at the source coordinates: the words of each claimed range are compared, by a 128-bit
+   digest, with those at the place in the source. A claim that fails sends its windows the way of step 4.
+6. Marked ranges meet the texts once more, which cuts the words out.
+
+The rolling hash only chooses k-mers and proposes paths. If two k-mers collide, their occurrences do not go on alike, and
+their windows are told apart by their words.
 
 Documents cross shuffles packed with zstandard. Hot k-mers and windows are aggregated before the shuffle, and the joins
 on them are plain joins of tables without further grouping on the key, so Spark may split a hot key.
@@ -30,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, small_batches, stored, table
+from .common import dropped, row_key, small_batches, stored, table
 
 WINDOW, K = 50, 12
 SPAN = WINDOW - K + 1  # k-mers in a window
@@ -108,43 +114,56 @@ def minimizers(doc: Hashed) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.nonzero(best == kmers)[0], kmers, least
 
 
-def edges(doc: Hashed) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Minimizer positions, their k-mer hashes, and 32 + 32 bits of how each goes on to the next and the previous one.
+def edges(doc: Hashed) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Minimizer positions, their k-mer hashes, and hashes of the words from each through the next and the previous one.
 
     Beyond the last and the first lie the document's ends, which count as words of their own."""
     at, kmers, _ = minimizers(doc)
-    nxt = doc.ranges(at, np.append(at[1:] + K, doc.n))
-    nxt[-1] ^= np.uint64(0xA5A5A5A55A5A5A5A)
-    prev = doc.ranges(np.insert(at[:-1], 0, 0), at + K)
-    prev[0] ^= np.uint64(0x3C3C3C3CC3C3C3C3)
-    on = (nxt >> np.uint64(32) << np.uint64(32)) | (prev >> np.uint64(32))
-    return at, kmers[at], on
+    right = doc.ranges(at, np.append(at[1:] + K, doc.n))
+    right[-1] ^= np.uint64(0xA5A5A5A55A5A5A5A)
+    left = doc.ranges(np.insert(at[:-1], 0, 0), at + K)
+    left[0] ^= np.uint64(0x3C3C3C3CC3C3C3C3)
+    return at, kmers[at], right, left
 
 
 def _split(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split()
 
 
+class Lined:
+    """Words of one document in one byte string, to digest any of its word ranges."""
+
+    def __init__(self, words: list[bytes]):
+        self.line = b" ".join(words)
+        ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)
+        self.starts, self.ends = np.concatenate(([0], ends[:-1])), ends - 1
+
+    def digests(self, at: np.ndarray, end: np.ndarray) -> list[bytes]:
+        line, digest = self.line, xxhash.xxh3_128_digest
+        return [digest(line[a:z]) for a, z in zip(self.starts[at].tolist(), self.ends[end - 1].tolist())]
+
+
 def _edge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(n, d, packed) to the edges of each document: h, n, d, at, right, left."""
     for b in batches:
-        key, parts = b.column(0).to_numpy(zero_copy_only=False), []
-        for i, text in enumerate(b.column(2)):
-            words = _split(text.as_py())
+        n, d, parts = b.column(0).to_numpy(), b.column(1).to_numpy(), []
+        for i, packed in enumerate(b.column(2)):
+            words = _unpacked(packed.as_py()).split()
             if len(words) >= WINDOW:
-                at, h, on = edges(Hashed(words))
-                parts.append((np.full(len(at), i), at, h, on))
+                at, h, right, left = edges(Hashed(words))
+                parts.append((np.full(len(at), i), at, h, right, left))
         if parts:
-            row, at, h, on = (np.concatenate(x) for x in zip(*parts))
-            order = b.column(1).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (h.view(np.int64), key[row], order[row], at.astype(np.int32), on.view(np.int64))], names=["h", "rid", "d", "at", "goes"]
-            )
+            row, at, h, right, left = (np.concatenate(x) for x in zip(*parts))
+            made = (h.view(np.int64), n[row], d[row], at.astype(np.int32), right.view(np.int64), left.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], names=["h", "n", "d", "at", "right", "left"])
 
 
-def _explained(d: int, doc: Hashed, known: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Which windows repeat for sure, and which must be looked up, from what is known of the shared minimizers.
+def _explained(d: int, doc: Hashed, known: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each window: the number of the row that a path claims to hold it in a smaller document (-1: none), where it
+    starts there, and whether it must be looked up, from what is known of the shared minimizers.
 
-    known: at (sorted), low, right, left: positions, least document, whether all occurrences go on alike."""
+    known: at (sorted), low, from, place, right, left: positions, least document, the row and position of the k-mer there,
+    whether all occurrences go on alike."""
     n_windows = doc.n - WINDOW + 1
     at, kmers, least = minimizers(doc)
     where = np.searchsorted(at, known["at"])
@@ -169,11 +188,16 @@ def _explained(d: int, doc: Hashed, known: dict) -> tuple[np.ndarray, np.ndarray
     inside = (over >= 0) & (over < n_windows)
     hit = inside & (least[np.where(inside, over, 0)] == kmers[at[shared]][:, None])
     alike = hit & (over >= reach_l[shared][:, None]) & (over + WINDOW <= reach_r[shared][:, None])
-    asked, settled, repeats = (np.zeros(n_windows, dtype=bool) for _ in range(3))
+    asked, settled = (np.zeros(n_windows, dtype=bool) for _ in range(2))
+    source, place = np.full(n_windows, -1, dtype=np.int64), np.zeros(n_windows, dtype=np.int64)
     asked[over[hit]] = True
     settled[over[alike]] = True
-    repeats[over[alike & (low[shared] < d)[:, None]]] = True
-    return repeats, asked & ~settled
+    lower = alike & (low[shared] < d)[:, None]
+    # later k-mers overwrite earlier ones, so every window ends with the claim of one of its minimizers
+    r, c = np.nonzero(lower)
+    w = over[r, c]
+    source[w], place[w] = known["from"][r], known["place"][r] - c
+    return source, place, asked & ~settled
 
 
 def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -182,29 +206,49 @@ def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rid, d, packed, known) to rows: h null for ranges of windows that repeat (at, until), else one open window."""
+    """(n, d, packed, known) to rows: ranges of windows [at, until) that a path claims, with their source (row, place), or
+    open windows (source null), with the digest of their words."""
     for b in batches:
-        parts = []
-        for rid, d, packed, known in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
-            doc = Hashed(_unpacked(packed.as_py()).split())
+        out: list[tuple] = []
+        for n, d, packed, known in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
+            words = _unpacked(packed.as_py()).split()
             flat = known.values
-            k = {name: flat.field(name).to_numpy(zero_copy_only=False) for name in ("at", "low", "right", "left")}
+            k = {name: flat.field(name).to_numpy(zero_copy_only=False) for name in ("at", "low", "from", "place", "right", "left")}
             order = np.argsort(k["at"], kind="stable")
-            order = order[np.concatenate(([True], np.diff(k["at"][order]) > 0))]  # equal rows bring the same twice
-            repeats, asked = _explained(d, doc, {name: v[order] for name, v in k.items()})
-            start, end = _runs(repeats)
+            source, place, asked = _explained(d, Hashed(words), {name: v[order] for name, v in k.items()})
+            # a range is a run of windows with one source row and one shift
+            claimed, shift = source >= 0, place - np.arange(len(place))
+            new = claimed & ~(np.concatenate(([False], claimed[:-1])) & (source == np.roll(source, 1)) & (shift == np.roll(shift, 1)))
+            start = np.nonzero(new)[0]
+            end = np.maximum.reduceat(np.where(claimed, np.arange(1, len(source) + 1), 0), start) if len(start) else start
             at = np.nonzero(asked)[0]
-            h = doc.ranges(at, at + WINDOW).view(np.int64)
-            n = len(start) + len(at)
-            if n:
-                parts.append((np.full(n, rid), np.full(n, d), np.concatenate((np.zeros(len(start), dtype=np.int64), h)), np.arange(n) < len(start), np.concatenate((start, at)), np.concatenate((end, at + 1))))
-        if parts:
-            rid, d, h, sure, at, until = (np.concatenate(x) for x in zip(*parts))
+            if len(start) or len(at):
+                lined = Lined(words)
+                first, until = np.concatenate((start, at)), np.concatenate((end, at + 1))
+                out.append((np.full(len(first), n), np.full(len(first), d), first, until, np.concatenate((source[start], np.full(len(at), -1))), np.concatenate((place[start], at)), lined.digests(first, until + WINDOW - 1)))
+        if out:
+            n, d, at, until, source, place = (np.concatenate(x) for x in list(zip(*out))[:6])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rid), pa.array(d), pa.array(h, mask=sure), pa.array(at.astype(np.int32)), pa.array(until.astype(np.int32))], names=["rid", "d", "h", "at", "until"]
+                [pa.array(n), pa.array(d), pa.array(at.astype(np.int32)), pa.array(until.astype(np.int32)), pa.array(source, mask=source < 0), pa.array(place.astype(np.int32)), pa.array([x for o in out for x in o[6]], pa.binary())],
+                names=["n", "d", "at", "until", "source", "place", "digest"],
             )
 
 
+def _claim_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(n, packed, wanted) to (source, place, length, there): digests of wanted ranges of a source's windows."""
+    for b in batches:
+        out = []
+        for n, packed, wanted in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
+            lined, flat = Lined(_unpacked(packed.as_py()).split()), wanted.values
+            place, length = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("place", "length"))
+            inside = (place >= 0) & (place + length + WINDOW - 1 <= len(lined.ends))
+            place, length = place[inside], length[inside]
+            out.append((np.full(len(place), n), place, length, lined.digests(place, place + length + WINDOW - 1)))
+        if out:
+            n, place, length = (np.concatenate(x) for x in list(zip(*out))[:3])
+            yield pa.RecordBatch.from_arrays([pa.array(n), pa.array(place.astype(np.int32)), pa.array(length.astype(np.int32)), pa.array([x for o in out for x in o[3]], pa.binary())], names=["source", "place", "length", "there"])
+
+
 def _packed(text: str | None) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress((text or "").encode("utf-8", "surrogatepass"))
 
@@ -224,25 +268,48 @@ def _pack(df: DataFrame, keep: list[str]) -> DataFrame:
     return df.select(*keep, "_text").mapInArrow(run, ", ".join(f"`{k}` {fields[k]}" for k in keep) + ", packed binary")
 
 
-def repeated_ranges(docs: DataFrame) -> DataFrame:
-    """(rid, ranges array<struct<at,until>>): ranges of windows, by their first word, that start in a smaller document.
+def _claims_hold(claims: DataFrame, texts: DataFrame) -> DataFrame:
+    """Claimed ranges (n, d, at, until, source, place, digest) with `holds`: whether the source has the same words there.
+
+    A source is asked once for each distinct range, however many documents claim it, and in parts of its text, so what one
+    task gets for a source is bounded by the source's own length."""
+    length = F.col("until") - F.col("at")
+    asked = claims.select("source", "place", length.alias("length")).distinct()
+    parts = asked.groupBy("source", F.floor(F.col("place") / 1024).alias("part")).agg(F.collect_list(F.struct("place", "length")).alias("wanted"))
+    there = texts.join(parts.withColumnRenamed("source", "n"), "n").select("n", "packed", "wanted").mapInArrow(_claim_rows, "source long, place int, length int, there binary")
+    there = stored(there, "sources")
+    joined = claims.withColumn("length", length).join(there, ["source", "place", "length"], "left")
+    return joined.withColumn("holds", F.coalesce(F.col("there") == F.col("digest"), F.lit(False)))
+
+
+def repeated_ranges(texts: DataFrame) -> DataFrame:
+    """(n, ranges array<struct<at,until>>): ranges of windows, by their first word, that start in a smaller document.
 
-    docs: rid (key of equal rows), d (order; LAST for none), _text."""
-    rows = docs.select("rid", "d", "_text").mapInArrow(_edge_rows, "h long, rid long, d long, at int, goes long")
-    kmers = rows.groupBy("h").agg(F.min("d").alias("low"), F.max("d").alias("high"), F.bit_and("goes").alias("a"), F.bit_or("goes").alias("o")).filter("low < high")
-    differs = F.col("a").bitwiseXOR(F.col("o"))
+    texts: n (number of a row, unlike all others), d (order; LAST for none), packed."""
+    rows = stored(texts.select("n", "d", "packed").mapInArrow(_edge_rows, "h long, n long, d long, at int, right long, left long"), "edges")
+    same = lambda c: F.min(c) == F.max(c)
+    kmers = rows.groupBy("h").agg(F.min(F.struct("d", "n", "at")).alias("least"), F.max("d").alias("high"), same("right").alias("right"), same("left").alias("left")).filter("least.d < high")
     # stored, so that the join below has plain exchanges on both sides and a hot k-mer can be split
-    kmers = kmers.select("h", "low", (F.shiftrightunsigned(differs, 32) == 0).alias("right"), (differs.bitwiseAND(F.lit(0xFFFFFFFF)) == 0).alias("left"))
-    kmers = stored(kmers, "kmers")
-    known = rows.select("h", "rid", "at").join(kmers, "h")
-    known = known.groupBy("rid").agg(F.collect_list(F.struct("at", "low", "right", "left")).alias("known"))
-    texts = _pack(docs, ["rid", "d"])
-    found = stored(texts.join(known, "rid").select("rid", "d", "packed", "known").mapInArrow(_window_rows, "rid long, d long, h long, at int, until int"), "windows")
-    open_ = found.filter("h is not null")
-    first = stored(open_.groupBy("h").agg(F.min("d").alias("low"), F.max("d").alias("high")).filter("low < high").select("h", "low"), "first")
-    looked = open_.join(first, "h").filter("low < d").select("rid", "at", "until")
-    marked = found.filter("h is null").select("rid", "at", "until").union(looked)
-    return marked.groupBy("rid").agg(F.collect_set(F.struct("at", "until")).alias("ranges"))
+    kmers = stored(kmers.select("h", F.col("least.d").alias("low"), F.col("least.n").alias("from"), F.col("least.at").alias("place"), "right", "left"), "kmers")
+    kind = "n long, d long, at int, until int, source long, place int, digest binary"
+    while True:
+        known = rows.select("h", "n", "at").join(kmers, "h").groupBy("n").agg(F.collect_list(F.struct("at", "low", "from", "place", "right", "left")).alias("known"))
+        found = stored(texts.join(known, "n").select("n", "d", "packed", "known").mapInArrow(_window_rows, kind), "windows")
+        claims = stored(_claims_hold(found.filter("source is not null"), texts), "claims")
+        failed = claims.filter(~F.col("holds"))
+        if failed.isEmpty():
+            break
+        # hashes have collided: the paths through these k-mers are given up, and their windows are told apart by their words
+        spots = failed.select("n", F.col("at").alias("a"), F.col("until").alias("z"))
+        doubt = rows.join(spots, "n").filter((F.col("at") >= F.col("a")) & (F.col("at") < F.col("z") + WINDOW)).select("h").distinct().withColumn("doubt", F.lit(True))
+        sure = lambda c: (F.col(c) & F.col("doubt").isNull()).alias(c)
+        kmers = stored(kmers.join(doubt, "h", "left").select("h", "low", "from", "place", sure("right"), sure("left")), "kmers")
+    dropped(rows)
+    open_ = found.filter("source is null").select("n", "d", "at", "until", "digest")
+    first = stored(open_.groupBy("digest").agg(F.min("d").alias("low"), F.max("d").alias("high")).filter("low < high").select("digest", "low"), "first")
+    looked = open_.join(first, "digest").filter("low < d").select("n", "at", "until")
+    marked = claims.filter("holds").select("n", "at", "until").union(looked)
+    return marked.groupBy("n").agg(F.collect_set(F.struct("at", "until")).alias("ranges"))
 
 
 def _cut(words: list[bytes], ranges: pa.Scalar) -> list[bytes]:
@@ -259,10 +326,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept (words left, joined by one space) of every row of docs.
 
     Null texts have no words. A row with a null doc_id may lose words but is nobody's smaller document. Rows with the
-    same doc_id do not cut each other; equal rows are all returned. Other columns are ignored. Empty in, empty out."""
+    same doc_id do not cut each other; equal rows are all returned, and worked on once. Other columns are ignored. Very long
+    texts are worked on whole. Empty in, empty out."""
     doc = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("_text"))
     doc = doc.withColumn("rid", row_key("doc_id", "_text")).withColumn("d", F.coalesce("doc_id", F.lit(LAST)))
-    ranges = repeated_ranges(doc)
+    # written, so that the numbers stay; equal rows meet per task before the shuffle
+    texts = stored(_pack(doc, ["rid", "d"]).dropDuplicates(["rid"]).withColumn("n", F.monotonically_increasing_id()), "texts")
+    ranges = repeated_ranges(texts.select("n", "d", "packed")).join(texts.select("n", "rid"), "n").select("rid", "ranges")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -280,6 +350,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 
 def op4_substring_dedup(spark, sf_dir: str) -> DataFrame:
+    """Words left of all documents without the windows of 50 words that a document with a smaller doc_id holds too."""
     return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 

@@ -246,6 +246,48 @@ def test_repeated_passages_at_random(spark, seed):
     assert got(substrings.remove_repeats(df), "doc_id", "n_words", "n_removed", "kept") == sorted(map(repr, brute_repeats(rows)))
 
 
+@pytest.mark.parametrize("keep", [0x3, 0xFF])
+def test_repeated_passages_when_kmer_hashes_clash(spark, docs, monkeypatch, keep):
+    """Almost all k-mers collide, so that minimizers are ties and shared by different words."""
+    whole = substrings.Hashed.every
+    monkeypatch.setattr(substrings.Hashed, "every", lambda self, k: whole(self, k) & np.uint64(keep))
+    _in_process(spark, monkeypatch)
+    assert got(substrings.remove_repeats(docs), "doc_id", "n_words", "n_removed", "kept") == sorted(map(repr, brute_repeats(ROWS)))
+
+
+@pytest.mark.parametrize("keep", [0x1, 0xF])
+def test_repeated_passages_when_paths_clash(spark, docs, monkeypatch, keep):
+    """How edges go on collides too: claims of paths fail at the source and are told apart by words."""
+    whole = substrings.Hashed.ranges
+    monkeypatch.setattr(substrings.Hashed, "ranges", lambda self, a, z: whole(self, a, z) & np.uint64(keep))
+    _in_process(spark, monkeypatch)
+    assert got(substrings.remove_repeats(docs), "doc_id", "n_words", "n_removed", "kept") == sorted(map(repr, brute_repeats(ROWS)))
+
+
+def _in_process(spark, monkeypatch):
+    """Run mapInArrow functions in this process, so that they see what a test has changed."""
+    import pyarrow as pa
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def here(self, run, schema, *_, **__):
+        rows = self.toArrow()
+        made = list(run(iter(rows.combine_chunks().to_batches())))
+        kind = spark.createDataFrame([], schema).schema
+        table = pa.Table.from_batches(made) if made else None
+        return spark.createDataFrame(table.to_pylist() if table else [], kind)
+
+    monkeypatch.setattr(DataFrame, "mapInArrow", here)
+
+
+def test_many_equal_rows(spark):
+    """Repeated rows of one long text, beside a smaller document that holds it."""
+    rng = random.Random(7)
+    long = " ".join(f"w{rng.randrange(10**6)}" for _ in range(1500))
+    rows = [(1, long)] + [(2, long)] * 600 + [(None, long)] * 300 + [(3, None)] * 3
+    out = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).groupBy("doc_id", "n_words", "n_removed").count().collect()
+    assert sorted(map(repr, map(tuple, out))) == sorted(map(repr, [(1, 1500, 0, 1), (2, 1500, 1500, 600), (None, 1500, 1500, 300), (3, 0, 0, 3)]))
+
+
 # ---------------------------------------------------------------- 5 pieces
 
 
