@@ -6,8 +6,9 @@ the labelled rows. The words of the text view are chosen anew each round, from l
 the end each view is calibrated on held-out labelled rows, a small model over both calibrated views is fitted there, and
 all documents are scored.
 
-At most MAX_LABELLED labelled documents, taken by the hash of their id, reach the driver, as features, not texts. Of the
-unlabelled ones only sums do: counts by word and by metadata, and the derivatives that a Newton step needs.
+At most MAX_LABELLED labelled documents, taken by the hash of their id, reach the driver, one row each, as features, not
+texts (at most 2^WORD_BITS word buckets a document). Of the unlabelled ones only sums do: counts by word and by metadata,
+and the derivatives that a Newton step needs, for both targets in one pass.
 """
 
 from __future__ import annotations
@@ -24,8 +25,9 @@ from pyspark.sql import functions as F
 from .common import dropped, row_key, small_batches, stored, table
 
 MAX_LABELLED = 8000
-ROUNDS, SURE, STEPS = 3, 0.97, 6  # co-training rounds; least confidence; most Newton steps over all documents
+ROUNDS, SURE, STEPS = 3, 0.97, 2  # co-training rounds; least confidence; Newton steps over all documents in a round
 WORD_BITS, CHOSEN, META = 18, 256, 128
+SUMS = 8  # tasks that add up the sums of all others before the driver does
 FLAGS = 6  # marks of a word: symbols, no letter or digit, capitals, exclamation, digits, address
 DENSE = 2 * FLAGS + 6
 TARGETS = ("quality", "toxic")
@@ -79,29 +81,37 @@ def meta_view(lang, source, chars) -> list[int]:
 
 
 class Logistic:
-    """Logistic regression of weighted rows with a ridge, fitted by Newton steps. `more` gives gradient and curvature of
-    rows held elsewhere."""
-
-    def __init__(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 0.3, more=None):
-        weight = np.ones(len(x)) if weight is None else weight
-        x = np.hstack((x, np.ones((len(x), 1))))
-        penalty = np.full(x.shape[1], ridge)
-        penalty[-1] = 1e-3
-        w = np.zeros(x.shape[1])
-        if more:
-            own = Logistic(x[:, :-1], y, weight, ridge)
-            w = np.append(own.w, own.b)
-        for _ in range(STEPS if more else 30):
-            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            g = x.T @ (weight * (p - y)) + penalty * w
-            h = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(penalty)
-            if more:
-                g, h = (own + far for own, far in zip((g, h), more(w)))
-            step = np.linalg.solve(h, g)
-            w -= step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
-            if np.abs(step).max() < (1e-3 if more else 1e-6):
+    """Logistic regression of weighted rows with a ridge, fitted by Newton steps."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 0.3):
+        self.x, self.y = np.hstack((x, np.ones((len(x), 1)))), y
+        self.weight = np.ones(len(x)) if weight is None else weight
+        self.penalty = np.full(self.x.shape[1], ridge)
+        self.penalty[-1] = 1e-3
+        self.all = np.zeros(self.x.shape[1])
+        for _ in range(30):
+            if self.step() < 1e-6:
                 break
-        self.w, self.b = w[:-1], w[-1]
+
+    def step(self, more: tuple[np.ndarray, np.ndarray] | None = None) -> float:
+        """One Newton step, its length bounded; `more` is the gradient and curvature of rows held elsewhere."""
+        x, w = self.x, self.all
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        g = x.T @ (self.weight * (p - self.y)) + self.penalty * w
+        h = (x * (self.weight * p * (1 - p))[:, None]).T @ x + np.diag(self.penalty)
+        if more:
+            g, h = g + more[0], h + more[1]
+        step = np.linalg.solve(h, g)
+        self.all = w - step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
+        return float(np.abs(step).max())
+
+    @property
+    def w(self) -> np.ndarray:
+        return self.all[:-1]
+
+    @property
+    def b(self) -> float:
+        return float(self.all[-1])
 
     def logit(self, x: np.ndarray) -> np.ndarray:
         return x @ self.w + self.b
@@ -174,7 +184,7 @@ def _unlabelled(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in views], pa.list_(pa.int32())), pa.array([d for _, d in views], pa.list_(pa.float64())), pa.array(meta, pa.list_(pa.int32())), b.column(4)], names=["words", "dense", "meta", "key"])
 
     view = ["text", "lang", "source", "n_chars"]
-    made = small_batches(rows).select(*view, row_key(*view).alias("key")).mapInArrow(run, "words array<int>, dense array<double>, meta array<int>, key long")
+    made = small_batches(rows).select(*view, row_key(*view).alias("key")).mapInArrow(run, "words array<int>, dense array<double>, meta array<int>, key string")
     return stored(made.groupBy("key").agg(F.min(F.struct("dense", "meta", "words")).alias("row")).select("row.*"), "unlabelled")
 
 
@@ -219,44 +229,57 @@ def _gifts(pool: DataFrame, models: dict[str, CoTrained]) -> dict[str, _Gifts]:
 
     out = {t: _Gifts() for t in models}
     counts = pool.mapInArrow(run, "t string, c int, a int, b int, d int, n long").groupBy("t", "c", "a", "b", "d").agg(F.sum("n").alias("n"))
-    for t, c, a, b, d, n in zip(*counts.toArrow().to_pydict().values()):
-        if b >= 0:
-            out[t].meta[c, a, b, d] = n
-        elif a >= 0:
-            out[t].words[c, a] = n
-        else:
-            out[t].rows[c] = n
+    got = counts.toArrow()
+    c, a, b, d, n = (got.column(k).to_numpy() for k in ("c", "a", "b", "d", "n"))
+    names = np.array(got.column("t").to_pylist(), dtype=object)
+    for t, g in out.items():
+        own = names == t
+        word, meta = own & (b < 0) & (a >= 0), own & (b >= 0)
+        g.words[c[word], a[word]] = n[word]
+        g.rows[c[own & (a < 0)]] = n[own & (a < 0)]
+        g.meta = {(int(i), *map(int, x)): int(m) for i, *x, m in zip(c[meta], a[meta], b[meta], d[meta], n[meta])}
     return out
 
 
-def _far(pool: DataFrame, model: dict, chosen: np.ndarray, scale: np.ndarray):
-    """A function of the text view's weights: gradient and curvature over the documents that the metadata view is sure of."""
-    slot = np.full(1 << WORD_BITS, -1)
-    slot[chosen] = np.arange(len(chosen))
-    size = len(chosen) + DENSE + 1
-    context = pool.sparkSession.sparkContext
-    fixed = context.broadcast((model["meta"], model["meta_b"], slot, scale))
-
-    def more(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            meta_w, meta_b, slot, scale = fixed.value
-            g, h = np.zeros(size), np.zeros((size, size))
-            for b in batches:
-                words, row, dense, meta = _unpacked(b)
+def _far(pool: DataFrame, models: dict[str, CoTrained], gifts: dict[str, _Gifts], judges: dict[str, dict]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """For each target, gradient and curvature of its text view over the documents that the metadata view (as it was when
+    it gave) is sure of, in one pass. Sums meet in two levels, so the driver gets a few of them."""
+    fixed = {}
+    for t, m in models.items():
+        slot = np.full(1 << WORD_BITS, -1, dtype=np.int32)
+        slot[m.chosen] = np.arange(len(m.chosen))
+        fixed[t] = (judges[t]["meta"], judges[t]["meta_b"], slot, m._scale(gifts[t].rows), m.text.all)
+    held = pool.sparkSession.sparkContext.broadcast(fixed)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {t: np.zeros((len(f[4]) + 1, len(f[4]))) for t, f in held.value.items()}
+        for b in batches:
+            words, row, dense, meta = _unpacked(b)
+            for t, (meta_w, meta_b, slot, scale, w) in held.value.items():
                 label = _sure(meta_w[meta].sum(axis=1) + meta_b)
-                x = np.hstack((np.zeros((b.num_rows, size - DENSE - 1)), dense, np.ones((b.num_rows, 1))))
+                x = np.hstack((np.zeros((b.num_rows, len(w) - DENSE - 1)), dense, np.ones((b.num_rows, 1))))
                 at = slot[words]
                 x[row[at >= 0], at[at >= 0]] = 1
                 x, label = x[label >= 0], label[label >= 0]
                 p, weight = _sigmoid(x @ w), scale[label]
-                g += x.T @ (weight * (p - label))
-                h += (x * (weight * p * (1 - p))[:, None]).T @ x
-            yield pa.RecordBatch.from_arrays([pa.array([np.vstack((g, h)).tobytes()], pa.binary())], names=["part"])
+                sums[t][0] += x.T @ (weight * (p - label))
+                sums[t][1:] += (x * (weight * p * (1 - p))[:, None]).T @ x
+        yield pa.RecordBatch.from_arrays([pa.array([*sums]), pa.array([s.tobytes() for s in sums.values()], pa.binary())], names=["t", "part"])
 
-        total = pool.mapInArrow(run, "part binary").rdd.map(lambda r: np.frombuffer(r[0])).treeReduce(lambda a, b: a + b).reshape(-1, size)
-        return total[0], total[1:]
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, np.ndarray] = {}
+        for b in batches:
+            for t, part in zip(b.column(0).to_pylist(), b.column(1)):
+                x = np.frombuffer(part.as_py())
+                sums[t] = sums[t] + x if t in sums else x
+        yield pa.RecordBatch.from_arrays([pa.array([*sums], pa.string()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], names=["t", "part"])
 
-    return more
+    parts = pool.mapInArrow(run, "t string, part binary").repartition(SUMS).mapInArrow(add, "t string, part binary").toArrow()
+    out = {t: np.zeros((len(f[4]) + 1, len(f[4]))) for t, f in fixed.items()}
+    for t, part in zip(parts.column(0).to_pylist(), parts.column(1)):
+        out[t] += np.frombuffer(part.as_py()).reshape(out[t].shape)
+    held.unpersist()
+    return {t: (x[0], x[1:]) for t, x in out.items()}
 
 
 class CoTrained:
@@ -265,19 +288,22 @@ class CoTrained:
     def __init__(self, labelled: dict, y: np.ndarray):
         self.rows, self.y, group = labelled, y.astype(float), labelled["group"]
         self.held = np.isin(group, np.unique(group)[4::5])  # whole groups, so that no copy is on both sides
+        self.fit = ~self.held
+        if any(len(np.unique(self.y[side])) < 2 for side in (self.held, self.fit)):
+            # too few rows to hold some out: both sides need both classes
+            self.held = self.fit = np.ones(len(self.y), dtype=bool)
         self.weight = 1.0 / np.bincount(group)[group]
-        fit = ~self.held
-        self.mass, self.prior = self.weight[fit].sum(), np.average(self.y[fit], weights=self.weight[fit])
-        self.learn(_Gifts(), None)
+        self.mass, self.prior = self.weight[self.fit].sum(), np.average(self.y[self.fit], weights=self.weight[self.fit])
+        self.learn(_Gifts())
 
-    def learn(self, gifts: _Gifts, pool: DataFrame | None) -> None:
-        """Fit both views to the labelled rows and to what each is given by the other's judgement of the pool."""
-        fit = ~self.held
+    def learn(self, gifts: _Gifts) -> None:
+        """Fit both views to the labelled rows; the words of the text view and the whole metadata view also to what each is
+        given by the other's judgement of all unlabelled documents."""
+        fit = self.fit
         y, weight = self.y[fit], self.weight[fit]
-        chosen = _telling([b for b, f in zip(self.rows["words"], fit) if f], y, weight, (gifts.rows, gifts.words))
-        more = _far(pool, self.flat_views(), chosen, self._scale(gifts.rows)) if gifts.rows.any() else None
-        self.chosen, self.lt = chosen, np.hstack((_marked(self.rows["words"], chosen), self.rows["dense"]))
-        self.text = Logistic(self.lt[fit], y, weight, more=more)
+        self.chosen = chosen = _telling([b for b, f in zip(self.rows["words"], fit) if f], y, weight, (gifts.rows, gifts.words))
+        self.lt = np.hstack((_marked(self.rows["words"], chosen), self.rows["dense"]))
+        self.text = Logistic(self.lt[fit], y, weight)
         x, label, n = np.zeros((len(gifts.meta), META)), np.zeros(len(gifts.meta)), np.zeros(len(gifts.meta))
         for k, ((c, *pattern), m) in enumerate(sorted(gifts.meta.items())):
             np.add.at(x[k], pattern, 1)
@@ -340,50 +366,60 @@ def _features(rows: DataFrame) -> pa.Table:
             views = [text_view(t.as_py()) for t in b.column(1)]
             meta = [meta_view(*m) for m in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)))]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([w.tolist() for w, _ in views], pa.list_(pa.int32())), pa.array([d.tolist() for _, d in views], pa.list_(pa.float64())), pa.array(meta, pa.list_(pa.int32())), b.column(5), b.column(6)],
+                [b.column(0), pa.array([w for w, _ in views], pa.list_(pa.int32())), pa.array([d for _, d in views], pa.list_(pa.float64())), pa.array(meta, pa.list_(pa.int32())), b.column(5), b.column(6)],
                 names=["h", "words", "dense", "meta", "quality", "toxic"],
             )
 
-    ordered = small_batches(rows).select(F.xxhash64("doc_id", "text").alias("h"), "text", "lang", "source", "n_chars", "quality", "toxic")
-    return ordered.mapInArrow(run, "h long, words array<int>, dense array<double>, meta array<int>, quality int, toxic int").toArrow().sort_by("h")
+    ordered = small_batches(rows).select("h", "text", "lang", "source", "n_chars", "quality", "toxic")
+    return ordered.mapInArrow(run, "h string, words array<int>, dense array<double>, meta array<int>, quality int, toxic int").toArrow().sort_by("h").combine_chunks()
 
 
 def _arrays(t: pa.Table) -> dict:
-    words = [np.array(w, dtype=np.int64) for w in t["words"].to_pylist()]
-    dense = np.array(t["dense"].to_pylist()).reshape(-1, DENSE)
+    if not t.num_rows:
+        return {"words": [], "dense": np.zeros((0, DENSE)), "meta": np.zeros((0, META)), "group": np.zeros(0, dtype=int)}
+    b = t.to_batches()[0]
+    flat, row, dense, at = _unpacked(b)
+    words = [w.astype(np.int64) for w in np.split(flat, np.cumsum(np.bincount(row, minlength=t.num_rows))[:-1])]
     meta = np.zeros((t.num_rows, META))
-    for k, m in enumerate(t["meta"].to_pylist()):
-        np.add.at(meta[k], m, 1)
+    np.add.at(meta, (np.repeat(np.arange(t.num_rows), 3), at.reshape(-1)), 1)
     return {"words": words, "dense": dense, "meta": meta, "group": _groups(words, dense)}
 
 
+def _only(arrays: dict, known: np.ndarray) -> dict:
+    """The rows that have a label for one target."""
+    group = np.unique(arrays["group"][known], return_inverse=True)[1] if known.any() else np.zeros(0, dtype=int)
+    return {"words": [w for w, k in zip(arrays["words"], known) if k], "dense": arrays["dense"][known], "meta": arrays["meta"][known], "group": group}
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS) -> dict[str, CoTrained | float]:
-    """A model for each target; a constant rate where the labels have one class only (or none: quality 1, toxic 0).
+    """A model for each target; a constant where its labels have one class only, which no model can be fitted to (none:
+    quality 1, toxic 0).
 
-    Labels of one document that differ count by their mean, rounded; labels with nulls are left out."""
-    known = labels.filter("doc_id is not null and quality is not null and toxic is not null").groupBy("doc_id").agg(*[F.round(F.avg(t)).cast("int").alias(t) for t in TARGETS])
-    taken = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    Labels of one document that differ count by their mean, rounded; a null leaves out that target only. Of rows with the
+    same doc_id one is fitted to, that with the least content hash. Rows without doc_id are unlabelled."""
+    known = labels.filter("doc_id is not null").groupBy("doc_id").agg(*[F.round(F.avg(t)).cast("int").alias(t) for t in TARGETS]).filter("quality is not null or toxic is not null")
     rows = _columns(docs)
-    # at most max_labelled rows of three numbers
-    labelled = _features(rows.join(F.broadcast(taken), "doc_id"))
-    # a document given on many rows must not crowd out the rest
-    labelled = labelled.slice(0, 2 * max_labelled)
-    out: dict[str, CoTrained | float] = {}
+    taken = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    view = ["text", "lang", "source", "n_chars"]
+    # at most max_labelled rows of three numbers are broadcast; one row a document is left before anything goes to Python
+    one = rows.join(F.broadcast(taken), "doc_id").groupBy("doc_id", *TARGETS).agg(F.min(F.struct(row_key("doc_id", *view).alias("h"), *view)).alias("r"))
+    labelled = _features(one.select("r.*", *TARGETS))
     arrays = _arrays(labelled)
+    out: dict[str, CoTrained | float] = {}
     for t, default in zip(TARGETS, (1.0, 0.0)):
-        y = np.array(labelled[t].to_pylist(), dtype=float)
-        groups = np.unique(arrays["group"])
-        sides = [y[np.isin(arrays["group"], part)] for part in (groups[4::5], np.setdiff1d(groups, groups[4::5]))]
-        if len(y) >= 10 and all(len(np.unique(part)) == 2 for part in sides):
-            out[t] = CoTrained(arrays, y)
-        else:
-            out[t] = float(round(y.mean())) if len(y) else default
+        there = labelled[t].is_valid().to_numpy() if labelled.num_rows else np.zeros(0, dtype=bool)
+        y = np.array([v for v in labelled[t].to_pylist() if v is not None], dtype=float)
+        out[t] = CoTrained(_only(arrays, there), y) if len(np.unique(y)) == 2 else y[0] if len(y) else default
     models = {t: m for t, m in out.items() if isinstance(m, CoTrained)}
     if models and rounds:
         pool = _unlabelled(rows.join(known.select("doc_id"), "doc_id", "left_anti"))
         for _ in range(rounds):
-            for t, gifts in _gifts(pool, models).items():
-                models[t].learn(gifts, pool)
+            gifts, judges = _gifts(pool, models), {t: m.flat_views() for t, m in models.items()}
+            for t, m in models.items():
+                m.learn(gifts[t])
+            for _ in range(STEPS if any(g.rows.any() for g in gifts.values()) else 0):
+                for t, more in _far(pool, models, gifts, judges).items():
+                    models[t].text.step(more)
         dropped(pool)
     for m in models.values():
         m.join_views()
@@ -419,6 +455,7 @@ def scored(docs: DataFrame, models: dict) -> DataFrame:
 
 
 def op9_quality_classifier(spark, sf_dir: str) -> DataFrame:
+    """Scores of all documents by models fitted to the labels and to all unlabelled documents."""
     docs = table(spark, sf_dir, "documents")
     models = fit(docs, table(spark, sf_dir, "labels"))
     rows = scored(docs.select("doc_id", "text", "lang", "source", "n_chars"), models)

@@ -622,18 +622,29 @@ def test_classifier_learns_words_of_unlabelled_documents(spark):
     buckets = quality.text_view(" ".join(new))[0]
     assert set(buckets.tolist()) <= set(model.chosen.tolist())
     assert (model.flat()["words"][buckets] > 0).all()
-    gifts = quality._gifts(quality._unlabelled(docs.filter("doc_id >= 1000")), {"toxic": model})["toxic"]
+    gifts = quality._gifts(quality._unlabelled(quality._columns(docs).filter("doc_id >= 1000")), {"toxic": model})["toxic"]
     assert gifts.rows.tolist() == [6000, 3000]  # every document, not a pool
 
 
 def test_classifier_without_labels(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.fit(docs, none) == {"quality": 1.0, "toxic": 0.0}
-    one = spark.createDataFrame([(100, 1, 0), (101, 1, 0), (None, 0, 1), (102, None, 0)], "doc_id long, quality int, toxic int")
+    one = spark.createDataFrame([(107, 1, 0), (114, 1, 0), (None, 0, 1), (121, None, 0)], "doc_id long, quality int, toxic int")
     assert quality.fit(docs, one) == {"quality": 1.0, "toxic": 0.0}
     assert quality.scored(docs, quality.fit(docs, one)).filter("keep").count() == len(ROWS)
 
 
+def test_classifier_with_few_labels_nulls_and_repeated_documents(spark):
+    """A model from four labels; a null leaves out one target only; a doc_id on many rows counts once."""
+    df, _, _ = labelled(spark, 60)
+    rows = [(1, 1, None), (3, 0, None), (5, None, 1), (7, None, 0), (7, None, 0)]
+    labels = spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+    many = df.union(df.filter("doc_id = 1").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("n"))
+    models = quality.fit(many, labels)
+    assert all(isinstance(m, quality.CoTrained) and len(m.y) == 2 for m in models.values())
+    assert quality.scored(many, models).filter("p_quality between 0 and 1 and p_toxic between 0 and 1").count() == many.count()
+
+
 # ---------------------------------------------------------------- 10 SimHash
 
 
