@@ -1,15 +1,16 @@
 """Exact top-k inner products by a three-phase uniform threshold.
 
 The components are cut into LISTS column blocks; each block of each table part is a list of partial scores.
-Phase 1: every part takes its best entries of each list for each query, scores them in full, and keeps its k best; over
-all parts the k-th best of these is a safe cutoff, as k rows reach it.
+Phase 1: every part takes the heads of each list for each query, adds up the scores of these heads alone, and keeps its
+k best; over all parts the k-th best of these is a safe cutoff, as k rows reach it.
 Phase 2: the cutoff is broadcast. A row whose score reaches it has a partial score of at least cutoff / LISTS in some
 list, so collecting every entry that reaches this uniform threshold is sufficient.
-Phase 3: the entries collected are scored in full, those below the cutoff go, and the rest are ranked, ties to the
-smaller id. Each part sends its k best at most, so identical vectors cannot pile up.
+Phase 3: the scores of the entries collected are resolved, exactly, as integers; those below the cutoff go, and the rest
+are ranked, ties to the smaller id. Each part sends its k best at most, so identical vectors cannot pile up.
 
-Queries are handled in blocks of at most BLOCK_BYTES, the only thing besides their cutoffs that is broadcast; each
-block is one pass over the table in blocks of rows.
+No index says where the high partial scores of a list are, so phases 1 and 2 each multiply all rows with the queries;
+what they save is the sums, the sorting and the rows sent. Queries are handled in blocks of at most BLOCK_BYTES, the only
+thing besides their cutoffs that is broadcast; a block's answer is written and its broadcast released before the next.
 """
 
 from __future__ import annotations
@@ -56,10 +57,14 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 def _products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Integer inner products; float64 is exact while the sums of magnitudes stay under 2^53, else Python integers."""
     bound = np.abs(x).sum(axis=1).max(initial=0) * np.abs(q).max(initial=0)
-    if bound < EXACT:
+    if bound < EXACT / LISTS:  # so that the sum over the lists is exact too
         return x @ q.T
-    big = lambda m: np.array([[int(v) for v in row] for row in m], dtype=object).reshape(m.shape)
-    return big(x) @ big(q).T
+    return _whole(x) @ _whole(q).T
+
+
+def _whole(m: np.ndarray) -> np.ndarray:
+    """The same numbers as Python integers."""
+    return np.array([[int(v) for v in row] for row in m], dtype=object).reshape(m.shape)
 
 
 class _Best:
@@ -89,13 +94,12 @@ class _Best:
         return which[keep], ids[keep], scores[keep]
 
 
-def _pass(rows: DataFrame, ids: np.ndarray, q: np.ndarray, k: int, cutoff: np.ndarray | None) -> DataFrame:
-    """One pass of a block of queries over all rows: (query_id, vec_id, score), k rows a query and part at most.
+def _pass(rows: DataFrame, held, dim: int, k: int) -> DataFrame:
+    """One pass of a broadcast block (ids, queries, cutoffs) over all rows: (query_id, vec_id, score), k rows a query and
+    part at most.
 
     Without a cutoff, phase 1; with one for each query, phases 2 and 3."""
-    dim = q.shape[1]
     edges = [dim * i // LISTS for i in range(LISTS + 1)]
-    held = rows.sparkSession.sparkContext.broadcast((ids, q, cutoff))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, q, cutoff = held.value
@@ -105,17 +109,22 @@ def _pass(rows: DataFrame, ids: np.ndarray, q: np.ndarray, k: int, cutoff: np.nd
                 part = b.slice(at, ROW_BLOCK)
                 own, x = part.column(0).to_numpy(), _matrix(part.column(1), dim)
                 lists = [_products(x[:, a:z], q[:, a:z]) for a, z in zip(edges, edges[1:]) if z > a]
-                total = reduce(np.add, lists)
+                if any(p.dtype == object for p in lists):
+                    lists = [_whole(p) for p in lists]
                 if cutoff is None:
                     take = min(k + 1, len(own))  # one may be the query itself
-                    picked = np.zeros(total.shape, dtype=bool)
+                    picked = np.zeros(lists[0].shape, dtype=bool)
                     for p in lists:
-                        top = np.argpartition(-p, take - 1, axis=0)[:take]
+                        top = np.argsort(-p, axis=0, kind="stable")[:take] if p.dtype == object else np.argpartition(-p, take - 1, axis=0)[:take]
                         np.put_along_axis(picked, top, True, axis=0)
                 else:
-                    picked = reduce(np.logical_or, [p * len(lists) >= cutoff[None, :] for p in lists]) & (total >= cutoff[None, :])
+                    picked = reduce(np.logical_or, [(p * len(lists) >= cutoff[None, :]).astype(bool) for p in lists])
                 r, c = np.nonzero(picked)
-                best.add(c, own[r], total[r, c])
+                total = reduce(np.add, [p[r, c] for p in lists])
+                if cutoff is not None:
+                    reach = (total >= cutoff[c]).astype(bool)
+                    r, c, total = r[reach], c[reach], total[reach]
+                best.add(c, own[r], total)
         which, found, scores = best.cut()
         if len(which):
             yield pa.RecordBatch.from_arrays([pa.array(ids[which]), pa.array(found), pa.array([max(-MOST, min(MOST, int(s))) for s in scores], pa.int64())], names=["query_id", "vec_id", "score"])
@@ -140,6 +149,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         return none
     dim = seen[1]
     blocks = max(1, -(-2 * seen[0] * dim * 8 // BLOCK_BYTES))
+    context = spark.sparkContext
     asked = stored(queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))), "queries")
     out = []
     for n in range(blocks):
@@ -147,16 +157,26 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         if not got.num_rows:
             continue
         ids, q = got.column(0).to_numpy(), _matrix(got.column(1).combine_chunks() if isinstance(got.column(1), pa.ChunkedArray) else got.column(1), dim)
-        first = _ranked(_pass(rows, ids, q, k, None), k).groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("cut"))
+        block = context.broadcast((ids, q, None))
+        first = _ranked(_pass(rows, block, dim, k), k).groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("cut"))
         cut = {r[0]: r[1] for r in first.collect()}
-        least = np.array([float("-inf") if cut.get(i) is None else float(cut[i]) for i in ids.tolist()])
-        out.append(_ranked(_pass(rows, ids, q, k, least), k))
+        block.unpersist()
+        # whole numbers that a double cannot hold stay Python integers
+        large = any(c is not None and abs(c) >= EXACT for c in cut.values())
+        least = np.array([float("-inf") if cut.get(i) is None else cut[i] for i in ids.tolist()], dtype=object if large else float)
+        block = context.broadcast((ids, q, least))
+        out.append(stored(_ranked(_pass(rows, block, dim, k), k), "top"))
+        block.unpersist()
     if not out:
         return none
-    return reduce(DataFrame.unionByName, out).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    # one table of all blocks' files, not a union with a branch for each
+    kind = out[0].schema
+    whole = spark.read.schema(kind).parquet(*[f for o in out for f in o.inputFiles()]) if any(o.inputFiles() for o in out) else out[0]
+    return whole.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def op8_exact_top_k(spark, sf_dir: str) -> DataFrame:
+    """The ten best rows for every row whose id is divisible by 100, against all rows."""
     rows = quantised(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     return top_k(rows, rows.filter(F.col("vec_id") % 100 == 0))
 
