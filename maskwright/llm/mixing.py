@@ -54,28 +54,30 @@ def mix(docs: DataFrame, cap: int = 3, classes: int = 3, curriculum: dict = CURR
     """Columns of docs (or only those of `keep`, the rest is not shuffled) plus `mix`: size, source_size, target, taken, weight and passes (pass, words, position).
 
     A pass is one use of the document; passes that take no word have a null position. Documents are ordered within
-    their source by the MD5 of doc_id, ties by size and text; the words at the end of the last pass may be part of a
-    document. Null texts have size 0, a null source is a source of its own, a null doc_id hashes as an empty string.
-    Repeated rows are taken one after the other. An input column named mix is replaced. Empty in, empty out."""
-    spark = docs.sparkSession
+    their source by the MD5 of doc_id and text; the words at the end of the last pass may be part of a document. Null
+    texts have size 0, a null source is a source of its own, a null doc_id hashes as an empty string. Equal rows are taken
+    one after the other. An input column named mix is replaced. Very long texts count whole. Empty in, empty out.
+
+    Where the text is not kept, words are counted once and only narrow rows are written and shuffled."""
     text = F.col("text").cast("string")
     kept = [c for c in (docs.columns if keep is None else keep) if c != "mix"]
     own = F.struct(
         F.coalesce(F.concat(F.lit("0"), F.col("source").cast("string")), F.lit("1")).alias("key"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("h"),
+        F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.md5(text), F.lit("")))).alias("h"),
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.xxhash64(text).alias("tie"),
     )
     # input columns travel in one struct, so that their names cannot clash
     keyed = docs.select(F.struct(*kept).alias("_row"), own.alias("mix"))
-    slices = max(LEAST_SLICES, docs.count() // SLICE_ROWS)
+    if "text" not in kept:
+        keyed = stored(keyed, "sizes")
+    slices = max(LEAST_SLICES, (docs if "text" in kept else keyed).count() // SLICE_ROWS)
     head = F.conv(F.substring(F.col("mix.h"), 1, 8), 16, 10).cast("long")
     sliced = keyed.withColumn("_slice", F.floor(head * F.lit(slices) / F.lit(2**32)).cast("long")).withColumn("_key", F.col("mix.key"))
     cells = stored(sliced.groupBy("_key", "_slice").agg(F.sum("mix.size").alias("words")), "cells")
     goals = targets(cells.groupBy(F.col("_key").alias("key")).agg(F.sum("words").alias("source_size")), cap, classes)
     earlier = W.partitionBy("_key").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     cells = cells.withColumn("offset", F.coalesce(F.sum("words").over(earlier), F.lit(0))).join(goals, F.col("_key") == F.col("key")).drop("key", "words")
-    within = W.partitionBy("_key", "_slice").orderBy("mix.h", "mix.size", "mix.tie").rowsBetween(W.unboundedPreceding, -1)
+    within = W.partitionBy("_key", "_slice").orderBy("mix.h", "mix.size").rowsBetween(W.unboundedPreceding, -1)
     placed = sliced.join(cells, ["_key", "_slice"]).withColumn("offset", F.col("offset") + F.coalesce(F.sum("mix.size").over(within), F.lit(0)))
     demand = F.floor(F.col("target") + 0.5)
     start = lambda p: F.col("offset") + F.col("source_size") * p
@@ -105,6 +107,7 @@ def schedule(mixed: DataFrame) -> DataFrame:
 
 
 def op2_mixing_sources(spark, sf_dir: str) -> DataFrame:
+    """What the mix of all documents takes of each, range-sorted by first position."""
     mixed = mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return by_first_position(mixed).select(
         "doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken", F.round(F.col("mix.passes")[0]["position"], 9).alias("position")
@@ -113,7 +116,7 @@ def op2_mixing_sources(spark, sf_dir: str) -> DataFrame:
 
 OP2_SQL = r"""
 WITH d AS (
-  SELECT doc_id, coalesce('0' || source, '1') AS k, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+  SELECT doc_id, coalesce('0' || source, '1') AS k, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(md5(text), '')) AS h,
          CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
   FROM documents),
 s AS (SELECT k, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY k),
@@ -126,7 +129,7 @@ l AS (
 t AS (SELECT k, source_size, w, least(source_size * 3.0::DOUBLE, max(level) OVER () * w) AS target FROM l),
 o AS (
   SELECT d.doc_id, d.size, t.*, CAST(floor(t.target + 0.5) AS BIGINT) AS need,
-         CAST(coalesce(sum(d.size) OVER (PARTITION BY d.k ORDER BY d.h, d.size, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+         CAST(coalesce(sum(d.size) OVER (PARTITION BY d.k ORDER BY d.h, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
   FROM d JOIN t USING (k)),
 p AS (SELECT *, start::DOUBLE / nullif(need, 0)::DOUBLE AS f FROM o)
 SELECT doc_id, size, source_size, target,
