@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maskwright.llm import mixing, pieces, quality, secrets, simhash
-from maskwright.llm.common import stored, table
+from maskwright.llm.common import row_key, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -21,12 +21,15 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies: the one with the least doc_id (a row without one has a key below zero)."""
-    own = F.coalesce("doc_id", F.bitwise_not(F.shiftrightunsigned(F.xxhash64("text", "lang", "source"), 1)))
-    keyed = docs.select(*COLUMNS, own.alias("own"))
-    groups = simhash.near_duplicates(keyed.select(F.col("own").alias("doc_id"), "text"))
-    first = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("own")).distinct()
-    return keyed.join(first, "own", "left_semi").dropDuplicates(["own"]).select(*COLUMNS)
+    """One row of each group of near copies: the one with the least doc_id (none comes last), then the least content key.
+
+    Rows are told apart by a key of all their columns, so two texts under one doc_id in different groups both stay."""
+    keyed = docs.select(*COLUMNS).withColumn("own", row_key(*COLUMNS))
+    fps = stored(simhash.fingerprints(keyed, keep=("own", "doc_id")), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "own")
+    # by fingerprint first, so that copies meet before the shuffle
+    first = fps.groupBy("fp").agg(F.min(order).alias("o")).join(simhash.classes(fps), "fp").groupBy("class").agg(F.min("o").alias("o"))
+    return keyed.join(first.select("o.own"), "own", "left_semi").dropDuplicates(["own"]).select(*COLUMNS)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,13 +50,13 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     return int(np.packbits(ones * 2 > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp long) of every row; a null text counts as empty, with fingerprint zero."""
+def fingerprints(docs: DataFrame, shingle: int = 4, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Columns `keep` and fp (long) of every row; a null text counts as empty, with fingerprint zero."""
 
     def work(texts: list) -> list:
         return [np.fromiter((fingerprint(t, shingle) for t in texts), dtype=np.uint64, count=len(texts)).view(np.int64)]
 
-    return per_text(docs.withColumn("doc_id", F.col("doc_id").cast("long")), ["doc_id"], {"fp": ("long", pa.int64())}, work)
+    return per_text(docs.withColumn("doc_id", F.col("doc_id").cast("long")), [*keep], {"fp": ("long", pa.int64())}, work)
 
 
 def _keys(fp: str) -> Column:
@@ -141,8 +141,11 @@ def _within(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def links(distinct: DataFrame, part: int = 384) -> DataFrame:
-    """(fp, rep) with distinct fingerprints to links (u, v) between reps that span every component."""
-    keyed = distinct.select("fp", "rep", F.explode(_keys("fp")).alias("key"))
+    """(fp, rep) with distinct fingerprints to links (u, v) between reps that span every component.
+
+    Few rows make 45 keys each, so they are dealt out first."""
+    spread = distinct.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    keyed = spread.select("fp", "rep", F.explode(_keys("fp")).alias("key"))
     # only keys that two fingerprints share go on; counts are summed before they are shuffled
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     kept = keyed.join(shared, "key").withColumn("parts", F.ceil(F.col("n") / part).cast("int"))
@@ -156,21 +159,31 @@ def links(distinct: DataFrame, part: int = 384) -> DataFrame:
     return small_batches(rows).mapInPandas(_within, "u long, v long")
 
 
+def classes(fps: DataFrame, part: int = 384) -> DataFrame:
+    """Distinct fingerprints of a table with a column fp to (fp, class): the least fingerprint that links reach.
+
+    Fingerprints are the nodes themselves, so rows without doc_id need no stand-in."""
+    distinct = stored(fps.select("fp").distinct(), "distinct")
+    labels = components(links(distinct.withColumn("rep", F.col("fp")), part))
+    return distinct.join(labels, distinct["fp"] == labels["node"], "left").select("fp", F.coalesce("component", "fp").alias("class"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, part: int = 384) -> DataFrame:
     """One row per row of docs: doc_id, fp long, component_id.
 
     component_id is the least doc_id that links reach, the row's own included. Null texts are empty texts; rows with
-    a null doc_id get a component of their fingerprint but never name one (null if no other row is in it). Repeated
-    rows are kept. Other columns are ignored. An empty table gives an empty result."""
+    a null doc_id are linked like others but never name a component (null if no other row is in it). Repeated rows are
+    kept. Other columns are ignored. An empty table gives an empty result; very long texts count whole."""
     fps = stored(fingerprints(docs, shingle), "fingerprints")
-    distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("rep", F.coalesce("least", F.lit(2**63 - 1) - F.pmod("fp", F.lit(2**40)))), "distinct")
-    labels = components(links(distinct, part))
-    named = distinct.join(labels, distinct["rep"] == labels["node"], "left").select("fp", F.coalesce("component", "rep").alias("c"))
-    named = named.select("fp", F.when(F.col("c") < 2**63 - 2**41, F.col("c")).alias("component_id"))
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = stored(classes(fps, part), "classes")
+    # least doc_id by fingerprint first, so that copies meet before the shuffle
+    least = fps.groupBy("fp").agg(F.min("doc_id").alias("least")).join(named, "fp").groupBy("class").agg(F.min("least").alias("component_id"))
+    ids = stored(named.join(least, "class").select("fp", "component_id"), "components")
+    return fps.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
 def op10_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of all documents."""
     from .common import table
 
     out = near_duplicates(table(spark, sf_dir, "documents"))
