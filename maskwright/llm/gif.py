@@ -1,9 +1,12 @@
 """GIF media: decode code streams, palettes, disposal and transparency to timed frames with colour histograms.
 
-`decode` follows the GIF89a layout. Between two clear codes the width of the n-th code depends on n alone, so all
-codes of such a run are cut from the bit string at once, with 12-bit codes for as long as a clear code is deferred; a
-run of literal codes needs no table at all. `encode_bytes` stores any bytes as 8-bit indices of a 256-colour picture, in
-frames of at most FRAME_ROWS rows, with literal codes.
+`frames` follows the GIF89a layout and yields one frame at a time over one running canvas. Between two clear codes the
+width of the n-th code depends on n alone, so all codes of such a run are cut from the bit string at once, with 12-bit
+codes for as long as a clear code is deferred; the codes of a run are expanded together. `encode_bytes` stores any
+bytes as 8-bit indices of a 256-colour picture, in frames of at most FRAME_ROWS rows.
+
+Sizes in a file are claims: root sizes beyond 2 to 8 bits and pictures of more than MAX_PIXELS are refused, and the
+canvas is no larger than what the frames touch.
 """
 
 from __future__ import annotations
@@ -16,7 +19,6 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,19 +26,23 @@ from pyspark.sql import functions as F
 from .common import per_text, small_batches, table
 
 UNIT, FRAME_ROWS, DELAY = 192, 4096, 4
-RUN = 254  # literal 9-bit codes that fit before the width would grow, clear code not counted
+MAX_PIXELS = 1 << 26  # of a canvas or frame
+BINS = 8
+#: What a damaged or hostile file may raise.
+BROKEN = (ValueError, struct.error, IndexError)
 
 
 @dataclass
 class Frame:
-    """One picture of a file: when it shows (centiseconds), its indices, and the canvas after drawing it (RGBA)."""
+    """One picture of a file: when it shows (centiseconds), its indices, and the canvas after drawing it, a 32-bit number
+    a pixel (red in the low byte, then green, blue, and 255 for opaque). The canvas is valid until the next frame."""
 
     start: int
     delay: int
     disposal: int
     transparent: int | None
     indices: np.ndarray
-    canvas: np.ndarray | None
+    canvas: np.ndarray
 
 
 # ---------------------------------------------------------------- LZW
@@ -76,68 +82,107 @@ def _deferred(data: np.ndarray, base: int, past: int, total: int, codes: np.ndar
     return np.concatenate(parts), np.zeros(0, dtype=np.int64), past
 
 
+def _expanded(run: np.ndarray, clear: int, most: int) -> tuple[np.ndarray, bool]:
+    """Samples of the codes between two clear codes, at most `most`, and whether all codes were valid.
+
+    Table entry j stands for what code j put out and one sample more, and both lie in the output. So a code is a reference
+    to the place of an earlier one, and all references are followed at once, halving the way each time."""
+    n = len(run)
+    index = np.arange(n)
+    literal, parent = run < clear, run - (clear + 2)
+    bad = np.nonzero(~literal & (parent >= index))[0]
+    if len(bad):
+        run, index, literal, parent = (x[: bad[0]] for x in (run, index, literal, parent))
+    if not len(run):
+        return np.zeros(0, dtype=np.uint8), not len(bad)
+    length, to = (~literal).astype(np.int64), np.where(literal, index, parent)
+    while True:
+        beyond = to[to]
+        if (beyond == to).all():
+            break
+        length, to = length + length[to], beyond
+    length += 1
+    start = np.cumsum(length) - length
+    if start[-1] + length[-1] > most:
+        k = int(np.searchsorted(start, most))
+        run, literal, parent, length, start, index = run[:k], literal[:k], parent[:k], length[:k], start[:k], index[:k]
+    at = np.arange(int(start[-1] + length[-1]))
+    source = at - np.repeat(np.where(literal, 0, start - start[np.where(literal, index, parent)]), length)
+    value = np.repeat(run, length).astype(np.uint8)
+    while True:
+        beyond = source[source]
+        if (beyond == source).all():
+            return value[source], not len(bad)
+        source = beyond
+
+
 def lzw_decode(size: int, stream: bytes, expect: int) -> np.ndarray:
     """Indices of one code stream with root size `size`, at most `expect` of them. A broken stream gives what came before."""
     clear, end = 1 << size, (1 << size) + 1
     data = np.frombuffer(stream + b"\0\0\0\0", dtype=np.uint8)
     total = len(stream) * 8
     at_in_run, widths = _offsets(size)
+    ends = at_in_run + widths
     out, have, base = [], 0, 0
-    table: list[bytes] = []
     while base < total and have < expect:
-        n = int(np.searchsorted(at_in_run + widths, total - base, side="right"))
+        n = int(np.searchsorted(ends, total - base, side="right"))
         if not n:
             break
         codes = _bits(data, base + at_in_run[:n], widths[:n])
         stops = np.nonzero((codes == clear) | (codes == end))[0]
-        past = int(at_in_run[n - 1] + widths[n - 1])
+        past = int(ends[n - 1])
         if n == len(at_in_run) and not len(stops):
             codes, stops, past = _deferred(data, base, past, total, codes, (clear, end), expect - have)
             n = len(codes)
         stop = int(stops[0]) if len(stops) else n
-        run = codes[:stop]
-        if len(run):
-            if int(run.max()) < clear:
-                piece = run.astype(np.uint8).tobytes()
-            else:
-                table = [bytes((i,)) for i in range(clear)] + [b"", b""]
-                parts, last = [], b""
-                for c in run.tolist():
-                    if c < len(table):
-                        word = table[c]
-                    elif last and c == len(table):
-                        word = last + last[:1]
-                    else:
-                        stop, stops = 0, []
-                        break
-                    if last and len(table) < 4096:
-                        table.append(last + word[:1])
-                    parts.append(word)
-                    last = word
-                piece = b"".join(parts)
-                if not stop:
-                    out.append(piece)
-                    break
+        if stop:
+            piece, whole = _expanded(codes[:stop], clear, expect - have)
             out.append(piece)
             have += len(piece)
+            if not whole:
+                break
         if stop == n or codes[stop] == end:
             break
-        base += int(at_in_run[stop] + widths[stop]) if stop < len(at_in_run) else past
-    return np.frombuffer(b"".join(out)[:expect], dtype=np.uint8)
-
-
-def lzw_literal(data: np.ndarray) -> bytes:
-    """A code stream of literal 9-bit codes for 8-bit samples, with a clear code before every RUN of them, and an end code."""
-    n = len(data)
-    runs = -(-n // RUN)
-    codes = np.full(runs * (RUN + 1), 256, dtype=np.uint16)
-    grid = codes.reshape(runs, RUN + 1)
-    padded = np.zeros(runs * RUN, dtype=np.uint16)
-    padded[:n] = data
-    grid[:, 1:] = padded.reshape(runs, RUN)
-    codes = np.concatenate((codes[: n + runs], [np.uint16(257)]))
-    bits = (codes[:, None] >> np.arange(9, dtype=np.uint16)) & 1
-    return np.packbits(bits.astype(np.uint8).reshape(-1), bitorder="little").tobytes()
+        base += int(ends[stop]) if stop < len(at_in_run) else past
+    return np.concatenate(out)[:expect] if out else np.zeros(0, dtype=np.uint8)
+
+
+def lzw_encode(data: bytes) -> bytes:
+    """A code stream for 8-bit samples, with a clear code first and wherever the table is full, and an end code."""
+    codes, runs = [256], []
+    table: dict[int, int] = {}
+    look, put, free = table.get, codes.append, 258 << 8
+    # a code stands here with its eight low bits free for the next sample
+    now = data[0] << 8 if data else 0
+    for x in memoryview(data)[1:]:
+        longer = look(now | x)
+        if longer:
+            now = longer
+        else:
+            put(now >> 8)
+            if free < 4096 << 8:
+                table[now | x] = free
+                free += 256
+            else:
+                put(256)
+                runs.append(len(codes))
+                table.clear()
+                free = 258 << 8
+            now = x << 8
+    if data:
+        put(now >> 8)
+    put(257)
+    value = np.array(codes, dtype=np.uint32)
+    # place of each code in its run, the clear code that ends a run counting with it
+    begin = np.array([1, *runs], dtype=np.int64)
+    place = np.arange(len(codes)) - np.repeat(begin, np.diff([0, *begin[1:], len(codes)]))
+    width = np.where(place < 0, 9, _offsets(8)[1][np.maximum(place, 0)])
+    at = np.concatenate(([0], np.cumsum(width)))
+    byte, moved = at[:-1] >> 3, value << (at[:-1] & 7).astype(np.uint32)
+    size = (int(at[-1]) + 7 >> 3) + 3
+    # codes share bytes but no bits, so sums put them together
+    out = sum(np.bincount(byte + k, (moved >> np.uint32(8 * k)) & np.uint32(255), size) for k in range(3))
+    return out.astype(np.uint8)[: size - 3].tobytes()
 
 
 # ---------------------------------------------------------------- container
@@ -159,7 +204,7 @@ def encode_bytes(payload: bytes) -> bytes:
     out = [b"GIF89a", struct.pack("<HHBBB", UNIT, height, 0xF7, 0, 0), grey]
     for k in range(0, len(rows), height):
         part = rows[k : k + height]
-        out += [b"\x21\xf9\x04", struct.pack("<BHB", 1 << 2, DELAY, 0), b"\0", b"\x2c", struct.pack("<HHHHB", 0, 0, UNIT, len(part), 0), b"\x08", _blocks(lzw_literal(part.reshape(-1)))]
+        out += [b"\x21\xf9\x04", struct.pack("<BHB", 1 << 2, DELAY, 0), b"\0", b"\x2c", struct.pack("<HHHHB", 0, 0, UNIT, len(part), 0), b"\x08", _blocks(lzw_encode(part.tobytes()))]
     return b"".join([*out, b"\x3b"])
 
 
@@ -171,94 +216,142 @@ def _sub_blocks(b: bytes, at: int) -> tuple[bytes, int]:
     return b"".join(parts), at + 1
 
 
-def decode(b: bytes, canvas: bool = True) -> list[Frame]:
-    """Frames of a GIF file. With `canvas`, palettes, transparency and disposal are applied to a running picture:
-    disposal 2 clears the frame's area, 3 puts back what was there before. Raises ValueError for other data."""
+def _layout(b: bytes) -> Iterator[tuple]:
+    """Control fields and pictures of a file in order: ("control", disposal, delay, transparent) and ("picture", x, y,
+    width, height, interlaced, palette or None, root size, where its code stream begins)."""
     if b[:3] != b"GIF" or len(b) < 13:
         raise ValueError("not a GIF file")
-    width, height, flags = struct.unpack("<HHB", b[6:11])
-    at, shared = 13, None
-    if flags & 0x80:
+
+    def colours(at: int, flags: int) -> tuple[np.ndarray | None, int]:
+        if not flags & 0x80:
+            return None, at
         n = 3 << ((flags & 7) + 1)
-        shared, at = np.frombuffer(b[at : at + n], dtype=np.uint8).reshape(-1, 3), at + n
-    picture = np.zeros((height, width, 4), dtype=np.uint8) if canvas else None
-    frames: list[Frame] = []
-    clock, delay, disposal, clear = 0, 0, 0, None
-    while at < len(b) and b[at] != 0x3B:
+        rgb = np.frombuffer(b[at : at + n], dtype=np.uint8).reshape(-1, 3).astype(np.uint32)
+        return rgb[:, 0] | rgb[:, 1] << 8 | rgb[:, 2] << 16 | np.uint32(0xFF000000), at + n
+
+    shared, at = colours(13, b[10])
+    while at < len(b) and b[at] in (0x21, 0x2C):
         if b[at] == 0x21:
             body, after = _sub_blocks(b, at + 2)
             if b[at + 1] == 0xF9 and len(body) >= 4:
-                disposal, delay = body[0] >> 2 & 7, body[1] | body[2] << 8
-                clear = body[3] if body[0] & 1 else None
+                yield "control", body[0] >> 2 & 7, body[1] | body[2] << 8, body[3] if body[0] & 1 else None
             at = after
-        elif b[at] == 0x2C:
-            x, y, w, h, flags = struct.unpack("<HHHHB", b[at + 1 : at + 10])
-            at, palette = at + 10, shared
-            if flags & 0x80:
-                n = 3 << ((flags & 7) + 1)
-                palette, at = np.frombuffer(b[at : at + n], dtype=np.uint8).reshape(-1, 3), at + n
-            size = b[at]
-            stream, at = _sub_blocks(b, at + 1)
-            indices = lzw_decode(size, stream, w * h)
-            if len(indices) < w * h:
-                indices = np.concatenate((indices, np.zeros(w * h - len(indices), dtype=np.uint8)))
-            indices = indices.reshape(h, w)
-            if flags & 0x40:  # interlaced rows
-                order = np.concatenate([np.arange(s, h, d) for s, d in ((0, 8), (4, 8), (2, 4), (1, 2))])
-                straight = np.empty_like(indices)
-                straight[order] = indices
-                indices = straight
-            shown = None
-            if canvas:
-                before = picture.copy() if disposal == 3 else None
-                area = picture[y : y + h, x : x + w]
-                own = indices[: area.shape[0], : area.shape[1]]
-                colours = palette if palette is not None else np.zeros((256, 3), dtype=np.uint8)
-                rgb = colours[np.minimum(own, len(colours) - 1)]
-                draw = np.ones(own.shape, dtype=bool) if clear is None else own != clear
-                area[draw] = np.concatenate((rgb, np.full((*own.shape, 1), 255, dtype=np.uint8)), axis=2)[draw]
-                shown = picture.copy()
-                if disposal == 2:
-                    picture[y : y + h, x : x + w] = 0
-                elif disposal == 3:
-                    picture = before
-            frames.append(Frame(clock, delay, disposal, clear, indices, shown))
-            clock, delay, disposal, clear = clock + delay, 0, 0, None
         else:
-            break
-    return frames
-
-
-def histogram(samples: np.ndarray, bins: int = 8) -> list[int]:
-    """Counts of 8-bit samples in equal bins."""
-    return np.bincount((samples.reshape(-1) >> (8 - bins.bit_length() + 1)).astype(np.int64), minlength=bins).tolist()
+            x, y, w, h, flags = struct.unpack("<HHHHB", b[at + 1 : at + 10])
+            own, at = colours(at + 10, flags)
+            yield "picture", x, y, w, h, bool(flags & 0x40), shared if own is None else own, b[at], at + 1
+            at += 1
+            while at < len(b) and b[at]:
+                at += 1 + b[at]
+            at += 1
+
+
+def _rows(h: int) -> np.ndarray:
+    """Order of the rows of an interlaced picture."""
+    return np.concatenate([np.arange(s, h, d) for s, d in ((0, 8), (4, 8), (2, 4), (1, 2))])
+
+
+def frames(b: bytes) -> Iterator[Frame]:
+    """Frames of a GIF file, over one running canvas: transparent pixels leave it as it is; disposal 2 clears the frame's
+    area afterwards, 3 puts back what was there before. The canvas is the screen, cut to what frames touch.
+
+    Raises ValueError for other data, and for sizes that are refused; a file that ends early gives the frames before."""
+    width, height = struct.unpack("<HH", b[6:10]) if len(b) >= 10 else (0, 0)
+    right = bottom = 0
+    for kind, *f in _layout(b):
+        if kind == "picture":
+            x, y, w, h, size = f[0], f[1], f[2], f[3], f[6]
+            if not 2 <= size <= 8:
+                raise ValueError(f"root size {size}")
+            if w * h > MAX_PIXELS:
+                raise ValueError(f"a picture of {w} x {h}")
+            right, bottom = max(right, min(width, x + w)), max(bottom, min(height, y + h))
+    if right * bottom > MAX_PIXELS:
+        raise ValueError(f"a canvas of {right} x {bottom}")
+    canvas = np.zeros((bottom, right), dtype=np.uint32)
+    clock, delay, disposal, clear = 0, 0, 0, None
+    for kind, *f in _layout(b):
+        if kind == "control":
+            disposal, delay, clear = f
+            continue
+        x, y, w, h, interlaced, palette, size, at = f
+        indices = lzw_decode(size, _sub_blocks(b, at)[0], w * h)
+        if len(indices) < w * h:
+            indices = np.concatenate((indices, np.zeros(w * h - len(indices), dtype=np.uint8)))
+        indices = indices.reshape(h, w)
+        if interlaced:
+            straight = np.empty_like(indices)
+            straight[_rows(h)] = indices
+            indices = straight
+        area = canvas[y : y + h, x : x + w]
+        own = indices[: area.shape[0], : area.shape[1]]
+        before = area.copy() if disposal == 3 else None
+        if palette is None or not len(palette):
+            palette = np.full(1, 0xFF000000, dtype=np.uint32)
+        # indices beyond the palette take its last colour
+        drawn = np.concatenate((palette, np.full(max(0, 256 - len(palette)), palette[-1])))[own]
+        area[...] = drawn if clear is None else np.where(own == clear, area, drawn)
+        yield Frame(clock, delay, disposal, clear, indices, canvas)
+        if disposal == 2:
+            area[...] = 0
+        elif disposal == 3:
+            area[...] = before
+        clock, delay, disposal, clear = clock + delay, 0, 0, None
+
+
+def histograms(canvas: np.ndarray) -> list[list[int]]:
+    """Counts of red, green and blue of the opaque pixels in BINS equal bins each."""
+    flat = canvas.reshape(-1)
+    seen = flat >> np.uint32(24) == 255
+    flat = flat if seen.all() else flat[seen]
+    shift = 8 - (BINS.bit_length() - 1)
+    return [np.bincount(((flat >> np.uint32(8 * k)) & np.uint32(255)) >> np.uint32(shift), minlength=BINS).tolist() for k in range(3)]
+
+
+FRAMES = {
+    "key": ("long", pa.int64()), "frame": ("int", pa.int32()), "start_cs": ("long", pa.int64()), "delay_cs": ("int", pa.int32()), "disposal": ("int", pa.int32()),
+    "width": ("int", pa.int32()), "height": ("int", pa.int32()), "red": ("array<long>", pa.list_(pa.int64())), "green": ("array<long>", pa.list_(pa.int64())), "blue": ("array<long>", pa.list_(pa.int64())),
+    "pixels": ("binary", pa.binary()),
+}
+OUT_BYTES = 32 << 20  # of frames in one batch that goes back
 
 
 def gif_frames(media: DataFrame, key: str = "media_id", column: str = "media") -> DataFrame:
     """One row for each frame of the GIF files in a binary column: key, frame, start_cs, delay_cs, disposal, width,
     height, red, green, blue (histograms of the opaque canvas pixels in 8 bins), pixels (RGBA bytes of the canvas).
 
-    A null or a file that is not a GIF gives no row. Other columns are ignored; equal rows give equal rows."""
+    A null, a file that is not a GIF or one whose sizes are refused gives no row; of a file that breaks off, the frames
+    before that. Frames go back as they are made. Other columns are ignored; equal rows give equal rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: list[tuple] = []
+        held = 0
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in batches:
-            for k, b in f.itertuples(index=False):
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, (_, t) in zip(zip(*made), FRAMES.values())], names=[*FRAMES])
+
+        for b in batches:
+            for k, media in zip(b.column(0).to_pylist(), b.column(1)):
+                data = media.as_py()
                 try:
-                    frames = decode(bytes(b)) if b is not None else []
-                except (ValueError, struct.error, IndexError):
-                    frames = []
-                for i, x in enumerate(frames):
-                    seen = x.canvas[x.canvas[..., 3] > 0]
-                    bands = [histogram(seen[:, c]) for c in range(3)]
-                    yield pd.DataFrame([(k, i, x.start, x.delay, x.disposal, x.canvas.shape[1], x.canvas.shape[0], *bands, x.canvas.tobytes())], columns=names)
+                    for i, x in enumerate(frames(data) if data is not None else ()):
+                        pixels = x.canvas.astype("<u4").tobytes()
+                        made.append((k, i, x.start, x.delay, x.disposal, x.canvas.shape[1], x.canvas.shape[0], *histograms(x.canvas), pixels))
+                        held += len(pixels)
+                        if held > OUT_BYTES:
+                            yield batch()
+                            made, held = [], 0
+                except BROKEN:
+                    continue
+        if made:
+            yield batch()
 
-    names = ["key", "frame", "start_cs", "delay_cs", "disposal", "width", "height", "red", "green", "blue", "pixels"]
-    kinds = "key long, frame int, start_cs long, delay_cs int, disposal int, width int, height int, red array<long>, green array<long>, blue array<long>, pixels binary"
-    return media.select(F.col(key).cast("long"), F.col(column)).mapInPandas(run, kinds)
+    return small_batches(media).select(F.col(key).cast("long"), F.col(column).cast("binary")).mapInArrow(run, ", ".join(f"{k} {t}" for k, (t, _) in FRAMES.items()))
 
 
 def text_media(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, media (a GIF with the padded text as samples) of every row; a null text counts as empty."""
+    """doc_id, n_bytes, media (a GIF with the padded text as samples) of every row; a null text counts as empty, a very long
+    one becomes many frames. Repeated rows are all returned; other columns are ignored."""
 
     def work(texts: list) -> list:
         raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
@@ -279,18 +372,20 @@ FEATURES = {
 
 def read_back(media: DataFrame) -> DataFrame:
     """Decode each stored GIF and digest its samples: payload_bytes, payload_sha256, tail_crc32, media_bytes,
-    media_sha256 and feature (frames, total time and the 8-bin histogram of all samples)."""
+    media_sha256 and feature (frames, total time, and the canvases' histograms of red, green and blue, summed)."""
+
+    def one(b: bytes) -> tuple:
+        payload, n, time, bins = [], 0, 0, np.zeros((3, BINS), dtype=np.int64)
+        for x in frames(b):
+            payload.append(x.indices.tobytes())
+            n, time, bins = n + 1, x.start + x.delay, bins + np.array(histograms(x.canvas))
+        whole = b"".join(payload)
+        feature = "|".join([str(n), str(time), *(",".join(map(str, band)) for band in bins.tolist())])
+        return len(whole), hashlib.sha256(whole).hexdigest(), zlib.crc32(whole[-16:]), len(b), hashlib.sha256(b).hexdigest(), feature
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for b in batch.column("media"):
-                b = b.as_py()
-                frames = decode(b, canvas=False)
-                payload = b"".join(x.indices.tobytes() for x in frames)
-                bins = np.sum([histogram(x.indices) for x in frames], axis=0).tolist()
-                feature = f"{len(frames)}|{sum(x.delay for x in frames)}|" + ",".join(map(str, bins))
-                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(b), hashlib.sha256(b).hexdigest(), feature))
+            rows = [one(b.as_py()) for b in batch.column("media")]
             made = [pa.array(x, t) for x, (_, t) in zip(zip(*rows) if rows else [[]] * len(FEATURES), FEATURES.values())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *made], names=["doc_id", "n_bytes", *FEATURES])
 
@@ -299,4 +394,5 @@ def read_back(media: DataFrame) -> DataFrame:
 
 
 def op7_media_gif(spark, sf_dir: str) -> DataFrame:
+    """All documents as GIF files, read back from the stored bytes with canvas, timing and colour histograms."""
     return read_back(text_media(table(spark, sf_dir, "documents")))

@@ -531,20 +531,51 @@ def test_frames_disposal_and_transparency(spark):
     b += frame_bytes(0, 0, 1, 2, bytes([2, 0]), clear=0, disposal=3, delay=7)
     b += frame_bytes(1, 1, 1, 1, bytes([3]), disposal=2, delay=1)
     b += frame_bytes(0, 0, 1, 1, bytes([2]))
-    f = gif.decode(b + b"\x3b")
-    colour = lambda k, y, x: tuple(int(v) for v in f[k].canvas[y, x])
+    f = [(x, x.canvas.copy()) for x in gif.frames(b + b"\x3b")]
+    colour = lambda k, y, x: tuple(int(v) for v in f[k][1][y, x : x + 1].view(np.uint8))
     red, green, blue, none = (255, 0, 0, 255), (0, 255, 0, 255), (0, 0, 255, 255), (0, 0, 0, 0)
-    assert [x.start for x in f] == [0, 5, 12, 13]
+    assert [x.start for x, _ in f] == [0, 5, 12, 13]
     assert colour(1, 0, 0) == green and colour(1, 1, 0) == red
     assert colour(2, 0, 0) == red and colour(2, 1, 1) == blue
     assert colour(3, 1, 1) == none and colour(3, 0, 0) == green
     tall = b"GIF89a" + struct.pack("<HHBBB", 1, 8, 0x81, 0, 0) + palette + frame_bytes(0, 0, 1, 8, bytes([0, 1, 2, 2, 3, 3, 3, 3]), interlaced=True) + b"\x3b"
-    assert gif.decode(tall)[0].indices[:, 0].tolist() == [0, 3, 2, 3, 1, 3, 2, 3]
+    assert next(gif.frames(tall)).indices[:, 0].tolist() == [0, 3, 2, 3, 1, 3, 2, 3]
     rows = gif.gif_frames(spark.createDataFrame([(1, b), (2, b"no"), (3, None)], "media_id long, media binary")).collect()
     assert [(r.key, r.frame, r.start_cs) for r in rows] == [(1, 0, 0), (1, 1, 5), (1, 2, 12), (1, 3, 13)]
     assert rows[0].red[7] == 4 and rows[0].green[0] == 4
 
 
+def test_hostile_files(spark):
+    """Claims of sizes are refused, broken files give what came before, and nothing raises."""
+    import struct
+
+    head = lambda w, h: b"GIF89a" + struct.pack("<HHBBB", w, h, 0x81, 0, 0) + bytes(12)
+    good = frame_bytes(0, 0, 2, 2, bytes([1, 1, 1, 1]))
+    files = [
+        head(2, 2) + good + frame_bytes(0, 0, 1, 1, bytes([1]))[:-3] + bytes((63,)),  # breaks off
+        head(1, 1) + b"\x2c" + struct.pack("<HHHHB", 0, 0, 1, 1, 0) + bytes((63, 0)),  # root size 63
+        head(65535, 65535) + b"\x2c" + struct.pack("<HHHHB", 0, 0, 65535, 65535, 0) + bytes((2, 0)),  # a huge picture
+        head(65535, 65535) + good + b"\x3b",  # a huge screen, but a small picture
+        head(65535, 65535) + good + frame_bytes(65534, 65534, 1, 1, bytes([1])) + b"\x3b",  # small pictures far apart
+        b"GIF89a", b"GIF", b"", head(2, 2)[:15], head(2, 2) + b"\x21\xf9\xff", head(2, 2) + b"\x2c\x00",
+        b"GIF89a" + struct.pack("<HHBBB", 2, 2, 0, 0, 0) + good,  # no palette
+    ]
+    rng = random.Random(6)
+    whole = head(4, 4) + good + frame_bytes(1, 1, 2, 2, bytes([0, 1, 2, 3]), clear=1, disposal=3)
+    files += [bytes(rng.randrange(256) if rng.random() < 0.05 else x for x in whole[: rng.randrange(len(whole))]) for _ in range(200)]
+    rows = gif.gif_frames(spark.createDataFrame(list(enumerate(files)), "media_id long, media binary")).collect()
+    by = {k: [r for r in rows if r.key == k] for k in range(12)}
+    assert len(by[0]) >= 1 and by[0][0].width == 2 and not by[1] and not by[2] and not by[4] and not any(by[k] for k in range(5, 11))
+    assert [(r.width, r.height) for r in by[3]] == [(2, 2)] and [(r.width, len(r.pixels)) for r in by[11]] == [(2, 16)]
+
+
+@pytest.mark.parametrize("data", [b"", b"a", b"ab" * 20_000, bytes(range(256)) * 60, random.Random(8).randbytes(50_000), "příliš žluťoučký kůň ".encode() * 3000])
+def test_lzw_written(data):
+    stream = gif.lzw_encode(data)
+    assert bytes(gif.lzw_decode(8, stream, len(data))) == data
+    assert len(data) < 1000 or len(set(data)) > 200 or len(stream) < len(data)
+
+
 def test_media_round_trip(docs, empty):
     rows = gif.read_back(gif.text_media(clash(docs))).collect()
     want = []
