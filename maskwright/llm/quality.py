@@ -4,7 +4,7 @@ Both views start from the labelled rows. In each round every view scores all unl
 those it is sure about train the other view: what they weigh there keeps to the labels' proportions and to no more than
 the labelled rows. The words of the text view are chosen anew each round, from labelled and pseudo-labelled documents. At
 the end each view is calibrated on held-out labelled rows, a small model over both calibrated views is fitted there, and
-all documents are scored.
+all documents are scored. Texts are read once and never shuffled: what moves are their features, two bytes a word bucket.
 
 At most MAX_LABELLED labelled documents, taken by the hash of their id, reach the driver, one row each, as features, not
 texts (at most 2^WORD_BITS word buckets a document). Of the unlabelled ones only sums do: counts by word and by metadata,
@@ -31,6 +31,8 @@ SUMS = 8  # tasks that add up the sums of all others before the driver does
 FLAGS = 6  # marks of a word: symbols, no letter or digit, capitals, exclamation, digits, address
 DENSE = 2 * FLAGS + 6
 TARGETS = ("quality", "toxic")
+VIEW = ("text", "lang", "source", "n_chars")
+HIGH = 1 << (WORD_BITS - 16)
 
 _SYMBOLS = re.compile(rb"[%&#$*~^=<>{}\[\]\\]{2,}|[%&#$*]$")
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -59,7 +61,7 @@ def text_view(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     raw = (text or "").encode("utf-8", "surrogatepass")
     words = raw.split()
     n = len(words)
-    dense = np.zeros(DENSE)
+    dense = np.zeros(DENSE, dtype=np.float32)
     if not n:
         dense[-1] = 1.0
         return np.zeros(0, dtype=np.int32), dense
@@ -174,25 +176,47 @@ class _Gifts:
         self.rows, self.words, self.meta = np.zeros(2), np.zeros((2, 1 << WORD_BITS)), {}
 
 
-def _unlabelled(rows: DataFrame) -> DataFrame:
-    """Features of all these documents in a scratch table; copies with the same metadata count once."""
+def _pack(words: np.ndarray) -> bytes:
+    """Sorted buckets in two bytes each: how many there are for each value of the bits above 16, then the lower bits."""
+    counts = np.bincount(words >> 16, minlength=HIGH).astype("<u4")
+    return counts.tobytes() + (words & 0xFFFF).astype("<u2").tobytes()
+
+
+def _unpacked(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All words of a batch, the row of each, and the dense and metadata numbers by row."""
+    words, dense, meta = (b.column(b.schema.get_field_index(c)) for c in ("words", "dense", "meta"))
+    n = b.num_rows
+    ends = np.frombuffer(words.buffers()[1], dtype="<i4")[words.offset : words.offset + n + 1] if n else np.zeros(1, dtype="<i4")
+    data = np.frombuffer(words.buffers()[2], dtype=np.uint8)[ends[0] : ends[-1]] if n else np.zeros(0, dtype=np.uint8)
+    head = (ends[:-1, None] - ends[0] + np.arange(4 * HIGH)[None, :]).reshape(-1)
+    counts = data[head].view("<u4").reshape(n, HIGH).astype(np.int64)
+    body = np.ones(len(data), dtype=bool)
+    body[head] = False
+    flat = data[body].view("<u2").astype(np.int32) | np.repeat(np.tile(np.arange(HIGH, dtype=np.int32), n), counts.reshape(-1)) << 16
+    numbers = dense.flatten().to_numpy(zero_copy_only=False).reshape(-1, DENSE).astype(float)
+    return flat, np.repeat(np.arange(n), counts.sum(axis=1)), numbers, meta.flatten().to_numpy(zero_copy_only=False).reshape(-1, 3)
+
+
+def features(docs: DataFrame) -> DataFrame:
+    """doc_id, key (of text and metadata), words, dense and meta of every row, in a scratch table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            views = [text_view(t.as_py()) for t in b.column(0)]
-            meta = [meta_view(*m) for m in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)))]
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in views], pa.list_(pa.int32())), pa.array([d for _, d in views], pa.list_(pa.float64())), pa.array(meta, pa.list_(pa.int32())), b.column(4)], names=["words", "dense", "meta", "key"])
+            views = [text_view(t.as_py()) for t in b.column(2)]
+            meta = [meta_view(*m) for m in zip(*(b.column(i).to_pylist() for i in (3, 4, 5)))]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array([_pack(w) for w, _ in views], pa.binary()), pa.array([d for _, d in views], pa.list_(pa.float32())), pa.array(meta, pa.list_(pa.int32()))],
+                names=["doc_id", "key", "words", "dense", "meta"],
+            )
 
-    view = ["text", "lang", "source", "n_chars"]
-    made = small_batches(rows).select(*view, row_key(*view).alias("key")).mapInArrow(run, "words array<int>, dense array<double>, meta array<int>, key string")
-    return stored(made.groupBy("key").agg(F.min(F.struct("dense", "meta", "words")).alias("row")).select("row.*"), "unlabelled")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = small_batches(_columns(docs)).select("doc_id", row_key(*VIEW).alias("key"), *VIEW)
+    return stored(rows.mapInArrow(run, f"doc_id {kind}, key string, words binary, dense array<float>, meta array<int>"), "features")
 
 
-def _unpacked(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All words of a batch, the row of each, and the dense and metadata numbers by row."""
-    words, dense, meta = (b.column(b.schema.get_field_index(c)) for c in ("words", "dense", "meta"))
-    row = np.repeat(np.arange(b.num_rows), words.value_lengths().to_numpy(zero_copy_only=False))
-    return words.flatten().to_numpy(zero_copy_only=False), row, dense.flatten().to_numpy(zero_copy_only=False).reshape(-1, DENSE), meta.flatten().to_numpy(zero_copy_only=False).reshape(-1, 3)
+def _pool(made: DataFrame) -> DataFrame:
+    """Features of unlabelled documents; copies with the same metadata count once."""
+    return stored(made.groupBy("key").agg(F.min(F.struct("dense", "meta", "words")).alias("row")).select("row.*"), "unlabelled")
 
 
 def _sure(z: np.ndarray) -> np.ndarray:
@@ -345,11 +369,12 @@ class CoTrained:
         }
 
 
-def _score(model: dict, buckets: np.ndarray, dense: np.ndarray, meta: list[int]) -> float:
+def _scores(model: dict, words: np.ndarray, row: np.ndarray, dense: np.ndarray, meta: np.ndarray) -> np.ndarray:
+    """Probabilities of all rows of a batch."""
     a, b, c, d, u, v, w = model["line"]
-    zt = model["words"][buckets].sum() + dense @ model["dense"] + model["text_b"]
-    zm = model["meta"][meta].sum() + model["meta_b"]
-    return float(_sigmoid(u * (a * zt + b) + v * (c * zm + d) + w))
+    zt = np.bincount(row, model["words"][words], minlength=len(dense)) + dense @ model["dense"] + model["text_b"]
+    zm = model["meta"][meta].sum(axis=1) + model["meta_b"]
+    return _sigmoid(u * (a * zt + b) + v * (c * zm + d) + w)
 
 
 def _columns(docs: DataFrame) -> DataFrame:
@@ -358,27 +383,10 @@ def _columns(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", have("text", "string"), have("lang", "string"), have("source", "string"), have("n_chars", "long"))
 
 
-def _features(rows: DataFrame) -> pa.Table:
-    """Features of a bounded set of rows with quality and toxic, on the driver."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            views = [text_view(t.as_py()) for t in b.column(1)]
-            meta = [meta_view(*m) for m in zip(*(b.column(i).to_pylist() for i in (2, 3, 4)))]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([w for w, _ in views], pa.list_(pa.int32())), pa.array([d for _, d in views], pa.list_(pa.float64())), pa.array(meta, pa.list_(pa.int32())), b.column(5), b.column(6)],
-                names=["h", "words", "dense", "meta", "quality", "toxic"],
-            )
-
-    ordered = small_batches(rows).select("h", "text", "lang", "source", "n_chars", "quality", "toxic")
-    return ordered.mapInArrow(run, "h string, words array<int>, dense array<double>, meta array<int>, quality int, toxic int").toArrow().sort_by("h").combine_chunks()
-
-
 def _arrays(t: pa.Table) -> dict:
     if not t.num_rows:
         return {"words": [], "dense": np.zeros((0, DENSE)), "meta": np.zeros((0, META)), "group": np.zeros(0, dtype=int)}
-    b = t.to_batches()[0]
-    flat, row, dense, at = _unpacked(b)
+    flat, row, dense, at = _unpacked(t.to_batches()[0])
     words = [w.astype(np.int64) for w in np.split(flat, np.cumsum(np.bincount(row, minlength=t.num_rows))[:-1])]
     meta = np.zeros((t.num_rows, META))
     np.add.at(meta, (np.repeat(np.arange(t.num_rows), 3), at.reshape(-1)), 1)
@@ -391,19 +399,19 @@ def _only(arrays: dict, known: np.ndarray) -> dict:
     return {"words": [w for w, k in zip(arrays["words"], known) if k], "dense": arrays["dense"][known], "meta": arrays["meta"][known], "group": group}
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS) -> dict[str, CoTrained | float]:
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS, made: DataFrame | None = None) -> dict[str, CoTrained | float]:
     """A model for each target; a constant where its labels have one class only, which no model can be fitted to (none:
     quality 1, toxic 0).
 
     Labels of one document that differ count by their mean, rounded; a null leaves out that target only. Of rows with the
-    same doc_id one is fitted to, that with the least content hash. Rows without doc_id are unlabelled."""
+    same doc_id one is fitted to, that with the least content hash. Rows without doc_id are unlabelled, and so are those
+    whose labels are beyond the sample. `made` are the documents' features, if they are there already."""
     known = labels.filter("doc_id is not null").groupBy("doc_id").agg(*[F.round(F.avg(t)).cast("int").alias(t) for t in TARGETS]).filter("quality is not null or toxic is not null")
-    rows = _columns(docs)
-    taken = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    view = ["text", "lang", "source", "n_chars"]
-    # at most max_labelled rows of three numbers are broadcast; one row a document is left before anything goes to Python
-    one = rows.join(F.broadcast(taken), "doc_id").groupBy("doc_id", *TARGETS).agg(F.min(F.struct(row_key("doc_id", *view).alias("h"), *view)).alias("r"))
-    labelled = _features(one.select("r.*", *TARGETS))
+    made = features(docs) if made is None else made
+    # at most max_labelled rows of three numbers, so both joins below are broadcasts and nothing wide is shuffled by them
+    taken = stored(known.join(made.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled), "labelled")
+    one = made.join(F.broadcast(taken), "doc_id").groupBy("doc_id", *TARGETS).agg(F.min(F.struct("key", "words", "dense", "meta")).alias("r"))
+    labelled = one.select("doc_id", "r.*", *TARGETS).toArrow().sort_by([("key", "ascending"), ("doc_id", "ascending")]).combine_chunks()
     arrays = _arrays(labelled)
     out: dict[str, CoTrained | float] = {}
     for t, default in zip(TARGETS, (1.0, 0.0)):
@@ -412,7 +420,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ro
         out[t] = CoTrained(_only(arrays, there), y) if len(np.unique(y)) == 2 else y[0] if len(y) else default
     models = {t: m for t, m in out.items() if isinstance(m, CoTrained)}
     if models and rounds:
-        pool = _unlabelled(rows.join(known.select("doc_id"), "doc_id", "left_anti"))
+        pool = _pool(made.join(F.broadcast(taken.select("doc_id")), "doc_id", "left_anti"))
         for _ in range(rounds):
             gifts, judges = _gifts(pool, models), {t: m.flat_views() for t, m in models.items()}
             for t, m in models.items():
@@ -442,21 +450,34 @@ def scored(docs: DataFrame, models: dict) -> DataFrame:
             view = b.column(len(keep))
             names = [f.name for f in view.type]
             column = lambda c: view.field(c).to_pylist() if c in names else [None] * b.num_rows
-            made = {t: np.empty(b.num_rows) for t in TARGETS}
-            for k, (text, *meta) in enumerate(zip(*(column(c) for c in ("text", "lang", "source", "n_chars")))):
-                buckets, dense = text_view(text)
-                at = meta_view(*meta)
-                for t in TARGETS:
-                    made[t][k] = _score(models[t], buckets, dense, at) if isinstance(models[t], dict) else models[t]
+            views = [text_view(t) for t in column("text")]
+            meta = np.array([meta_view(*m) for m in zip(*map(column, VIEW[1:]))]).reshape(-1, 3)
+            words = np.concatenate([w for w, _ in views]) if views else np.zeros(0, dtype=np.int32)
+            row, dense = np.repeat(np.arange(len(views)), [len(w) for w, _ in views]), np.array([x for _, x in views], dtype=float).reshape(-1, DENSE)
+            made = {t: _scores(m, words, row, dense, meta) if isinstance(m, dict) else np.full(b.num_rows, m) for t, m in models.items()}
             good = (made["quality"] >= 0.5) & (made["toxic"] < 0.5)
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keep))), pa.array(made["quality"]), pa.array(made["toxic"]), pa.array(good)], names=[*keep, "p_quality", "p_toxic", "keep"])
 
     return rows.mapInArrow(run, ", ".join(f"`{c}` {fields[c]}" for c in keep) + ", p_quality double, p_toxic double, keep boolean")
 
 
+def scored_features(made: DataFrame, models: dict) -> DataFrame:
+    """doc_id, p_quality, p_toxic and keep of every row of features()."""
+    flat = {t: m.flat() if isinstance(m, CoTrained) else m for t, m in models.items()}
+    held = made.sparkSession.sparkContext.broadcast(flat)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words, row, dense, meta = _unpacked(b)
+            p = [_scores(m, words, row, dense, meta) if isinstance(m, dict) else np.full(b.num_rows, m) for m in (held.value[t] for t in TARGETS)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p[0]), pa.array(p[1]), pa.array((p[0] >= 0.5) & (p[1] < 0.5))], names=["doc_id", "p_quality", "p_toxic", "keep"])
+
+    kind = made.schema["doc_id"].dataType.simpleString()
+    return made.select("doc_id", "words", "dense", "meta").mapInArrow(run, f"doc_id {kind}, p_quality double, p_toxic double, keep boolean")
+
+
 def op9_quality_classifier(spark, sf_dir: str) -> DataFrame:
     """Scores of all documents by models fitted to the labels and to all unlabelled documents."""
-    docs = table(spark, sf_dir, "documents")
-    models = fit(docs, table(spark, sf_dir, "labels"))
-    rows = scored(docs.select("doc_id", "text", "lang", "source", "n_chars"), models)
+    made = features(table(spark, sf_dir, "documents"))
+    rows = scored_features(made, fit(made, table(spark, sf_dir, "labels"), made=made))
     return rows.select("doc_id", F.round("p_quality", 6).alias("p_quality"), F.round("p_toxic", 6).alias("p_toxic"), "keep")

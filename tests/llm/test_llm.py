@@ -670,10 +670,22 @@ def test_classifier_learns_words_of_unlabelled_documents(spark):
     buckets = quality.text_view(" ".join(new))[0]
     assert set(buckets.tolist()) <= set(model.chosen.tolist())
     assert (model.flat()["words"][buckets] > 0).all()
-    gifts = quality._gifts(quality._unlabelled(quality._columns(docs).filter("doc_id >= 1000")), {"toxic": model})["toxic"]
+    gifts = quality._gifts(quality._pool(quality.features(docs.filter("doc_id >= 1000"))), {"toxic": model})["toxic"]
     assert gifts.rows.tolist() == [6000, 3000]  # every document, not a pool
 
 
+def test_features_come_back(spark, docs):
+    made = quality.features(clash(docs)).toArrow().combine_chunks()
+    words, row, dense, meta = quality._unpacked(made.to_batches()[0])
+    want = {r[0]: quality.text_view(r[1])[0].tolist() for r in ROWS if r[0] not in (None, 907)}
+    for k, i in enumerate(made["doc_id"].to_pylist()):
+        assert i not in want or words[row == k].tolist() == want[i]
+    models = {"quality": 0.7, "toxic": quality.CoTrained(quality._arrays(made), np.arange(made.num_rows) % 2)}
+    models["toxic"].join_views()
+    a = got(quality.scored_features(quality.features(docs), models).select("doc_id", F.round("p_toxic", 9).alias("p"), "keep"), "doc_id", "p", "keep")
+    assert a == got(quality.scored(docs, models).select("doc_id", F.round("p_toxic", 9).alias("p"), "keep"), "doc_id", "p", "keep")
+
+
 def test_classifier_without_labels(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.fit(docs, none) == {"quality": 1.0, "toxic": 0.0}
