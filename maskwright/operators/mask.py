@@ -19,10 +19,15 @@ from pyspark.sql import functions as F
 
 from ..functions.text import BY_CONTEXT, BY_SHAPE, normalized
 from ..plans import catalog, lists, prefilter
+from ..sources.providers import Transient
 from . import postprocess
 
-FIRST_MARK, LAST_MARK = 0xF0000, 0x10FFFD
-MARK = re.compile(f"[{chr(FIRST_MARK)}-{chr(LAST_MARK)}]")
+FIRST_MARK, SECOND_MARK, LAST_MARK = 0xF0000, 0x100000, 0x10FFFD
+PRIVATE = re.compile(f"[{chr(FIRST_MARK)}-{chr(LAST_MARK)}]")
+#: A mark is one private character, from the SINGLE-th on one of LEADS characters and another one.
+SINGLE, LEADS = 60_000, 5_000
+_span = lambda begin, n: "".join(f"{chr(first + begin)}-{chr(first + begin + n - 1)}" for first in (FIRST_MARK, SECOND_MARK))
+MARK = re.compile(f"[{_span(SINGLE, LEADS)}]?[{_span(0, SINGLE)}]")
 REGEX, STRICT, FALLBACK, ANNOTATED = "wrapper-regex", "wrapper-strict", "wrapper-nametag-fallback", "wrapper-placeholder"
 SOURCES = ("maskit", REGEX, STRICT, ANNOTATED, FALLBACK)
 SKIP_AT = 3  # placeholders in the input from which it counts as masked already
@@ -30,7 +35,9 @@ SKIP_AT = 3  # placeholders in the input from which it counts as masked already
 
 @dataclass(frozen=True)
 class Options:
-    """What to do besides the rules. `keep_keyword` leaves the keyword of a keyword-and-value rule in the text."""
+    """What to do besides the rules. `keep_keyword` leaves the keyword of a keyword-and-value rule in the text. For what a
+    masking provider takes: `stop_words` come back unless that is None, and with `classify` a label of recognition that
+    holds the original, or lies in it, is its kind where shape and context tell none."""
 
     rules: bool = True
     strict: bool = False
@@ -40,6 +47,8 @@ class Options:
     keep_mapping: bool = True
     normalize: bool = True
     names: frozenset[str] | None = None
+    stop_words: frozenset[str] | None = lists.STOP_WORDS
+    classify: bool = False
 
 
 @dataclass
@@ -69,7 +78,7 @@ class Registry:
 
 
 class Marks:
-    """Private characters that stand for spans, one for each distinct content."""
+    """Private characters that stand for spans, another mark for each distinct content."""
 
     def __init__(self, first: int = FIRST_MARK):
         self.first = first
@@ -79,7 +88,10 @@ class Marks:
     def make(self, content: str) -> str:
         mark = self.of.get(content)
         if mark is None:
-            mark = chr(self.first + len(self.content))
+            n = len(self.content)
+            mark = chr(self.first + n % SINGLE)
+            if n >= SINGLE:
+                mark = chr(self.first + SINGLE + n // SINGLE - 1) + mark
             self.content[mark], self.of[content] = content, mark
         return mark
 
@@ -214,24 +226,26 @@ MAY_HOLD = re.compile(r"[A-Z]\d")
 ANNOTATION = re.compile(r"(\[[\w#]+\]|\w+)_\[([^\]]+)\]")
 
 
-def apply_annotations(raw: str, registry: Registry, rows: list[dict], said: list[str], stop: frozenset[str] = lists.STOP_WORDS) -> str:
+def apply_annotations(raw: str, registry: Registry, rows: list[dict], said: list[str], stop: frozenset[str] | None = lists.STOP_WORDS, entities: list[dict] | None = None) -> str:
     """Text of a masking provider, PLACEHOLDER_[original], under the document's own numbers.
 
     Originals on the stop list, or that hold a mark, come back as they were; the kind of the others is told from the
-    provider's placeholder and the words before it."""
+    provider's placeholder and the words before it, or else by the first of the entities that matches."""
+    labels = [(re.sub(r"\s+", " ", e["text"]).strip().lower(), e.get("label")) for e in entities or ()]
     by_text: dict[str, str] = {}
     for r in rows:
         by_text.setdefault(re.sub(r"\s+", " ", r["original"]).strip().lower(), r["placeholder"])
 
     def take(m: re.Match) -> str:
         original = m[2]
-        if original.strip().lower() in stop:
+        if stop and original.strip().lower() in stop:
             said.append(f"common word {original!r} was masked as {m[1]!r} by the provider; it stays")
             return original
         if any(FIRST_MARK <= ord(c) <= LAST_MARK for c in original):
             return original
         key = re.sub(r"\s+", " ", original).strip().lower()
-        kind = kind_of(m[1], original, raw[max(0, m.start() - 50) : m.start()])
+        label = next((k for t, k in labels if t and (t in key or key in t)), None)
+        kind = kind_of(m[1], original, raw[max(0, m.start() - 50) : m.start()], label)
         if key not in by_text:
             by_text[key] = registry.next(lists.LABEL_PREFIX.get(kind, "ENTITA"))
         _record(rows, original, by_text[key], kind, ANNOTATED)
@@ -240,14 +254,17 @@ def apply_annotations(raw: str, registry: Registry, rows: list[dict], said: list
     return ANNOTATION.sub(take, raw)
 
 
-def kind_of(placeholder: str, original: str, before: str) -> str:
-    """Kind of a replacement by the placeholder's shape, the words before it or the original, as functions.text.infer_type."""
+def kind_of(placeholder: str, original: str, before: str, label: str | None = None) -> str:
+    """Kind of a replacement by the placeholder's shape, the words before it, a label or the original, as
+    functions.text.infer_type."""
     for pattern, kind in BY_SHAPE:
         if re.search(pattern, placeholder):
             return kind
     for pattern, kind in BY_CONTEXT:
         if re.search(pattern, before, re.IGNORECASE):
             return kind
+    if label:
+        return label
     s = original.strip()
     if s.isdigit():
         return {8: "IČO (předpoklad)", 5: "PSČ (předpoklad)", 10: "rodné číslo (předpoklad)"}.get(len(s), "číslo")
@@ -268,13 +285,13 @@ def mask_document(text: str | None, options: Options = Options(), entities: list
     if text is None or not text.strip():
         return {"anonymized": text, "replacements": rows, "occurrences": [], "warnings": said, "skipped": False}
     c = compiled()
-    text = MARK.sub("", text)
+    text = PRIVATE.sub("", text)
     there = c["placeholder"].findall(text) if MAY_HOLD.search(text) else []
     if len(there) >= SKIP_AT:
         said.append(f"{len(there)} placeholders in the input: taken as masked already, nothing was changed")
         return {"anonymized": text, "replacements": rows, "occurrences": [], "warnings": said, "skipped": True}
     # the second private plane is for text that stays, so the two kinds of marks cannot meet
-    original, registry, marks, kept = text, Registry(), Marks(), Marks(FIRST_MARK + 0x10000)
+    original, registry, marks, kept = text, Registry(), Marks(), Marks(SECOND_MARK)
 
     def keep(m: re.Match) -> str:
         return kept.make(m[0])
@@ -294,8 +311,8 @@ def mask_document(text: str | None, options: Options = Options(), entities: list
         text = apply_organisations(text, entities, registry, marks, rows)
     if masker:
         try:
-            text = apply_annotations(masker(text), registry, rows, said)
-        except (OSError, TimeoutError) as e:
+            text = apply_annotations(masker(text), registry, rows, said, options.stop_words, entities if options.classify else None)
+        except (OSError, TimeoutError, Transient) as e:
             said.append(f"the masking provider failed ({type(e).__name__}); only rules and entities were applied")
     text = marks.open(text)
     if options.fallback and entities:

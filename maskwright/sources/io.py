@@ -29,21 +29,9 @@ def write_masked(masked: DataFrame, path: str, mapping_path: str | None = None,
         mapping(masked, key).write.parquet(mapping_path)
 
 
-SMALL_BYTES = 64 << 20
-
-
 def spread(df: DataFrame) -> DataFrame:
-    """A small table over all cores: one file of one row group would otherwise keep a single core busy with costly rules.
-
-    A table with many partitions, or of more than SMALL_BYTES, stays as it is, so nothing large is shuffled."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if cores < 2 or df.rdd.getNumPartitions() >= 2 * cores:
-        return df
-    jvm, conf, total = spark._jvm, spark._jsc.hadoopConfiguration(), 0
-    for f in df.inputFiles():
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        total += path.getFileSystem(conf).getFileStatus(path).getLen()
-        if total > SMALL_BYTES:
-            return df
-    return df.repartition(2 * cores)
+    """df over all cores where it has fewer partitions than there are cores, so that costly rules do not keep a few busy.
+
+    A scan's partitions are bounded in size, so what moves is at most that size for each core."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if cores < 2 or df.rdd.getNumPartitions() >= cores else df.repartition(2 * cores)

@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KINDS = ("recognition", "morphology", "readability", "spelling", "translation", "masking")
-#: Kinds that leave the machine and are refused in local mode.
-REMOTE = frozenset({"morphology", "readability", "spelling", "translation"})
+#: Kinds whose providers may send texts off the machine: all. A provider that does not says so by an attribute `local`.
+REMOTE = frozenset(KINDS)
 LOCAL_MODE, OVERRIDE = "spark.maskwright.local", "spark.maskwright.local.override"
+FAILED = "provider-error"
 ATTEMPTS, FIRST_WAIT = 4, 1.0
 #: Answers after which a call is tried again.
 RETRIED = frozenset({429, 502, 503, 504})
@@ -64,9 +65,21 @@ class Providers:
     def get(self, kind: str) -> Provider:
         if kind not in KINDS:
             raise ValueError(f"unknown kind {kind}")
-        if self.local and kind in REMOTE and not self.override:
+        provider = self.by_kind.get(kind, missing(kind))
+        if self.local and kind in REMOTE and not self.override and not getattr(provider, "local", False):
             raise EgressRefused(f"{kind} would send texts off this machine; local mode refuses that")
-        return self.by_kind.get(kind, missing(kind))
+        return provider
+
+
+def guarded(spark: SparkSession, kind: str, provider: Provider) -> Provider:
+    """The provider, if the session's mode lets it run; every request asks here before any text is read."""
+    return Providers.of(spark, **{kind: provider}).get(kind)
+
+
+def own(provider: Provider) -> Provider:
+    """The provider, marked as one that keeps texts on this machine."""
+    provider.local = True
+    return provider
 
 
 def retried(call: Callable[[], Any], attempts: int = ATTEMPTS, wait: float = FIRST_WAIT, sleep: Callable[[float], None] = time.sleep) -> Any:
@@ -126,10 +139,13 @@ def checked_file(paths: list[str], sha256: str | None = None) -> str:
     raise FileNotFoundError("no model file was found")
 
 
-def provided(df: DataFrame, provider: Provider, kind: str, key: str = "doc_id", text: str = "text", batch: int = 64, **options: Any) -> DataFrame:
+def provided(df: DataFrame, provider: Provider, kind: str, key: str = "doc_id", text: str = "text", batch: int = 64, service: str | None = None, **options: Any) -> DataFrame:
     """key, result (of SQL type `kind`) and error of every row; a failing batch gives its message, not a failed query.
 
-    A null text is not sent and has a null result."""
+    The key may be a struct of all that should go along, so nothing need be joined back. A null text is not sent and has a
+    null result. With `service`, the egress guard is asked for that kind of provider."""
+    if service:
+        provider = guarded(df.sparkSession, service, provider)
     own = df.schema[key].dataType.simpleString()
     arrow = pa.schema(_arrow(df.sparkSession, kind))
 
@@ -159,10 +175,14 @@ def _arrow(spark: SparkSession, kind: str) -> list[pa.Field]:
 
 
 def extract_entities(df: DataFrame, provider: Provider, key: str = "doc_id", text: str = "text", fix_romance: bool = True) -> DataFrame:
-    """Entities of a provider that returns two-column token lists: key, entity, type, label, text, tokens, nested."""
+    """Entities of a provider that returns two-column token lists: key, entity, type, label, text, tokens, nested.
+
+    Where the provider failed, there is one row of type FAILED whose text is the message. Keys should differ."""
     from ..operators.parsers import conll_entities, split_romance
 
-    found = conll_entities(provided(df, provider, "string", key, text).withColumnRenamed("result", "conll"), key)
+    got = provided(df, provider, "string", key, text, service="recognition")
+    lines = F.when(F.col("error").isNotNull(), F.concat(F.regexp_replace("error", r"\s+", " "), F.lit(f"\tB-{FAILED}\n"))).otherwise(F.col("result"))
+    found = conll_entities(got.withColumn("conll", lines), key)
     return split_romance(found) if fix_romance else found
 
 
@@ -170,7 +190,7 @@ def analyze_morphology(df: DataFrame, provider: Provider, key: str = "doc_id", t
     """Tokens of a provider that returns ten-column sentences; heads and ranges only if asked for."""
     from ..operators.parsers import conllu_tokens
 
-    tokens = conllu_tokens(provided(df, provider, "string", key, text).withColumnRenamed("result", "conllu"), key)
+    tokens = conllu_tokens(provided(df, provider, "string", key, text, service="morphology").withColumnRenamed("result", "conllu"), key)
     return tokens.drop(*([] if include_parse else ["head", "deprel"]), *([] if include_ranges else ["token_range"]))
 
 
@@ -185,7 +205,7 @@ def check_readability(df: DataFrame, provider: Provider, key: str = "doc_id", te
     from ..operators.parsers import lexical_surprise, speech_acts, stats
 
     names = ("stats", "app1_features", "app1_rule_info", "app2_colours", "app3_colours", "result")
-    got = provided(df, provider, "string", key, text).withColumn("r", F.from_json("result", "struct<" + ",".join(f"{n}:string" for n in names) + ">"))
+    got = provided(df, provider, "string", key, text, service="readability").withColumn("r", F.from_json("result", "struct<" + ",".join(f"{n}:string" for n in names) + ">"))
     measures, words = stats(F.col("r.stats")), lexical_surprise(F.col("r.app2_colours"))
     return got.select(
         key, "error", *[c.alias(n) for n, c in measures.items()], *[c.alias(n) for n, c in words.items()],

@@ -136,6 +136,73 @@ def test_anonymize(spark):
     out = {r.doc_id: r for r in tools.anonymize(df, recognition=recognise).collect()}
     assert out[1].anonymized == "OSOBA1, EMAIL1 123" and out[1]["count"] == 2 and out[1].sources["wrapper-regex"] == 1 and out[1].leak_summary == ""
     assert out[2].anonymized is None and out[3].anonymized is None
+    assert [out[k].status for k in (1, 2, 3)] == [None, "empty", "missing"]
+
+
+def test_anonymize_by_any_key(spark):
+    """Null and repeated keys get their own entities; each distinct text is sent once."""
+    rows = [(None, "Eva Malá"), (None, "Jan Nový"), (1, "Eva Malá"), (1, "Jan Nový a Eva Malá"), (1, "Eva Malá")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def recognise(batch, **_):
+        assert len(set(batch)) == len(batch)
+        return ["".join(f"{a}\tB-P\n{b}\tI-P\n.\tO\n" for a, b in (("Eva", "Malá"), ("Jan", "Nový")) if a in t) for t in batch]
+
+    out = sorted(repr((r.doc_id, r.anonymized)) for r in tools.anonymize(df, recognition=recognise).collect())
+    assert out == sorted(map(repr, [(None, "OSOBA1"), (None, "OSOBA1"), (1, "OSOBA1"), (1, "OSOBA2 a OSOBA1"), (1, "OSOBA1")]))
+
+
+def test_anonymize_says_what_failed(spark):
+    df = spark.createDataFrame([(1, "Eva, a@b.cz"), (2, None)], "doc_id long, text string")
+
+    def down(batch, **_):
+        raise TimeoutError("too late")
+
+    rows = {r.doc_id: r for r in tools.anonymize(df, recognition=down, masking=down).collect()}
+    assert rows[1].anonymized == "Eva, EMAIL1" and rows[2].anonymized is None
+    assert [w for w in rows[1].warnings if "recognition failed: TimeoutError: too late" in w] and [w for w in rows[1].warnings if "masking provider failed" in w]
+
+
+def test_anonymize_with_a_masking_provider(spark):
+    df = spark.createDataFrame([(1, "Eva Malá ve státu Brno a@b.cz")], "doc_id long, text string")
+
+    def masker(batch, **_):
+        return [t.replace("Eva Malá", "Jana_[Eva Malá]").replace("státu", "Uni_[státu]").replace("Brno", "Praha_[Brno]") for t in batch]
+
+    def recognise(batch, **_):
+        return ["Brno\tB-gu\n" for _ in batch]
+
+    plain = tools.anonymize(df, mask.Options(fallback=False), masking=masker).first()
+    assert plain.anonymized == "ENTITA1 ve státu ENTITA2 EMAIL1" and plain.sources["wrapper-placeholder"] == 2
+    kinds = tools.anonymize(df, mask.Options(fallback=False, classify=True), recognition=recognise, masking=masker).first()
+    assert kinds.anonymized == "ENTITA1 ve státu MESTO1 EMAIL1"
+    every = tools.anonymize(df, mask.Options(fallback=False, rewrite=False, stop_words=None), masking=masker).first()
+    assert every.anonymized == "ENTITA1 ve ENTITA2 ENTITA3 EMAIL1"
+
+
+def test_local_mode_lets_nothing_out(spark):
+    df = spark.createDataFrame([(1, "Eva")], "doc_id long, text string")
+    echo = lambda batch, **_: list(batch)
+    spark.conf.set(providers.LOCAL_MODE, "true")
+    try:
+        for request in (
+            lambda: tools.anonymize(df, recognition=echo), lambda: tools.anonymize(df, masking=echo), lambda: tools.correct(df, "spellcheck", echo),
+            lambda: providers.extract_entities(df, echo), lambda: providers.analyze_morphology(df, echo), lambda: providers.check_readability(df, echo),
+            lambda: tools.translate(df.selectExpr("*", "'cs' src", "'en' tgt", "false document_mode"), echo),
+        ):
+            with pytest.raises(providers.EgressRefused):
+                request()
+        assert tools.anonymize(df, masking=providers.own(lambda batch, **_: list(batch))).first().anonymized == "Eva"
+    finally:
+        spark.conf.unset(providers.LOCAL_MODE)
+
+
+def test_marks_beyond_one_character():
+    """More distinct values than single private characters."""
+    marks = mask.Marks(mask.SECOND_MARK)
+    made = [marks.make(f"v{k}") for k in range(3 * mask.SINGLE)]
+    assert len(set(made)) == len(made) and marks.open(" ".join(made[::7]) + "".join(made[:90_000:11])) == " ".join(f"v{k}" for k in range(0, 3 * mask.SINGLE, 7)) + "".join(f"v{k}" for k in range(0, 90_000, 11))
+    assert ord(max(max(made))) <= mask.LAST_MARK and mask.FIRST_MARK + mask.SINGLE + mask.LEADS <= mask.SECOND_MARK
 
 
 def test_stop_lists(spark):
@@ -150,7 +217,8 @@ def test_providers(spark):
         providers.Providers().get("spelling")(["x"])
     with pytest.raises(providers.EgressRefused):
         providers.Providers(local=True).get("translation")
-    assert providers.Providers({"recognition": len}, local=True).get("recognition") is len
+    local = providers.own(lambda batch, **_: batch)
+    assert providers.Providers({"recognition": local}, local=True).get("recognition") is local
     waits, calls = [], []
 
     def flaky():
@@ -190,6 +258,10 @@ def test_correct_and_translate(spark):
     asked = spark.createDataFrame([(1, "x", "de", "cs", False), (2, "y", "hi", "cs", False), (3, "z", "cs", "en", True)], "doc_id long, text string, src string, tgt string, document_mode boolean")
     rows = {r.doc_id: r.pair for r in tools.translate(asked, lambda batch, **_: batch).collect()}
     assert rows == {1: "de->en->cs", 3: "doc-cs-en"}
+    again = spark.createDataFrame([(None, "x", "cs", "en", True), (None, "y", "cs", "en", False), (7, "y", "cs", "en", None), (7, "y", "cs", "en", None)], asked.schema)
+    found = sorted(repr((r.doc_id, r.pair, r.translated)) for r in tools.translate(again, lambda batch, **_: batch).collect())
+    assert len(found) == 4 and sum("doc-cs-en" in f for f in found) == 1
+    assert sorted(repr(r.doc_id) for r in tools.correct(again, "spellcheck", lambda batch, **_: [t + "!" for t in batch]).filter("changed").collect()) == ["7", "7", "None", "None"]
 
 
 def test_stream_equals_batch(spark, tmp_path):
