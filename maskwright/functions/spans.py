@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 FOUND = "array<struct<start:int,end:int,val:string>>"
 CONTEXT = "array<struct<start:int,end:int,val:string,left:string,right:string>>"
-#: Stands between matches and the rest. A text that holds it is handled without it.
+#: Stands between matches and the rest; in a text that holds it, with the text's digest behind it.
 SEP = "\uffff"
 
 
@@ -39,28 +39,43 @@ def running_sql(values: str, combine: str) -> str:
     return let_sql(values, "vals", f"if(size(vals) > 0, {sized}, cast(array() as array<int>))")
 
 
-PAIR = "array<struct<p:string,f:string,q:string>>"
-PAIRED = f"if(size(cut) > 1, transform(sequence(0, cast((size(cut) - 3) div 2 as int)), i -> named_struct('p', cut[2 * i], 'f', cut[2 * i + 1], 'q', cut[2 * i + 2])), cast(array() as {PAIR}))"
-APART = f"if(size(two.f) > 0, transform(sequence(0, size(two.f) - 1), i -> named_struct('p', two.p[i], 'f', two.f[i], 'q', two.p[i + 1])), cast(array() as {PAIR}))"
+PAIRS = "transform(sequence(0, cast((size(cut) - 3) div 2 as int)), i -> named_struct('p', cut[2 * i], 'f', cut[2 * i + 1], 'q', cut[2 * i + 2]))"
 LENGTHS = running_sql("transform(pieces, z -> length(z.p) + length(z.f))", "{a} + {b}")
 
 
-def _pieces(text: Column, pattern: str) -> Column:
-    """array<struct<p,f,q>>: each match f with the pieces before and after it. One pass of the pattern over the text, two
-    where the text holds SEP."""
-    both = F.struct(F.split(text, pattern, -1).alias("p"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("f"))
-    return F.when(F.contains(text, F.lit(SEP)), let(both, "two", APART)).otherwise(let(F.split(F.regexp_replace(text, pattern, f"{SEP}$0{SEP}"), SEP, -1), "cut", PAIRED))
+def _placed(cut: str, near: int) -> str:
+    """SQL of the spans in an array whose odd elements are the matches and whose even ones lie between them.
+
+    Running lengths give the offsets."""
+    sides = f", 'left', right(z.p, {near}), 'right', left(z.q, {near})" if near else ""
+    place = f"named_struct('start', at + length(z.p), 'end', at + length(z.p) + length(z.f), 'val', z.f{sides})"
+    return let_sql(cut, "cut", let_sql(PAIRS, "pieces", f"zip_with(pieces, {LENGTHS}, (z, at) -> {place})"))
+
+
+def _cut(text: Column, pattern: str) -> Column:
+    """Pieces and matches in turn, from one pass of the pattern over the text."""
+    sep = F.when(F.contains(text, F.lit(SEP)), F.concat(F.lit(SEP), F.sha2(text, 256), F.lit(SEP))).otherwise(F.lit(SEP))
+    return F.split(F.regexp_replace(text, F.lit(pattern), F.concat(sep, F.lit("$0"), sep)), sep, -1)
 
 
 def spans(text: Column, pattern: str, near: int = 0) -> Column:
     """array<struct<start,end,val>> of the leftmost non-overlapping matches; end is exclusive.
 
-    The pieces between matches and the matches themselves alternate, so running lengths give the offsets. The pattern
-    must not match the empty string. Null gives null. With `near`, left and right are added: up to so many characters
-    beside the match, but not beyond the next match."""
-    sides = f", 'left', right(z.p, {near}), 'right', left(z.q, {near})" if near else ""
-    placed = f"zip_with(pieces, {LENGTHS}, (z, at) -> named_struct('start', at + length(z.p), 'end', at + length(z.p) + length(z.f), 'val', z.f{sides}))"
-    return F.when(text.isNotNull(), let(_pieces(text, pattern), "pieces", placed)).cast(CONTEXT if near else FOUND)
+    The pattern must not match the empty string. Null gives null. With `near`, left and right are added: up to so many
+    characters beside the match, but not beyond the next match."""
+    found = let(_cut(text, pattern), "found", f"if(size(found) > 1, {_placed('found', near)}, cast(array() as {CONTEXT if near else FOUND}))")
+    return F.when(text.isNotNull(), found).cast(CONTEXT if near else FOUND)
+
+
+def many(text: Column, patterns: list[str], may: list[Column], near: int = 0) -> Column:
+    """array<struct<n,start,end,val>> of the matches of each pattern (by number, then place); pattern n is tried where
+    may[n] holds. As spans() of each, but planned as one. Null gives null."""
+    none = F.array().cast("array<string>")
+    cuts = F.array(*[F.struct(F.lit(n).alias("n"), F.when(m, _cut(text, p)).otherwise(none).alias("cut")) for n, (p, m) in enumerate(zip(patterns, may))])
+    sides = ", 'left', s.left, 'right', s.right" if near else ""
+    each = f"transform({_placed('rule.cut', near)}, s -> named_struct('n', rule.n, 'start', s.start, 'end', s.end, 'val', s.val{sides}))"
+    found = let(cuts, "cuts", f"flatten(transform(filter(cuts, rule -> size(rule.cut) > 1), rule -> {each}))")
+    return F.when(text.isNotNull(), found)
 
 
 def none_found(near: int = 0) -> Column:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.spans import spans
+from ..functions.spans import many
 from ..plans import catalog, prefilter
 from ..plans.audit_rules import LEVELS, at_least
 
@@ -27,16 +27,19 @@ def leaks_of(text: Column, digit: Column, originals: Column, threshold: str = "h
     that needs a digit or a literal is not tried on texts without."""
     known = F.coalesce(originals, F.array().cast("array<string>"))
 
-    def leak(rule):
+    rules = at_least(threshold)
+
+    def may(rule) -> Column:
         words, digits = prefilter.needs(rule.pattern)
-        fresh = F.filter(spans(text, "(?U)" + rule.pattern), lambda s: ~F.contains(s["val"], F.lit(HOLE)) & ~F.array_contains(known, s["val"]))
-        made = F.transform(fresh, lambda s: F.struct(F.lit(rule.label).alias("pattern"), s["val"].alias("match"), F.lit(rule.severity).alias("severity"), s["start"].alias("position")))
-        may = digit if digits else F.lit(True)
+        tests = [digit] if digits else []
         if 0 < len(words) <= 4:
-            may = may & reduce(lambda a, b: a | b, [F.contains(F.lower(text), F.lit(w)) for w in words])
-        return F.when(may, made).otherwise(F.array().cast(LEAKS)).cast(LEAKS)
+            tests.append(reduce(lambda a, b: a | b, [F.contains(F.lower(text), F.lit(w)) for w in words]))
+        return reduce(lambda a, b: a & b, tests, F.lit(True))
 
-    return F.concat(*[leak(r) for r in at_least(threshold)])
+    labels, levels = (F.array(*[F.lit(x) for x in y]) for y in zip(*[(r.label, r.severity) for r in rules]))
+    found = many(text, ["(?U)" + r.pattern for r in rules], [may(r) for r in rules])
+    fresh = F.filter(found, lambda s: ~F.contains(s["val"], F.lit(HOLE)) & ~F.array_contains(known, s["val"]))
+    return F.transform(fresh, lambda s: F.struct(F.get(labels, s["n"]).alias("pattern"), s["val"].alias("match"), F.get(levels, s["n"]).alias("severity"), s["start"].alias("position"))).cast(LEAKS)
 
 
 def audit(masked: DataFrame, threshold: str = "high", text: str = "anonymized", replacements: str | None = "replacements") -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.spans import none_found, spans
+from ..functions.spans import many
 from ..functions.text import valid_ico
 from ..plans import catalog, prefilter
 
@@ -55,32 +55,38 @@ def detect(df: DataFrame, rules: list[catalog.Rule] | None = None, key: str = "d
 
     Rules that keep a keyword give the value after it. Rules with a checksum give only values that pass it."""
     rules = catalog.ALL if rules is None else rules
-    parts = []
-    for n, rule in enumerate(rules):
-        pattern = catalog.jvm(rule) if rule is not catalog.SECTION_ITEM else "(?m)" + catalog.jvm(rule)
-        found = spans(F.col(text), pattern)
-        if rule.mode == "ico":
-            found = F.filter(found, lambda s: valid_ico(s["val"]))
-        elif rule.mode == "value":
-            found = F.transform(found, _value(pattern))
-        guarded = F.when(_guard(F.col(text), rule), found).otherwise(none_found())
-        parts.append(F.transform(guarded, _tagged(n, rule)))
+    patterns = [catalog.jvm(r) if r is not catalog.SECTION_ITEM else "(?m)" + catalog.jvm(r) for r in rules]
+    out = []
     # one projection for each batch of rules keeps the generated code small
-    out = [_rows(df, key, F.concat(*parts[i : i + 24])).select(key, "e.*") for i in range(0, len(parts), 24)]
+    for first in range(0, len(rules), BATCH):
+        own, regexes = rules[first : first + BATCH], patterns[first : first + BATCH]
+        known = {k: F.array(*[F.lit(x) for x in v]) for k, v in (("prefix", [r.prefix for r in own]), ("label", [r.label for r in own]), ("mode", [r.mode for r in own]), ("pattern", regexes))}
+        found = many(F.col(text), regexes, [_guard(F.col(text), r) for r in own])
+        if any(r.mode == "ico" for r in own):
+            found = F.filter(found, _passes(known))
+        out.append(_rows(df, key, F.transform(found, _described(first, known))).select(key, "e.*"))
     return reduce(DataFrame.unionByName, out)
 
 
-def _value(pattern: str):
-    def cut(s: Column) -> Column:
-        head, value = F.regexp_extract(s["val"], pattern, 1), F.regexp_extract(s["val"], pattern, 2)
-        start = s["start"] + F.length(head)
-        return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("val"))
+BATCH = 56
 
-    return cut
 
+def _passes(known: dict[str, Column]):
+    return lambda s: (F.get(known["mode"], s["n"]) != "ico") | valid_ico(s["val"])
 
-def _tagged(n: int, rule: catalog.Rule):
-    return lambda s: F.struct(F.lit(n).alias("rule"), F.lit(rule.prefix).alias("prefix"), F.lit(rule.label).alias("label"), s["start"].alias("start"), s["end"].alias("end"), F.trim(s["val"]).alias("value"))
+
+def _described(first: int, known: dict[str, Column]):
+    """A match with its rule; of a rule that keeps its keyword, the value after it."""
+
+    def row(s: Column) -> Column:
+        of = lambda k: F.get(known[k], s["n"])
+        keeps = of("mode") == "value"
+        head, value = (F.call_function("regexp_extract", s["val"], of("pattern"), F.lit(g)) for g in (1, 2))
+        start = s["start"] + F.when(keeps, F.length(head)).otherwise(0)
+        end = F.when(keeps, start + F.length(value)).otherwise(s["end"])
+        return F.struct((s["n"] + first).alias("rule"), of("prefix").alias("prefix"), of("label").alias("label"), start.alias("start"), end.alias("end"), F.trim(F.when(keeps, value).otherwise(s["val"])).alias("value"))
+
+    return row
 
 
 def mask_typed(text: Column, kinds: list[str]) -> Column:
