@@ -17,9 +17,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.spans import apart
+from ..functions.spans import apart, many, none_found, spans
 from .common import dropped, row_key, stored, table
-from .spans import counted, joined, none_found, spans
+from .spans import counted, joined
 
 KINDS = ("email", "ip", "card", "phone")
 #: Forms of the base rules that try a run of characters once, where it starts, instead of at each of its characters.
@@ -46,27 +46,22 @@ def _luhn(s: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(d)), F.lit(0), add) % 10 == 0
 
 
-def _of_kind(kind: str, rank: int):
-    return lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), *[s[c].alias(c) for c in ("val", "left", "right")])
-
-
 def base_spans(text: Column) -> Column:
     """array<struct<start,end,rank,kind,val,left,right>> of the four base rules in this order; text must not be null."""
     small = lambda p: (F.length(F.ltrim(p, F.lit("0"))) <= 3) & (F.coalesce(F.ltrim(p, F.lit("0")).try_cast("int"), F.lit(0)) <= 255)
-    checks = {
-        "ip": lambda s: F.forall(F.split(s["val"], r"\."), small),
-        "card": lambda s: (F.length(_digits(s["val"])) <= 19) & _luhn(s["val"]),
-        "phone": lambda s: F.length(_digits(s["val"])).between(9, 15),
-    }
-    parts = []
-    for rank, (kind, pattern) in enumerate(zip(KINDS, (EMAIL, IP, CARD, PHONE))):
-        found = spans(text, pattern, NEAR)
-        if kind in checks:
-            found = F.filter(found, checks[kind])
-        guard = F.contains(text, F.lit("@")) if kind == "email" else F.contains(text, F.lit("+")) if kind == "phone" else F.regexp_like(text, F.lit("[0-9]"))
-        own = F.when(guard, found).otherwise(none_found(NEAR))
-        parts.append(F.transform(own, _of_kind(kind, rank)))
-    return F.concat(*parts)
+    digit = F.regexp_like(text, F.lit("[0-9]"))
+    found = many(text, [EMAIL, IP, CARD, PHONE], [F.contains(text, F.lit("@")), digit, digit, F.contains(text, F.lit("+"))], NEAR)
+
+    def passes(s: Column) -> Column:
+        return (
+            F.when(s["n"] == 1, F.forall(F.split(s["val"], r"\."), small))
+            .when(s["n"] == 2, (F.length(_digits(s["val"])) <= 19) & _luhn(s["val"]))
+            .when(s["n"] == 3, F.length(_digits(s["val"])).between(9, 15))
+            .otherwise(True)
+        )
+
+    kinds = F.array(*map(F.lit, KINDS))
+    return F.transform(F.filter(found, passes), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["n"].alias("rank"), F.get(kinds, s["n"]).alias("kind"), *[s[c].alias(c) for c in ("val", "left", "right")]))
 
 
 def _shapes(val: Column) -> Column:

@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..functions.spans import many, replaced
 from .common import dropped, new_path, stored, table
-from .spans import counted, joined, none_found, replaced, spans, tagged
+from .spans import counted, joined
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: Rule versions in order; a version's rules never change. (kind, pattern, literals of which one must be there, or none)
@@ -43,13 +44,10 @@ def _may(text: Column, needs: tuple[str, ...]) -> Column:
 
 
 def _scan(text: Column, rules: list[tuple[str, str, tuple[str, ...]]]) -> Column:
-    parts = []
-    for kind, pattern, needs in rules:
-        found = spans(text, pattern)
-        if kind == "assign":
-            found = F.filter(found, lambda s: F.length(F.regexp_extract(s["val"], ASSIGN, 2)) >= 6)
-        parts.append(F.when(_may(text, needs), tagged(found, kind, RANK[kind])).otherwise(tagged(none_found(), kind, RANK[kind])))
-    return F.concat(*parts).cast(FOUND)
+    kinds, ranks = F.array(*[F.lit(k) for k, _, _ in rules]), F.array(*[F.lit(RANK[k]) for k, _, _ in rules])
+    found = many(text, [p for _, p, _ in rules], [_may(text, needs) for _, _, needs in rules])
+    fits = F.filter(found, lambda s: (F.get(kinds, s["n"]) != "assign") | (F.length(F.regexp_extract(s["val"], ASSIGN, 2)) >= 6))
+    return F.transform(fits, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.get(ranks, s["n"]).alias("rank"), F.get(kinds, s["n"]).alias("kind"))).cast(FOUND)
 
 
 def _text() -> Column:

@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.spans import none_found, replaced, spans
-
-__all__ = ["counted", "joined", "none_found", "replaced", "spans", "tagged"]
-
 
 def joined(found: Column, order: str) -> Column:
     """Comma-joined kind:start:end of structs (start, end, rank, kind), by rank then start or by start then rank."""
@@ -19,10 +15,3 @@ def joined(found: Column, order: str) -> Column:
 
 def counted(found: Column, kind: str) -> Column:
     return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("long")
-
-
-def tagged(found: Column, kind: str, rank: int, val: bool = False) -> Column:
-    """Spans with their kind and its rank; with the matched value if val is set."""
-    return F.transform(
-        found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), *([s["val"].alias("val")] if val else []))
-    )
