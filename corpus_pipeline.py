@@ -46,7 +46,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digests of the encoding of every row."""
-    return pieces.digests(pieces.segmented(docs.select("doc_id", "text")))
+    return pieces.digested(docs.select("doc_id", "text"))
 
 
 STAGES = [

@@ -20,7 +20,7 @@ import hashlib
 import heapq
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import count
 
 import numpy as np
@@ -70,6 +70,7 @@ class Pieces:
         self.score = {p: round(model[i][1] * UNIT) for p, i in self.ids.items()}
         self.bytes = {b: i for i, (_, _, b) in enumerate(model) if b >= 0}
         self.raw = [p.encode() if b < 0 else bytes((b,)) for p, _, b in model]
+        self.spelled = [str(i).encode() for i in range(len(model))]
         if len(self.bytes) < 256:
             raise ValueError("the model has no byte pieces, so texts would not come back whole")
         self.longest = max(map(len, self.ids))
@@ -318,30 +319,53 @@ def _coder_of(model: list) -> Pieces:
     return _coder[1]
 
 
-def segmented(docs: DataFrame, model: str = MODEL, n: int = 3, scores: str = "auto") -> DataFrame:
-    """doc_id, ids (array<int>), n_best (array of score, pieces and ids, best first) and decoded text of every row of docs.
-
-    A null text is the empty text, whose one piece is the leading space. Repeated rows are all returned. Other columns
-    are ignored. Empty in, empty out. The model is read on the driver; its vocabulary, of fixed size, is broadcast."""
+def _by_batch(docs: DataFrame, model: str, n: int, scores: str, schema: str, make: Callable[[Pieces, list[list[tuple[float, bytes]]]], list[pa.Array]]) -> DataFrame:
+    """doc_id and the columns that make() builds of the n best segmentations of 1,024 texts at a time."""
     held = docs.sparkSession.sparkContext.broadcast(read_model(model, scores))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    flat = lambda parts: pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(i) // 4 for i in parts)]), pa.int32()), pa.array(np.frombuffer(b"".join(parts), dtype="<i4")))
+    names = [c.split(" ")[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder_of(held.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 b = batch.slice(at, 1024)
-                found = coder.n_best([t or "" for t in b.column(1).to_pylist()], n)
-                every = [x for best in found for x in best]
-                parts = [i for _, i in every]
-                each = pa.StructArray.from_arrays([pa.array([s for s, _ in every], pa.float64()), pa.array([len(i) // 4 for i in parts], pa.int32()), flat(parts)], names=["score", "pieces", "ids"])
-                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), each)
-                firsts = [best[0][1] for best in found]
-                yield pa.RecordBatch.from_arrays([b.column(0), flat(firsts), lists, pa.array([coder.decode(i) for i in firsts], pa.string())], names=["doc_id", "ids", "n_best", "decoded"])
+                columns = make(coder, coder.n_best([t or "" for t in b.column(1).to_pylist()], n))
+                yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["doc_id", *names])
 
     rows = small_batches(docs).select("doc_id", F.col("text").cast("string"))
-    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, n_best array<struct<score:double,pieces:int,ids:array<int>>>, decoded string")
+    return rows.mapInArrow(run, f"doc_id {kind}, {schema}")
+
+
+def segmented(docs: DataFrame, model: str = MODEL, n: int = 3, scores: str = "auto") -> DataFrame:
+    """doc_id, ids (array<int>), n_best (array of score, pieces and ids, best first) and decoded text of every row of docs.
+
+    A null text is the empty text, whose one piece is the leading space. Repeated rows are all returned, equal, and very
+    long texts are encoded whole. Other columns are ignored. Empty in, empty out. The model is read on the driver; its
+    vocabulary, of fixed size, is broadcast."""
+    flat = lambda parts: pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(i) // 4 for i in parts)]), pa.int32()), pa.array(np.frombuffer(b"".join(parts), dtype="<i4")))
+
+    def make(coder: Pieces, found: list) -> list[pa.Array]:
+        every = [x for best in found for x in best]
+        parts, firsts = [i for _, i in every], [best[0][1] for best in found]
+        each = pa.StructArray.from_arrays([pa.array([s for s, _ in every], pa.float64()), pa.array([len(i) // 4 for i in parts], pa.int32()), flat(parts)], names=["score", "pieces", "ids"])
+        return [flat(firsts), pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), each), pa.array([coder.decode(i) for i in firsts], pa.string())]
+
+    return _by_batch(docs, model, n, scores, "ids array<int>, n_best array<struct<score:double,pieces:int,ids:array<int>>>, decoded string", make)
+
+
+def digested(docs: DataFrame, model: str = MODEL, n: int = 3, scores: str = "auto") -> DataFrame:
+    """digests(segmented(docs)), row for row, with the digests taken where the ids are, so that these need not travel."""
+
+    def make(coder: Pieces, found: list) -> list[pa.Array]:
+        firsts = [best[0][1] for best in found]
+        digest = lambda ids: hashlib.sha256(b" ".join(map(coder.spelled.__getitem__, np.frombuffer(ids, dtype="<i4").tolist()))).hexdigest()
+        every = [[digest(i) for _, i in best] for best in found]
+        decoded = [hashlib.sha256(coder.decode(i).encode("utf-8", "surrogatepass")).hexdigest() for i in firsts]
+        return [pa.array([len(i) // 4 for i in firsts], pa.int64()), pa.array([d[0] for d in every], pa.string()), pa.array([[s for s, _ in best] for best in found], pa.list_(pa.float64())), pa.array(decoded, pa.string()), pa.array(every, pa.list_(pa.string()))]
+
+    rows = _by_batch(docs, model, n, scores, "n_pieces long, ids_sha256 string, n_best_scores array<double>, decoded_sha256 string, n_best_sha256 array<string>", make)
+    return rows.withColumn("n_best_scores", F.transform("n_best_scores", lambda s: F.round(s, 4)))
 
 
 def digests(rows: DataFrame) -> DataFrame:
@@ -355,4 +379,5 @@ def digests(rows: DataFrame) -> DataFrame:
 
 
 def op5_sentencepiece(spark, sf_dir: str) -> DataFrame:
-    return digests(segmented(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    """Digests of the n best segmentations of every whole text of documents, and of the text decoded from the best."""
+    return digested(table(spark, sf_dir, "documents").select("doc_id", "text"))

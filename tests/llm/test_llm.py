@@ -376,7 +376,9 @@ def test_pieces_come_back(spark, docs, coder, empty):
     assert sorted(repr((r.doc_id, r.decoded)) for r in rows) == sorted(repr((r[0], r[1] or "")) for r in ROWS)
     assert all(coder.decode(np.array(r.ids, dtype="<i4").tobytes()) == r.decoded for r in rows)
     assert all(list(r.n_best) == sorted(r.n_best, key=lambda b: -b.score) for r in rows)
-    assert pieces.segmented(empty).count() == 0
+    assert pieces.segmented(empty).count() == 0 and pieces.digested(empty).count() == 0
+    want, found = pieces.digests(pieces.segmented(docs)), pieces.digested(docs)
+    assert found.dtypes == want.dtypes and sorted(map(repr, found.collect())) == sorted(map(repr, want.collect()))
 
 
 def test_pieces_of_a_unigram_like_model():
