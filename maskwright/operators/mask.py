@@ -103,13 +103,13 @@ class Marks:
 @lru_cache(maxsize=1)
 def compiled() -> dict:
     rx = lambda r: re.compile(r.pattern, re.IGNORECASE if r.ignore_case else 0)
-    needs = lambda r: prefilter.needs(r.pattern, r.ignore_case)
+    wants = lambda r: prefilter.wanted(r.pattern, r.ignore_case)
     return {
-        "ordered": [(r, rx(r), needs(r)) for r in catalog.ORDERED],
-        "court": (catalog.COURT, rx(catalog.COURT), needs(catalog.COURT)),
+        "ordered": [(r, rx(r), wants(r)) for r in catalog.ORDERED],
+        "court": (catalog.COURT, rx(catalog.COURT), wants(catalog.COURT)),
         "header": re.compile(catalog.SECTION_HEADER, re.IGNORECASE),
         "item": re.compile(catalog.SECTION_ITEM.pattern, re.MULTILINE),
-        "kept": [(re.compile(p), prefilter.needs(p)) for p in catalog.KEPT],
+        "kept": [(re.compile(p), prefilter.wanted(p)) for p in catalog.KEPT],
         "placeholder": re.compile(catalog.placeholder_pattern()),
     }
 
@@ -118,8 +118,8 @@ def _record(rows: list[dict], original: str, placeholder: str, kind: str, source
     rows.append({"original": original, "placeholder": placeholder, "type": kind, "source": source})
 
 
-def apply_rules(text: str, registry: Registry, marks: Marks, rows: list[dict], keep_keyword: bool = False) -> str:
-    """The whole catalogue in order; taken spans become marks."""
+def apply_rules(text: str, registry: Registry, marks: Marks, rows: list[dict], keep_keyword: bool = False, screen: prefilter.Screen | None = None) -> str:
+    """The whole catalogue in order; taken spans become marks. A screen of the text before any was taken may be given."""
     c = compiled()
 
     def taker(rule: catalog.Rule):
@@ -137,9 +137,9 @@ def apply_rules(text: str, registry: Registry, marks: Marks, rows: list[dict], k
 
         return take
 
-    screen = prefilter.Screen(text)
-    for rule, pattern, needs in c["ordered"]:
-        if screen.admits(needs):
+    screen = screen or prefilter.Screen(text)
+    for rule, pattern, wants in c["ordered"]:
+        if screen.admits(wants):
             text = pattern.sub(taker(rule), text)
     take, at, parts = taker(catalog.SECTION_ITEM), 0, []
     for head in c["header"].finditer(text):
@@ -150,8 +150,8 @@ def apply_rules(text: str, registry: Registry, marks: Marks, rows: list[dict], k
         parts += [text[at : head.end()], c["item"].sub(take, text[head.end() : stop])]
         at = stop
     text = "".join([*parts, text[at:]])
-    rule, pattern, needs = c["court"]
-    return pattern.sub(taker(rule), text) if screen.admits(needs) else text
+    rule, pattern, wants = c["court"]
+    return pattern.sub(taker(rule), text) if screen.admits(wants) else text
 
 
 def apply_organisations(text: str, entities: list[dict], registry: Registry, marks: Marks, rows: list[dict]) -> str:
@@ -302,11 +302,11 @@ def mask_document(text: str | None, options: Options = Options(), entities: list
             registry.seed(p)
         text = c["placeholder"].sub(keep, text)
     screen = prefilter.Screen(text)
-    for pattern, needs in c["kept"]:
-        if screen.admits(needs):
+    for pattern, wants in c["kept"]:
+        if screen.admits(wants):
             text = pattern.sub(keep, text)
     if options.rules:
-        text = apply_rules(text, registry, marks, rows, options.keep_keyword)
+        text = apply_rules(text, registry, marks, rows, options.keep_keyword, screen)
     if options.strict and entities:
         text = apply_organisations(text, entities, registry, marks, rows)
     if masker:

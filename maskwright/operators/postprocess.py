@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
-from ..plans import catalog, lists
+from ..plans import catalog, lists, prefilter
 
 # Legal forms at home, legal forms abroad, and stems of words for facilities.
 HOME_FORMS = ("s.r.o.", "sr.o.", "a.s.", "spol. s r.o.", "k.s.", "v.o.s.", "družstvo", "SE")
@@ -386,18 +386,28 @@ STEPS = (
     join_towns, drop_glued_connectors, restore_institution_persons, restore_public_names, extend_institutions, mask_middle_names, mask_facilities,
     mask_firm_heads, mask_foreign_firms,
 )
-#: Steps that need no placeholder, with what must be in the text for them to do anything.
-ALONE = {mask_facilities: FACILITY, mask_foreign_firms: re.compile("|".join(sorted({f.split(".")[0] for f in FOREIGN_FORMS}, key=len, reverse=True)))}
 HOLDS = re.compile(r"[A-Z]\d")
 
 
+@lru_cache(maxsize=1)
+def _guards() -> dict:
+    """What must be in a text for a step to do anything; all others need a placeholder."""
+    whole = lambda t: re.escape(t) + (r"\b" if re.fullmatch(r"\w+", t) else "")
+    forms = [r"\s*".join(map(whole, form)) for own in _foreign().values() for form in own]
+    places = prefilter.needs(FACILITY.pattern, True)[0]
+    return {
+        mask_facilities: lambda t: any(w in low for low in (prefilter.folded(t),) for w in places),
+        mask_foreign_firms: re.compile(rf"\s(?:{'|'.join(forms)})").search,
+        None: re.compile(rf"\b(?:{'|'.join(catalog.prefixes())})\d").search,
+    }
+
+
 def rewrite(text: str, rows: list[dict], source: str, names: frozenset[str] | None = None) -> tuple[str, list[dict]]:
-    """All steps in order."""
-    marked = HOLDS.search(text) is not None
-    steps = [f for f in STEPS if (ALONE[f].search(text) if f in ALONE else marked)]
-    if not steps:
-        return text, list(rows)
-    sheet = Sheet(text, rows, source, names)
-    for step in steps:
-        step(sheet)
-    return sheet.text, sheet.rows
+    """All steps in order. Tokens are made when the first step has something to do."""
+    sheet, guards = None, _guards()
+    marked = HOLDS.search(text) and guards[None](text)
+    for step in STEPS:
+        if guards[step](sheet.text if sheet else text) if step in guards else marked:
+            sheet = sheet or Sheet(text, rows, source, names)
+            step(sheet)
+    return (sheet.text, sheet.rows) if sheet else (text, list(rows))

@@ -58,18 +58,62 @@ def needs(pattern: str, ignore_case: bool = False) -> tuple[tuple[str, ...], boo
     return tuple(sorted(words or ())), digit
 
 
+def _wordy(op, v) -> bool:
+    """Whether a one-character item matches nothing but word characters."""
+    if op is C.LITERAL:
+        return chr(v).isalnum() or v == 95
+    if op is not C.IN:
+        return False
+    inside = lambda k, x: all(chr(c).isalnum() for c in range(x[0], x[1] + 1)) if k is C.RANGE else x in (C.CATEGORY_DIGIT, C.CATEGORY_WORD) if k is C.CATEGORY else _wordy(k, x)
+    return all(inside(k, x) for k, x in v)
+
+
+def _run(tree) -> int:
+    """Least length of the longest stretch of word characters that every match has."""
+    best = now = 0
+    for op, v in tree:
+        if op in (C.AT, C.ASSERT, C.ASSERT_NOT):
+            continue
+        if _wordy(op, v):
+            now += 1
+        elif op in (C.MAX_REPEAT, C.MIN_REPEAT) and len(v[2]) == 1 and _wordy(*v[2][0]):
+            now += v[0]
+        else:
+            best, now = max(best, now), 0
+            if op is C.SUBPATTERN:
+                best = max(best, _run(v[3]))
+            elif op is C.BRANCH:
+                best = max(best, min(map(_run, v[1])))
+            elif op in (C.MAX_REPEAT, C.MIN_REPEAT) and v[0] > 0:
+                best = max(best, _run(v[2]))
+    return max(best, now)
+
+
+@lru_cache(maxsize=1024)
+def wanted(pattern: str, ignore_case: bool = False) -> tuple[tuple[str, ...], bool, int]:
+    """needs(), and how many word characters must follow one another somewhere (0 if fewer than LONG)."""
+    run = _run(parser.parse(pattern, re.IGNORECASE if ignore_case else 0))
+    return *needs(pattern, ignore_case), run if run >= LONG else 0
+
+
+#: Stretches of word characters that are rare enough in prose to be worth a test.
+LONG = 16
+_STRETCH = re.compile(rf"\b\w{{{LONG},}}")
+
+
 def folded(text: str) -> str:
     """Text in lower case as far as case-blind matching goes."""
     return text.lower().replace("ſ", "s").replace("ı", "i")
 
 
 class Screen:
-    """Tests of one text against needs. Masking only takes text away, so one screen serves a whole document."""
+    """Tests of one text against wants. Masking only takes text away, so one screen serves a whole document."""
 
     def __init__(self, text: str):
-        self.text, self.low = text, folded(text)
+        self.low = folded(text)
         self.digit = re.search(r"\d", text) is not None
+        self.run = max(map(len, _STRETCH.findall(text)), default=0)
 
-    def admits(self, wanted: tuple[tuple[str, ...], bool]) -> bool:
-        words, digit = wanted
-        return (self.digit or not digit) and (not words or any(w in self.low for w in words))
+    def admits(self, want: tuple[tuple[str, ...], bool, int]) -> bool:
+        words, digit, run = want
+        return run <= self.run and (self.digit or not digit) and (not words or any(w in self.low for w in words))

@@ -156,14 +156,22 @@ def test_checksum():
 
 def test_screen_never_hides_a_match():
     texts = ["OP 123456789", "ičo: 45274649", "IČO 45274649", "Tel 777123456", "exp 12/27", "Ленина ул Ленина, д 5", "client 田中", "sk-ant-" + "a" * 40, "dne 1. ZÁŘÍ 2020", "PSČ: 749 01"]
+    texts += ["VIN 1HGCM82633A004352", "T" + "a1" * 16 + "b", "0x" + "aB" * 20, "ghp_" + "a1B2" * 9, "github_pat_" + "a_1" * 14, "AKIA" + "A1B2" * 4 + " / " + "a+/1" * 10, "IČ 1" + "a" * 26]
     for rule in catalog.ALL:
         flags = re.IGNORECASE if rule.ignore_case else 0
-        wanted = prefilter.needs(rule.pattern, rule.ignore_case)
+        wanted = prefilter.wanted(rule.pattern, rule.ignore_case)
         for t in texts:
             if re.search(rule.pattern, t, flags | re.MULTILINE):
                 assert prefilter.Screen(t).admits(wanted), (rule.label, t)
 
 
+def test_runs_that_a_pattern_needs():
+    run = lambda p, blind=False: prefilter.wanted(p, blind)[2]
+    assert run(r"\b[A-Z]{4}\d{16}\b") == 20 and run(r"x(?:[a-z]{20}|[0-9]{17,30})-") == 17 and run(r"(?=\w{30})a") == 0
+    assert run(r"[\w-]{40}") == run(r"[^a]{40}") == run(r"(?:a{20})?b") == run(r"a{20}|b") == 0
+    assert run(r"[a-z]{16,}\d*", True) == 16 and not prefilter.Screen("a" * 15).admits(((), False, 16)) and prefilter.Screen("-" + "ſ" * 16).admits(((), False, 16))
+
+
 def test_sizes_of_the_lists():
     assert len(catalog.FORMATS) == 132 and len(catalog.CONTEXTS) == 31 and len(AUDIT) == 32
     assert len(lists.STOP_WORDS) == 105 and len(lists.KEPT_TOKENS) == 134 and len(lists.TITLES) == 57 and len(lists.TYPE_LABELS) == 47
