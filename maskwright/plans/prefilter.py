@@ -23,8 +23,8 @@ def _digits_only(items) -> bool:
     return all(op is C.CATEGORY and v is C.CATEGORY_DIGIT or op is C.RANGE and v[0] >= 48 and v[1] <= 57 or op is C.LITERAL and 48 <= v <= 57 for op, v in items)
 
 
-def _sequence(tree) -> tuple[frozenset[str] | None, bool]:
-    """(words of which one must occur, whether a digit must)."""
+def _sequence(tree, fold=str.lower) -> tuple[frozenset[str] | None, bool]:
+    """(words of which one must occur, whether a digit must); `fold` makes words comparable."""
     needed, digit, run = None, False, ""
     for op, v in tree:
         if op is C.LITERAL:
@@ -32,22 +32,22 @@ def _sequence(tree) -> tuple[frozenset[str] | None, bool]:
             digit |= 48 <= v <= 57
             continue
         if run:
-            needed, run = _better(needed, frozenset([run.lower()])), ""
+            needed, run = _better(needed, frozenset([fold(run)])), ""
         if op is C.SUBPATTERN:
-            inner = _sequence(v[3])
+            inner = _sequence(v[3], fold)
         elif op is C.BRANCH:
-            arms = [_sequence(a) for a in v[1]]
+            arms = [_sequence(a, fold) for a in v[1]]
             words = [a[0] for a in arms]
             inner = (frozenset().union(*words) if all(w is not None for w in words) else None, all(a[1] for a in arms))
         elif op in (C.MAX_REPEAT, C.MIN_REPEAT) and v[0] > 0:
-            inner = _sequence(v[2])
+            inner = _sequence(v[2], fold)
         elif op is C.IN:
             inner = (None, _digits_only(v))
         else:
             inner = (None, False)
         needed, digit = _better(needed, inner[0]), digit or inner[1]
     if run:
-        needed = _better(needed, frozenset([run.lower()]))
+        needed = _better(needed, frozenset([fold(run)]))
     return needed, digit
 
 
@@ -89,13 +89,21 @@ def _run(tree) -> int:
     return max(best, now)
 
 
+Want = tuple[tuple[str, ...], bool, int, bool]
+
+
 @lru_cache(maxsize=1024)
-def wanted(pattern: str, ignore_case: bool = False) -> tuple[tuple[str, ...], bool, int]:
-    """needs(), and how many word characters must follow one another somewhere (0 if fewer than LONG)."""
-    run = _run(parser.parse(pattern, re.IGNORECASE if ignore_case else 0))
-    return *needs(pattern, ignore_case), run if run >= LONG else 0
+def wanted(pattern: str, ignore_case: bool = False) -> Want:
+    """needs(), how many word characters must follow one another somewhere (0 if fewer than LONG), and whether case counts:
+    then the words are as the pattern has them."""
+    tree = parser.parse(pattern, re.IGNORECASE if ignore_case else 0)
+    run, exact = _run(tree), not ignore_case and not re.search(r"\(\?[a-z]*i", pattern)
+    words, digit = _sequence(tree, str if exact else str.lower)
+    return tuple(sorted(words or ())) if len(words or ()) <= MANY else (), digit, run if run >= LONG else 0, exact
 
 
+#: More words than this cost as much as the pattern itself.
+MANY = 85
 #: Stretches of word characters that are rare enough in prose to be worth a test.
 LONG = 16
 _STRETCH = re.compile(rf"\b\w{{{LONG},}}")
@@ -110,10 +118,16 @@ class Screen:
     """Tests of one text against wants. Masking only takes text away, so one screen serves a whole document."""
 
     def __init__(self, text: str):
-        self.low = folded(text)
+        self.text, self.low = text, folded(text)
         self.digit = re.search(r"\d", text) is not None
         self.run = max(map(len, _STRETCH.findall(text)), default=0)
 
-    def admits(self, want: tuple[tuple[str, ...], bool, int]) -> bool:
-        words, digit, run = want
-        return run <= self.run and (self.digit or not digit) and (not words or any(w in self.low for w in words))
+    def admits(self, want: Want) -> bool:
+        words, digit, run, exact = want
+        if run > self.run or digit and not self.digit:
+            return False
+        text = self.text if exact else self.low
+        for w in words:
+            if w in text:
+                return True
+        return not words

@@ -169,7 +169,9 @@ def test_runs_that_a_pattern_needs():
     run = lambda p, blind=False: prefilter.wanted(p, blind)[2]
     assert run(r"\b[A-Z]{4}\d{16}\b") == 20 and run(r"x(?:[a-z]{20}|[0-9]{17,30})-") == 17 and run(r"(?=\w{30})a") == 0
     assert run(r"[\w-]{40}") == run(r"[^a]{40}") == run(r"(?:a{20})?b") == run(r"a{20}|b") == 0
-    assert run(r"[a-z]{16,}\d*", True) == 16 and not prefilter.Screen("a" * 15).admits(((), False, 16)) and prefilter.Screen("-" + "ſ" * 16).admits(((), False, 16))
+    assert run(r"[a-z]{16,}\d*", True) == 16 and not prefilter.Screen("a" * 15).admits(((), False, 16, True)) and prefilter.Screen("-" + "ſ" * 16).admits(((), False, 16, False))
+    assert prefilter.wanted("Ab(?:C|d)")[0] == ("Ab",) and prefilter.wanted("Ab", True)[0] == prefilter.wanted("(?i)Ab")[0] == ("ab",)
+    assert not prefilter.Screen("ab").admits(prefilter.wanted("Ab")) and prefilter.Screen("aB").admits(prefilter.wanted("Ab", True))
 
 
 def test_sizes_of_the_lists():
