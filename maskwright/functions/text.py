@@ -78,9 +78,15 @@ def _nfc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
 
-def nfc(text: Column) -> Column:
-    """Canonical composition; only texts with characters that can combine leave the JVM."""
-    return F.when(F.regexp_like(text, F.lit("[^\\x00-\u02ff]")), _nfc(text)).otherwise(text)
+def nfc(text: Column, far: Column | None = None) -> Column:
+    """Canonical composition; only texts with characters that can combine leave the JVM, for the others a null does."""
+    far = _far(text) if far is None else far
+    return F.when(far, _nfc(F.when(far, text))).otherwise(text)
+
+
+def _far(text: Column) -> Column:
+    """Whether a text has characters that can combine, or digits beyond ASCII, which all lie further up."""
+    return F.regexp_like(text, F.lit("[^\\x00-\u02ff]"))
 
 
 def ascii_digits(text: Column) -> Column:
@@ -95,8 +101,9 @@ def normalized(text: Column, nfc_on: bool = True, zero_width: bool = True, bidi:
     length = lambda a, b: F.length(a) - F.length(b)
     a = F.regexp_replace(text, ZERO_WIDTH, "") if zero_width else text
     b = F.regexp_replace(a, BIDI, "") if bidi else a
-    c = nfc(b) if nfc_on else b
-    d = ascii_digits(c) if digits else c
+    far = _far(text)  # taken from the text itself, so that plain texts pay for no later step
+    c = nfc(b, far) if nfc_on else b
+    d = F.when(far, ascii_digits(c)).otherwise(b) if digits else c
     marked = F.translate(c, digit_table()[0], "")
     return {
         "text": d,
