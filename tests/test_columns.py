@@ -341,3 +341,14 @@ def test_sources(spark, tmp_path):
     assert read.columns == ["doc_id", "text", "lang"] and io.spread(read).count() == 1
     io.write_masked(mask.mask(read), f"{tmp_path}/m", f"{tmp_path}/map")
     assert "replacements" not in spark.read.parquet(f"{tmp_path}/m").columns and spark.read.parquet(f"{tmp_path}/map").count() == 0
+
+
+def test_normalized_against_the_standard_library(spark):
+    """Plain texts, soft hyphens, characters that combine, digits of other scripts (first plane only) and null."""
+    given = [None, "", "plain 42", "so\u00adft", "e\u0301 \u0664\u200b2 \u202ea\u0301\u202c", "\u00e9 \u0663", "\U0001d7d8 x"]
+
+    def want(t):
+        t = unicodedata.normalize("NFC", re.sub("[\u200b-\u200f\u2060\ufeff\u180e\u00ad\u202a-\u202e\u2066-\u2069]", "", t))
+        return "".join(str(unicodedata.decimal(c, c)) if ord(c) < 0x10000 else c for c in t)
+
+    assert column(spark, given, lambda t: texts.normalized(t)["text"]) == [None if t is None else want(t) for t in given]
