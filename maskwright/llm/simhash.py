@@ -148,7 +148,8 @@ def links(distinct: DataFrame, part: int = 384) -> DataFrame:
     keyed = spread.select("fp", "rep", F.explode(_keys("fp")).alias("key"))
     # only keys that two fingerprints share go on; counts are summed before they are shuffled
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    kept = keyed.join(shared, "key").withColumn("parts", F.ceil(F.col("n") / part).cast("int"))
+    # Spark's estimate takes an exploded row for one row, so it would broadcast 45 times what it expects
+    kept = keyed.hint("merge").join(shared, "key").withColumn("parts", F.ceil(F.col("n") / part).cast("int"))
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least("own", k).alias("i"), F.greatest("own", k).alias("j")))
     dealt = kept.withColumn("own", own).withColumn("p", F.explode(pairs)).select("key", "fp", "rep", F.col("p.i").alias("i"), F.col("p.j").alias("j"), "own")

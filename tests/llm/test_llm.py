@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from maskwright.llm import components, gif, mixing, pieces, pii, quality, secrets, simhash, substrings, tokencount, topk
+from maskwright.llm import common, components, gif, mixing, pieces, pii, quality, secrets, simhash, substrings, tokencount, topk
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -795,6 +795,14 @@ def test_every_close_pair_is_chained():
     assert simhash.chained(x).all()
 
 
+def test_links_broadcast_no_keys(spark):
+    # a small file of fingerprints stands for 45 times as many keys, which must not be sent to the driver
+    fps = np.random.default_rng(3).integers(-(2**63), 2**63, 1000).tolist()
+    distinct = common.stored(spark.createDataFrame([(x, x) for x in fps], "fp long, rep long"), "distinct")
+    plan = simhash.links(distinct)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_of_a_long_path(spark):
     n = 200
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(5, 5), (1000, 1001), (1001, 1000), (None, 3)], "u long, v long")
