@@ -813,6 +813,16 @@ def test_components_of_a_long_path(spark):
 # ---------------------------------------------------------------- pipeline
 
 
+def test_deduplicate_broadcasts_no_keys(spark, monkeypatch):
+    import corpus_pipeline as p
+
+    made, links = [], simhash.links
+    monkeypatch.setattr(simhash, "links", lambda *a: made.append(links(*a)) or made[0])
+    rows = [(i, f"alpha beta gamma delta w{i // 2}", "en", "s1", 30) for i in range(400)]
+    assert p.deduplicate(spark, spark.createDataFrame(rows, SCHEMA), "").count() == 200
+    assert len(made) == 1 and "Broadcast" not in made[0]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_pipeline_stage_by_stage(spark, tmp_path, coder):
     import corpus_pipeline as p
 
