@@ -70,7 +70,8 @@ class Pieces:
         self.score = {p: round(model[i][1] * UNIT) for p, i in self.ids.items()}
         self.bytes = {b: i for i, (_, _, b) in enumerate(model) if b >= 0}
         self.raw = [p.encode() if b < 0 else bytes((b,)) for p, _, b in model]
-        self.spelled = [str(i).encode() for i in range(len(model))]
+        self.spelled = [b"%d " % i for i in range(len(model))]
+        self._wide = np.array([*map(len, self.spelled)], dtype=np.int64)
         if len(self.bytes) < 256:
             raise ValueError("the model has no byte pieces, so texts would not come back whole")
         self.longest = max(map(len, self.ids))
@@ -105,7 +106,20 @@ class Pieces:
         self._place: dict[str, int] = {}
         self._listed: dict[str, list] = {}
         self._encoded: list[bytes] = []
-        self._best, self._loss, self._count = (np.zeros(1024, dtype=np.int64) for _ in range(3))
+        self._best, self._loss, self._count, self._uses = (np.zeros(1024, dtype=np.int64) for _ in range(4))
+
+    def _thin(self) -> None:
+        """Forget the chunks that were used once, or not since the last time, and so many more that half of KEPT is free."""
+        n = len(self._encoded)
+        keep = np.flatnonzero(self._uses[:n] > 1)
+        if len(keep) > KEPT // 2:
+            keep = np.sort(keep[np.argpartition(-self._uses[keep], KEPT // 2)[: KEPT // 2]])
+        chunks, encoded = [*self._place], self._encoded  # in the order of their places
+        self._place = {chunks[i]: k for k, i in enumerate(keep.tolist())}
+        self._encoded = [encoded[i] for i in keep.tolist()]
+        self._best, self._loss, self._count = self._best[keep], self._loss[keep], self._count[keep]
+        self._uses = np.ones(len(keep), dtype=np.int64)
+        self._listed.clear()
 
     # ------------------------------------------------------------ chunks
 
@@ -165,10 +179,10 @@ class Pieces:
     def _add(self, chunks: list[str], coded: list[bytes], best, loss, counts) -> None:
         n, m = len(self._encoded), len(chunks)
         if n + m > len(self._best):
-            self._best, self._loss, self._count = (np.concatenate((x, np.zeros(n + m, dtype=np.int64))) for x in (self._best, self._loss, self._count))
+            self._best, self._loss, self._count, self._uses = (np.concatenate((x, np.zeros(n + m, dtype=np.int64))) for x in (self._best, self._loss, self._count, self._uses))
         self._place.update(zip(chunks, range(n, n + m)))
         self._encoded += coded
-        self._best[n : n + m], self._loss[n : n + m], self._count[n : n + m] = best, loss, counts
+        self._best[n : n + m], self._loss[n : n + m], self._count[n : n + m], self._uses[n : n + m] = best, loss, counts, 0
 
     def _learn_equal(self, chunks: list[str], size: int) -> None:
         m = len(chunks)
@@ -258,12 +272,13 @@ class Pieces:
         missing = set().union(*parts).difference(self._place)
         if missing:
             if len(self._place) + len(missing) > KEPT:
-                self.forget()
-                missing = set().union(*parts)
+                self._thin()
+                missing = set().union(*parts).difference(self._place)
             self._learn([*missing])
         out = []
         for chunks in parts:
             place = np.fromiter(map(self._place.__getitem__, chunks), dtype=np.int64, count=len(chunks))
+            self._uses[place] += 1  # once a text
             ids = b"".join([self._encoded[i] for i in place.tolist()])
             out.append(self._merged(chunks, place, ids, n))
         return out
@@ -304,6 +319,23 @@ class Pieces:
             self._listed[key] = [(0, first), *rest[: n - 1]]
         return self._listed[key]
 
+    def spell(self, lists: list[bytes]) -> list[bytes]:
+        """Each list of ids in decimal, joined by spaces; the others take from the first what they share at both ends."""
+        first, out = np.frombuffer(lists[0], dtype="<i4"), []
+        whole = b"".join(map(self.spelled.__getitem__, first.tolist()))
+        out.append(whole[:-1])
+        ends = np.concatenate(([0], np.cumsum(self._wide[first]))) if len(lists) > 1 else None
+        for ids in lists[1:]:
+            own = np.frombuffer(ids, dtype="<i4")
+            m = min(len(first), len(own))
+            differ = np.flatnonzero(first[:m] != own[:m])
+            a = int(differ[0]) if len(differ) else m
+            differ = np.flatnonzero(first[len(first) - m + a :][::-1] != own[len(own) - m + a :][::-1])
+            z = int(differ[0]) if len(differ) else m - a
+            middle = map(self.spelled.__getitem__, own[a : len(own) - z].tolist())
+            out.append(b"".join([whole[: ends[a]], *middle, whole[ends[len(first) - z] :]])[:-1])
+        return out
+
     def decode(self, ids: bytes) -> str:
         """The exact text of encoded ids."""
         raw = self.raw
@@ -359,8 +391,7 @@ def digested(docs: DataFrame, model: str = MODEL, n: int = 3, scores: str = "aut
 
     def make(coder: Pieces, found: list) -> list[pa.Array]:
         firsts = [best[0][1] for best in found]
-        digest = lambda ids: hashlib.sha256(b" ".join(map(coder.spelled.__getitem__, np.frombuffer(ids, dtype="<i4").tolist()))).hexdigest()
-        every = [[digest(i) for _, i in best] for best in found]
+        every = [[hashlib.sha256(x).hexdigest() for x in coder.spell([i for _, i in best])] for best in found]
         decoded = [hashlib.sha256(coder.decode(i).encode("utf-8", "surrogatepass")).hexdigest() for i in firsts]
         return [pa.array([len(i) // 4 for i in firsts], pa.int64()), pa.array([d[0] for d in every], pa.string()), pa.array([[s for s, _ in best] for best in found], pa.list_(pa.float64())), pa.array(decoded, pa.string()), pa.array(every, pa.list_(pa.string()))]
 

@@ -351,6 +351,27 @@ def test_n_best_of_long_texts(coder):
         assert coder.decode(i) == s and score_of(coder, np.frombuffer(i, dtype="<i4").tolist()) == round(b * pieces.UNIT)
 
 
+def test_chunks_in_use_outlast_the_others(monkeypatch):
+    monkeypatch.setattr(pieces, "KEPT", 40)
+    model = pieces.read_model(pieces.MODEL)
+    coder = pieces.Pieces(model)
+    for k in range(12):
+        texts = [f"often used {k}a{j} {k * j}b" for j in range(8)]
+        assert coder.n_best(texts) == pieces.Pieces(model).n_best(texts)
+        assert len(coder._place) == len(coder._encoded) <= 40
+    learnt = []
+    monkeypatch.setattr(coder, "_learn", lambda chunks, learn=coder._learn: learnt.extend(chunks) or learn(chunks))
+    coder.n_best([" ".join(f"x{j}y" for j in range(30)), "often used"])
+    assert " x0y" in learnt and not {" often", " used"} & {*learnt}
+
+
+def test_spelled_ids(coder):
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        lists = [rng.integers(5, 8, rng.integers(1, 9)).astype("<i4") for _ in range(3)]
+        assert coder.spell([x.tobytes() for x in lists]) == [" ".join(map(str, x)).encode() for x in lists]
+
+
 def test_n_best_among_equals():
     model = [("", 0.0, b) for b in range(256)] + [(p, -2.0 * len(p), -1) for p in (" ", "a", "aa", "aaa", " a", " aa")]
     own = pieces.Pieces(model)
