@@ -78,12 +78,13 @@ def scan(docs: DataFrame, ledger: str, rules: dict | None = None) -> DataFrame:
     rules = rules or RULES
     spark = docs.sparkSession
     keyed = blobs(docs.select("text"))
+    # all joins here are by merging: files can be far smaller than what they hold, and most sides go by blob anyway
     own = stored(keyed.select("blob").distinct(), "blobs")
     held = _held(spark, ledger)
     seen = own.withColumn("seen", F.array().cast("array<string>"))
     if held is not None:
-        known = held.filter(F.col("version").isin(*rules)).join(own, "blob", "left_semi").groupBy("blob").agg(F.collect_set("version").alias("seen"))
-        seen = own.join(known, "blob", "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<string>")))
+        known = held.filter(F.col("version").isin(*rules)).join(own.hint("merge"), "blob", "left_semi").groupBy("blob").agg(F.collect_set("version").alias("seen"))
+        seen = own.join(known.hint("merge"), "blob", "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<string>")))
     unseen = stored(seen.filter(F.size("seen") < len(rules)), "unseen")
     # one flag for each rule version: whether some blob lacks it
     lacks = unseen.agg(*[F.coalesce(F.max(~F.array_contains("seen", v)), F.lit(False)).alias(v) for v in rules]).first()
@@ -93,18 +94,26 @@ def scan(docs: DataFrame, ledger: str, rules: dict | None = None) -> DataFrame:
         texts = keyed.filter(may).groupBy("blob").agg(F.first(_text()).alias("text"))
         pair = lambda v: F.when(~F.array_contains("seen", v), F.struct(F.lit(v).alias("version"), F.coalesce(_scan(F.col("text"), rules[v]), F.array().cast(FOUND)).alias("found")))
         # outer, so that the optimizer does not compute the costly array a second time to test that it is not empty
-        pairs = unseen.join(texts, "blob", "left").select("blob", F.explode_outer(F.array_compact(F.array(*map(pair, wanted)))).alias("pair")).filter("pair is not null")
+        pairs = unseen.join(texts.hint("merge"), "blob", "left").select("blob", F.explode_outer(F.array_compact(F.array(*map(pair, wanted)))).alias("pair")).filter("pair is not null")
         pairs.select("blob", "pair.version", "pair.found", F.left("blob", F.lit(1)).alias("prefix")).repartition("prefix").write.partitionBy("prefix").mode("append").parquet(ledger)
     dropped(unseen)
     rows = _held(spark, ledger)
     if rows is None:  # no document, so no file was written
         rows = spark.createDataFrame([], LEDGER)
-    rows = rows.filter(F.col("version").isin(*rules) & (F.size("found") > 0)).join(own, "blob", "left_semi")
+    rows = rows.filter(F.col("version").isin(*rules) & (F.size("found") > 0)).join(own.hint("merge"), "blob", "left_semi")
     out = stored(rows.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_set("found"))).alias("found")), "findings")
     dropped(own)
     return out
 
 
+def _broadcast_if_small(found: DataFrame) -> DataFrame:
+    """Findings for a join. Spark judges them by their files, in which spans that recur from text to text take next to
+    nothing; in the driver's memory each takes 64 bytes. Where that is more than may be broadcast, the join is by merging."""
+    most = found.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = found.agg(F.sum(F.lit(256).cast("long") + F.size("found") * F.lit(64).cast("long"))).first()[0] or 0
+    return found.hint("merge") if size > most else found
+
+
 def find_secrets(docs: DataFrame, ledger: str | None = None, rules: dict | None = None) -> DataFrame:
     """docs' columns plus `found` (array of start, end, rank, kind; empty if none) for every row, repeated rows included.
 
@@ -113,7 +122,7 @@ def find_secrets(docs: DataFrame, ledger: str | None = None, rules: dict | None
     are empty; very long ones are scanned whole."""
     keep = [c for c in docs.columns if c not in ("blob", "found")]
     found = scan(docs, ledger or new_path(docs.sparkSession, "ledger"), rules)
-    rows = blobs(docs).drop("found").join(found, "blob", "left")
+    rows = blobs(docs).drop("found").join(_broadcast_if_small(found), "blob", "left")
     return rows.select(*keep, F.coalesce("found", F.array().cast(FOUND)).alias("found"))
 
 

@@ -473,6 +473,28 @@ def test_redaction(spark):
     assert out == {1: 'é [SECRET]" and [SECRET]', 2: "none", 3: None}
 
 
+def _plans(spark) -> dict[int, str]:
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    ran = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return {ran.apply(i).executionId(): ran.apply(i).physicalPlanDescription() for i in range(ran.size())}
+
+
+def test_findings_that_pack_well_are_not_broadcast(spark, tmp_path):
+    # spans at the same places in every text take next to nothing in a file, and 64 bytes each in the driver
+    rows = [(i, " ".join(hashlib.md5(f"{i} {k}".encode()).hexdigest()[:24] for k in range(30))) for i in range(300)]
+    df, key, ledger = spark.createDataFrame(rows, "doc_id long, text string"), "spark.sql.autoBroadcastJoinThreshold", f"file://{tmp_path}/ledger"
+    before, was = spark.conf.get(key), _plans(spark)
+    spark.conf.set(key, "200k")
+    try:
+        secrets.scan(df, ledger, {"base-1": secrets.RULES["base-1"]})
+        out = secrets.find_secrets(df, ledger).select("doc_id", secrets.redact(F.col("text"), F.col("found")).alias("t")).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert {tuple(r) for r in out} == {(i, " ".join(["[SECRET]"] * 30)) for i in range(300)}
+    plans = [v for k, v in _plans(spark).items() if k not in was]
+    assert any("SortMergeJoin" in x for x in plans) and not any("Broadcast" in x for x in plans)
+
+
 # ---------------------------------------------------------------- 7 GIF
 
 
