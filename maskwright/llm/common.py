@@ -17,6 +17,12 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def word_count(text: Column) -> Column:
+    """Number of words of a text, 0 for null. Each word shrinks to its first character, so no array of words is made."""
+    first = r"[\x20\x09-\x0D]+|([^\x20\x09-\x0D])[^\x20\x09-\x0D]*[\x20\x09-\x0D]*"
+    return F.coalesce(F.length(F.regexp_replace(text, first, "$1")), F.lit(0)).cast("long")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that the driver and all executors see: spark.checkpoint.dir.
 

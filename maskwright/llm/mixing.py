@@ -14,11 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import WORD, stored, table
+from .common import stored, table, word_count
 
 #: (time, weight) knots of each weight class: the first fades, the second stays, the third grows.
 CURRICULUM = {1: ((0.0, 1.5), (0.5, 1.0), (1.0, 0.5)), 2: ((0.0, 1.0), (1.0, 1.0)), 3: ((0.0, 0.5), (0.5, 1.0), (1.0, 1.5))}
-SLICE_ROWS, LEAST_SLICES = 4096, 256
+SLICE_ROWS, LEAST_SLICES, CELL_SLICES = 4096, 256, 64
 
 
 def _inverse(knots: tuple, part: Column) -> Column:
@@ -64,7 +64,7 @@ def mix(docs: DataFrame, cap: int = 3, classes: int = 3, curriculum: dict = CURR
     own = F.struct(
         F.coalesce(F.concat(F.lit("0"), F.col("source").cast("string")), F.lit("1")).alias("key"),
         F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.md5(text), F.lit("")))).alias("h"),
-        F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        word_count(text).alias("size"),
     )
     # input columns travel in one struct, so that their names cannot clash
     keyed = docs.select(F.struct(*kept).alias("_row"), own.alias("mix"))
@@ -73,7 +73,8 @@ def mix(docs: DataFrame, cap: int = 3, classes: int = 3, curriculum: dict = CURR
     slices = max(LEAST_SLICES, (docs if "text" in kept else keyed).count() // SLICE_ROWS)
     head = F.conv(F.substring(F.col("mix.h"), 1, 8), 16, 10).cast("long")
     sliced = keyed.withColumn("_slice", F.floor(head * F.lit(slices) / F.lit(2**32)).cast("long")).withColumn("_key", F.col("mix.key"))
-    cells = stored(sliced.groupBy("_key", "_slice").agg(F.sum("mix.size").alias("words")), "cells")
+    # a handful of rows a slice: a file for each partition of the shuffle would cost more than the rows
+    cells = stored(sliced.groupBy("_key", "_slice").agg(F.sum("mix.size").alias("words")).coalesce(max(1, slices // CELL_SLICES)), "cells")
     goals = targets(cells.groupBy(F.col("_key").alias("key")).agg(F.sum("words").alias("source_size")), cap, classes)
     earlier = W.partitionBy("_key").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     cells = cells.withColumn("offset", F.coalesce(F.sum("words").over(earlier), F.lit(0))).join(goals, F.col("_key") == F.col("key")).drop("key", "words")

@@ -185,6 +185,23 @@ def test_mixing_without_ids(spark):
     assert all(abs(r.n - r.t) <= 1 for r in by.values())
 
 
+def test_mixing_counts_words_without_arrays(spark, monkeypatch):
+    """No array of all words is made, and the sums of the slices, a few rows, do not go to a file for each partition."""
+    made, stored = {}, mixing.stored
+    monkeypatch.setattr(mixing, "stored", lambda df, name: made.setdefault(name, (df._jdf.queryExecution().toString(), df := stored(df, name)))[1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    odd = [None, "", " ", "\n \t", "a", " a", "a ", "a\x0b\x0cb\r\n c", "\x1fa\x85b \u00a0c\u2003d", "$1 \\1 \U0001f600x \U0001f600", "\x00 \x00", "e\u0301 \u0301 \ufeff", "word " * 30000, "w" * 100000]
+    try:
+        rows = mixing.mix(spark.createDataFrame([(i, t, "en", f"s{i % 3}", 1) for i, t in enumerate(odd)], SCHEMA), keep=["doc_id"]).select("doc_id", "mix.size").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert {r.doc_id: r.size for r in rows} == {i: len(words(t)) for i, t in enumerate(odd)}
+    assert "regexp_extract_all" not in made["sizes"][0].lower()
+    assert len(made["cells"][1].inputFiles()) <= 4
+
+
 # ---------------------------------------------------------------- 3 token counts
 
 
