@@ -63,6 +63,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers that a file of a scratch table should hold at least.
+NARROW_ROWS = 65536
+
+
+def few_files(df: DataFrame, rows: int) -> DataFrame:
+    """df, of at most `rows` narrow rows, in no more partitions than these fill, but two a core; fewer partitions stay.
+
+    A file costs more than such rows: on a local disk the executor's JVM starts a process for each mode that it sets.
+    Not for a result in which the rows of one key may stand in a row, such as a join that Spark may split."""
+    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // NARROW_ROWS)))
+
+
 def dropped(df: DataFrame) -> None:
     """Delete the scratch files behind a table made by stored() that nothing reads any more."""
     spark = df.sparkSession

@@ -5,22 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, stored
+from .common import dropped, few_files, stored
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, most: int) -> DataFrame:
     """Point every neighbour of a node (larger ones, or itself and the smaller ones) at its least neighbour.
 
-    The least neighbours are stored, so that the join has plain exchanges on both sides and a hub can be split."""
+    The least neighbours are stored, so that the join has plain exchanges on both sides and a hub can be split. No table
+    here has more than `most` rows; only what is dealt out anew after the join goes to few files."""
     if large:
         around = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        low = stored(low, "least")
+        low = stored(few_files(low, most), "least")
         out = around.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
-        low = stored(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
+        low = stored(few_files(edges.groupBy("u").agg(F.min("v").alias("m")), most), "least")
         out = edges.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low)
-    out = stored(out.filter("u > v").distinct(), "edges")
+    out = stored(few_files(out.filter("u > v").distinct(), most), "edges")
     dropped(low)
     return out
 
@@ -39,8 +40,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     if not seen[0]:
         return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     for _ in range(rounds):
-        half = _star(now, True)
-        new = _star(half, False)
+        # of n edges the first half makes one for each of at most 2 n directed ones, the second at most two for each of these
+        half = _star(now, True, 2 * seen[0])
+        new = _star(half, False, 4 * seen[0])
         dropped(half)
         dropped(now)
         now, was, seen = new, seen, mark(new)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_text, small_batches, stored
+from .common import few_files, per_text, small_batches, stored
 from .components import components
 
 BITS, SEGMENTS, RADIUS = 64, 9, 4
@@ -164,7 +164,7 @@ def classes(fps: DataFrame, part: int = 384) -> DataFrame:
     """Distinct fingerprints of a table with a column fp to (fp, class): the least fingerprint that links reach.
 
     Fingerprints are the nodes themselves, so rows without doc_id need no stand-in."""
-    distinct = stored(fps.select("fp").distinct(), "distinct")
+    distinct = stored(few_files(fps.select("fp").distinct(), fps.count()), "distinct")
     labels = components(links(distinct.withColumn("rep", F.col("fp")), part))
     return distinct.join(labels, distinct["fp"] == labels["node"], "left").select("fp", F.coalesce("component", "fp").alias("class"))
 
@@ -176,7 +176,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, part: int = 384) -> DataF
     a null doc_id are linked like others but never name a component (null if no other row is in it). Repeated rows are
     kept. Other columns are ignored. An empty table gives an empty result; very long texts count whole."""
     fps = stored(fingerprints(docs, shingle), "fingerprints")
-    named = stored(classes(fps, part), "classes")
+    named = stored(few_files(classes(fps, part), fps.count()), "classes")
     # least doc_id by fingerprint first, so that copies meet before the shuffle
     least = fps.groupBy("fp").agg(F.min("doc_id").alias("least")).join(named, "fp").groupBy("class").agg(F.min("least").alias("component_id"))
     ids = stored(named.join(least, "class").select("fp", "component_id"), "components")

@@ -873,6 +873,28 @@ def test_components_of_a_long_path(spark):
 # ---------------------------------------------------------------- pipeline
 
 
+def test_small_tables_go_to_few_files(spark, monkeypatch):
+    """Many partitions of a shuffle are no reason for as many files of a few numbers each."""
+    made, stored = defaultdict(list), common.stored
+    keep = lambda df, name: made[name].append(len((df := stored(df, name)).inputFiles())) or df
+    for module in (components, simhash):
+        monkeypatch.setattr(module, "stored", keep)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        rows = [(i, f"alpha beta gamma delta w{i // 2}", "en", "s1", 30) for i in range(400)]
+        out = simhash.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+        narrow = made.pop("distinct") + made.pop("classes")
+        made.clear()
+        chain = components.components(spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1500)], "u long, v long")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sorted(r.doc_id for r in out) == list(range(400)) and all(r.component_id <= r.doc_id - r.doc_id % 2 for r in out)
+    assert {r.node: r.component for r in chain} == {i: 0 for i in range(1, 301)} | {i: 1000 for i in range(1001, 1500)}
+    assert max(narrow + made["least"] + made["edges"][1:]) <= 8  # how many edges come is not known before the first table
+
+
 def test_deduplicate_broadcasts_no_keys(spark, monkeypatch):
     import corpus_pipeline as p
 
