@@ -110,6 +110,20 @@ def row_key(*cols: str) -> Column:
     return F.md5(F.concat(*parts))
 
 
+_learnt: dict[str, Callable[[], None]] = {}
+
+
+def begins(owner: str, forget: Callable[[], None] | None = None) -> None:
+    """Called in a Python worker as a task of `owner` begins: what other operators have learnt there goes.
+
+    Workers outlive tasks, so that words and chunks are looked up once; without this they would outlive the operator too,
+    beside all that the next ones learn. forget: empties the owner's own tables."""
+    for other in [k for k in _learnt if k != owner]:
+        _learnt.pop(other)()
+    if forget:
+        _learnt[owner] = forget
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -123,6 +137,7 @@ def per_text(df: DataFrame, keep: list[str], columns: dict[str, tuple[str, pa.Da
     kinds = [t for _, t in columns.values()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begins(work.__qualname__)
         for b in batches:
             made = work(b.column(len(keep)).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(i) for i in range(len(keep))] + [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, kinds)], names=[*keep, *columns])

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import begins, small_batches, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -346,6 +346,7 @@ _coder: list = []  # the last vocabulary of this worker with what it has learnt,
 
 
 def _coder_of(model: list) -> Pieces:
+    begins("pieces", _coder.clear)
     if not _coder or _coder[0] is not model:
         _coder[:] = [model, Pieces(model)]
     return _coder[1]

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, row_key, small_batches, stored, table
+from .common import begins, dropped, row_key, small_batches, stored, table
 
 MAX_LABELLED = 8000
 ROUNDS, SURE, STEPS = 3, 0.97, 2  # co-training rounds; least confidence; Newton steps over all documents in a round
@@ -56,6 +56,11 @@ class _Seen(dict):
 _seen = _Seen()
 
 
+def _begin() -> None:
+    """By itself, since what a function within another names is sent by value: a copy of the words would be emptied."""
+    begins("quality", _seen.clear)
+
+
 def text_view(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct word buckets and DENSE numbers of one whole text."""
     raw = (text or "").encode("utf-8", "surrogatepass")
@@ -201,6 +206,7 @@ def features(docs: DataFrame) -> DataFrame:
     """doc_id, key (of text and metadata), words, dense and meta of every row, in a scratch table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin()
         for b in batches:
             views = [text_view(t.as_py()) for t in b.column(2)]
             meta = [meta_view(*m) for m in zip(*(b.column(i).to_pylist() for i in (3, 4, 5)))]
@@ -446,6 +452,7 @@ def scored(docs: DataFrame, models: dict) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = held.value
+        _begin()
         for b in batches:
             view = b.column(len(keep))
             names = [f.name for f in view.type]

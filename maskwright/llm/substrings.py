@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, row_key, small_batches, stored, table
+from .common import begins, dropped, row_key, small_batches, stored, table
 
 WINDOW, K = 50, 12
 SPAN = WINDOW - K + 1  # k-mers in a window
@@ -145,6 +145,7 @@ class Lined:
 
 def _edge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(n, d, packed) to the edges of each document: h, n, d, at, right, left."""
+    begins("substrings", _hashes.clear)
     for b in batches:
         n, d, parts = b.column(0).to_numpy(), b.column(1).to_numpy(), []
         for i, packed in enumerate(b.column(2)):
@@ -208,6 +209,7 @@ def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(n, d, packed, known) to rows: ranges of windows [at, until) that a path claims, with their source (row, place), or
     open windows (source null), with the digest of their words."""
+    begins("substrings", _hashes.clear)
     for b in batches:
         out: list[tuple] = []
         for n, d, packed, known in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):

@@ -873,6 +873,32 @@ def test_components_of_a_long_path(spark):
 # ---------------------------------------------------------------- pipeline
 
 
+def test_workers_forget_what_other_operators_learnt(spark):
+    """Python workers outlive tasks; the words and chunks of one operator do not stay beside those of the next."""
+    df = spark.createDataFrame([(i, f"alpha w{i} beta " * 20, "en", "s1", 30) for i in range(200)], SCHEMA).repartition(8).cache()
+
+    def held(batches):
+        import pyarrow as pa
+
+        from maskwright.llm import pieces, quality, substrings
+
+        for b in batches:
+            two = sum(len(x) > 0 for x in (quality._seen, substrings._hashes, pieces._coder)) > 1
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([two] * b.num_rows)], names=["doc_id", "held"])
+
+    for make in (quality.features, pieces.digested, substrings.remove_repeats, quality.features, pieces.digested):
+        make(df).collect()
+        assert not any(r.held for r in df.mapInArrow(held, "doc_id long, held boolean").collect())
+    assert common._learnt == {}  # nothing of this in the driver
+    learnt = {"a": [1], "b": [2]}
+    for k, v in learnt.items():
+        common.begins(k, v.clear)
+        common.begins(k, v.clear)
+    assert learnt == {"a": [], "b": [2]}
+    common.begins("c")
+    assert learnt["b"] == [] and common._learnt == {}
+
+
 def test_small_tables_go_to_few_files(spark, monkeypatch):
     """Many partitions of a shuffle are no reason for as many files of a few numbers each."""
     made, stored = defaultdict(list), common.stored
